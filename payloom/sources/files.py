@@ -20,12 +20,7 @@ def scan_payslip_text(spark: SparkSession, folder: str, suffix: str = ".txt") ->
     """
     glob = "*" + "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in suffix)
     try:
-        raw = (
-            spark.read.option("wholetext", True)
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", False)
-            .text(folder)
-        )
+        raw = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=False)
     except AnalysisException as error:
         if error.getCondition() != _MISSING:
             raise
