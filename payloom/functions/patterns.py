@@ -1,8 +1,9 @@
 """Extraction patterns and the helpers that run them as Spark column expressions.
 
-The patterns are written in Python syntax.  ``java`` adds the flags that give the
-JVM regex engine the same meaning: Unicode classes, newline-only line ends and the
-four separator controls (U+001C..U+001F) that Python counts as whitespace.
+The patterns are written in Python syntax.  ``java`` spells out what Python means by
+``\\s``, ``\\d`` and case-insensitive accented letters as explicit classes.  That gives
+the JVM engine the same meaning without its Unicode flags, which slow every single
+character test down and dominated the extraction time.
 """
 
 from __future__ import annotations
@@ -10,51 +11,59 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CONTROL_WS = r"\x1c-\x1f"
+# Python's whitespace and digit classes.
+_WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CLASSES = {r"\s": f"[{_WS}]", r"\S": f"[^{_WS}]", r"\d": r"\p{Nd}"}
+_INSIDE = {r"\s": _WS, r"\d": r"\p{Nd}"}
 
 
-def java(pattern: str, flags: str = "") -> str:
-    """Rewrite ``\\s`` / ``\\S`` to Python's whitespace set and prefix the flags."""
+def java(pattern: str, flags: str = "", starts: str = "") -> str:
+    """JVM form of a Python pattern; ``.`` and ``$`` stop at newlines only.
+
+    ``starts`` lists the letters a match can begin with: one class test then rejects
+    most positions before the alternatives are tried.
+    """
     out, depth, i = [], 0, 0
     while i < len(pattern):
         ch = pattern[i]
         if ch == "\\":
             pair = pattern[i : i + 2]
-            if pair == r"\s":
-                pair = r"\s" + _CONTROL_WS if depth else rf"[\s{_CONTROL_WS}]"
-            elif pair == r"\S" and not depth:
-                pair = rf"[^\s{_CONTROL_WS}]"
-            out.append(pair)
+            out.append((_INSIDE if depth else _CLASSES).get(pair, pair))
             i += 2
             continue
-        depth += (ch == "[") - (ch == "]")
-        out.append(ch)
+        if "i" in flags and ord(ch) > 127:
+            both = ch.lower() + ch.upper()
+            out.append(both if depth else f"[{both}]")
+        else:
+            depth += (ch == "[") - (ch == "]")
+            out.append(ch)
         i += 1
-    return f"(?d{flags}U)" + "".join(out)
+    guard = f"(?=[{starts}])" if starts else ""
+    return f"(?d{flags})" + guard + "".join(out)
 
 
 # Document patterns (Python syntax) with their flags.
-SPLIT = java(r"(?=(?:Empr|Contr)\.?\s*:\s*\d+|Matrícula:\s*\d+)", "i")
+SPLIT = java(r"(?=(?:Empr|Contr)\.?\s*:\s*\d+|Matrícula:\s*\d+)", "i", "ECM")
 COMPETENCIA = java(
-    r"(?:Competência|Competencia|Referência|Referencia|Ref\.?)\s*[:.]?\s*(\d{2}/\d{4})", "i"
+    r"(?:Competência|Competencia|Referência|Referencia|Ref\.?)\s*[:.]?\s*(\d{2}/\d{4})", "i", "CR"
 )
 COMPETENCIA_GOZO = java(
-    r"(?:Período de Gozo|Gozo).*?\d{2}/\d{2}/\d{4}\s+a\s+\d{2}/(\d{2}/\d{4})", "is"
+    r"(?:Período de Gozo|Gozo).*?\d{2}/\d{2}/\d{4}\s+a\s+\d{2}/(\d{2}/\d{4})", "is", "PG"
 )
 COMPETENCIA_PAGTO = java(
-    r"(?:Data de Pagamento|Pagamento|Data)[:\s]+\d{2}/(\d{2}/\d{4})", "i"
+    r"(?:Data de Pagamento|Pagamento|Data)[:\s]+\d{2}/(\d{2}/\d{4})", "i", "DP"
 )
 TIPO_CALCULO = java(r"Cálculo\s*:\s*(.+)", "i")
 DEPARTAMENTO = java(r"Departamento:\s*(.+)")
-VINCULO = java(r"(Empr|Contr)\.?")
+VINCULO = java(r"(Empr|Contr)\.?", starts="EC")
 SITUACAO = java(r"Situação:\s*([^\n\r]+)")
 SITUACAO_CUT = java(r"\s+(?:CPF:|Adm:|PIS/PASEP:|Matrícula:)")
-SITUACAO_HEADER = java(r"(?:Empr|Contr)\.?\s*:\s*\d+.*?(?=\n|CPF:)", "s")
+SITUACAO_HEADER = java(r"((?:Empr|Contr)\.?\s*:\s*\d+.*?)(?=\n|CPF:)", "s", "EC")
 SITUACAO_END = java(r"\s(Trabalhando|Afastado|Férias|Demitido)\s*$", "i")
 DEMISSAO_MOTIVO = java(r"DEMITIDO EM\s+(\d{2}/\d{2}/\d{4})\s*-\s*(.*?)(?=\n|$)", "is")
-DEMISSAO_DATA = java(r"(?:Data Demissão|Demissão):\s*(\d{2}/\d{2}/\d{4})", "i")
+DEMISSAO_DATA = java(r"(?:Data Demissão|Demissão):\s*(\d{2}/\d{2}/\d{4})", "i", "D")
 NOME = java(
-    r"(?:Empr|Contr)\.?\s*:\s*\d+\s+(.*?)(?=\s*Situação:|\s*CPF:|\s*Adm:|\n)", "is"
+    r"(?:Empr|Contr)\.?\s*:\s*\d+\s+(.*?)(?=\s*Situação:|\s*CPF:|\s*Adm:|\n)", "is", "EC"
 )
 NOME_FERIAS = java(
     r"Nome do Funcionário\s+(.*?)(?=\s*Situação:|\s*PIS/PASEP:|\s*Matrícula:|\n)", "is"
@@ -65,22 +74,25 @@ ADMISSAO = java(r"Adm?:\s*(\d{2}/\d{2}/\d{4})")
 CARGO = java(r"Cargo:\s*\d+\s+(.*?)(?=\s+Salário:|\s+C\.|С\.)", "s")  # last letter: U+0421
 CARGO_FERIAS = java(r"Cargo:\s+(.*?)(?=\s+Data de Pagamento:|\n)", "s")
 SALARIO = java(r"Salário:\s*([\d\.,]+)")
-PROVENTOS = java(r"Proventos:\s*([\d\.,]+)", "i")
-PROVENTOS_FERIAS = java(r"Total de Proventos\s+([\d\.,]+)", "is")
-DESCONTOS = java(r"Descontos:\s*([\d\.,]+)", "i")
-DESCONTOS_FERIAS = java(r"Total de Descontos\s+([\d\.,]+)", "is")
-LIQUIDO = java(r"L[íi]quido:\s*([\d\.,]+)", "i")
-LIQUIDO_FERIAS = java(r"L[íi]quido de F[ée]rias\s+([\d\.,]+)", "is")
-BASE_INSS = java(r"Base INSS:\s*([\d\.,]+)", "i")
-BASE_INSS_FERIAS = java(r"Base INSS F[ée]rias\s+([\d\.,]+)", "is")
-BASE_FGTS = java(r"Base FGTS:\s*([\d\.,]+)", "i")
-BASE_FGTS_FERIAS = java(r"Base FGTS F[ée]rias\s+([\d\.,]+)", "is")
-VALOR_FGTS = java(r"Valor FGTS:\s*([\d\.,]+)", "i")
-VALOR_FGTS_FERIAS = java(r"Valor FGTS F[ée]rias\s+([\d\.,]+)", "is")
-BASE_IRRF = java(r"Base IRRF:\s*([\d\.,]+)", "i")
-BASE_IRRF_FERIAS = java(r"Base IRRF F[ée]rias\s+([\d\.,]+)", "is")
+# Two patterns per footer field: ``label: value`` on payslips, ``label value`` on receipts.
+TOTALS = {
+    name: tuple(java(p, "i") for p in both)
+    for name, both in {
+        "total_proventos": (r"Proventos:\s*([\d\.,]+)", r"Total de Proventos\s+([\d\.,]+)"),
+        "total_descontos": (r"Descontos:\s*([\d\.,]+)", r"Total de Descontos\s+([\d\.,]+)"),
+        "valor_liquido": (r"L[íi]quido:\s*([\d\.,]+)", r"L[íi]quido de F[ée]rias\s+([\d\.,]+)"),
+        "base_inss": (r"Base INSS:\s*([\d\.,]+)", r"Base INSS F[ée]rias\s+([\d\.,]+)"),
+        "base_fgts": (r"Base FGTS:\s*([\d\.,]+)", r"Base FGTS F[ée]rias\s+([\d\.,]+)"),
+        "valor_fgts": (r"Valor FGTS:\s*([\d\.,]+)", r"Valor FGTS F[ée]rias\s+([\d\.,]+)"),
+        "base_irrf": (r"Base IRRF:\s*([\d\.,]+)", r"Base IRRF F[ée]rias\s+([\d\.,]+)"),
+    }.items()
+}
 ITEM_HOLERITE = java(r"(\d+)\s+(.*?)\s+([\d\.,]+)\s+([PD])(?=\s+\d{2,}|$)")
 ITEM_FERIAS = java(r"(\d+)\s+(.*?)\s+[\d\.,/%]+\s+([\d\.,]+)\s+([PD])(?=\s+\d{2,}|$)")
+# The item pattern on a whole table: blanks and ``$`` stay inside a line.
+ITEM_TABLE = ITEM_HOLERITE.replace(_WS, _WS.replace(r"\t-\r", r"\t\x0b-\r")).replace(
+    "|$)", r"|\n|\z)"
+)
 ANY_DIGIT = java(r"\d")
 
 
@@ -93,9 +105,10 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """Group of the first match; NULL without a match, '' when the group is empty.
 
     ``regexp_extract`` returns '' in both cases, and telling them apart decides
-    whether a fallback pattern may run.
+    whether a fallback pattern may run.  The tail swallows the rest of the text, so the
+    search ends with the first match.
     """
-    return F.get(all_matches(text, pattern, group), F.lit(0))
+    return F.get(all_matches(text, pattern + "(?s:.*)", group), F.lit(0))
 
 
 def first_of(text: Column, *patterns: str, group: int = 1) -> Column:

@@ -16,8 +16,9 @@ from payloom.functions.numbers import brl_number, to_decimal_safe
 from payloom.functions.text import clean_cpf, clean_text, name_suffix_strip, one_line, strip
 from payloom.operators.conform import typed
 
-# A noncharacter that marks where a department header starts while a text is cut.
-_MARK = "￿"
+# Noncharacters, which no text carries: the start of a department header while a text is
+# cut, and the separators of entries and of their parts.
+_MARK, _CUT, _PART = "\uffff", "\ufffe", "\ufdd0"
 _BLOCK_MIN_CHARS = 50
 
 
@@ -96,8 +97,10 @@ def all_blocks(docs: DataFrame) -> DataFrame:
         department_headers(text).alias("_headers"),
         cut_with_headers(text).alias("_cut"),
     )
+    # The outer form keeps Catalyst from adding a size filter that would cut every text twice.
     exploded = cut.select(
-        "file", "competencia", "tipo_calculo", "_headers", F.posexplode("_cut").alias("pos", "_part")
+        "file", "competencia", "tipo_calculo", "_headers",
+        F.posexplode_outer("_cut").alias("pos", "_part"),
     )
     seen = F.col("_part.seen")
     return exploded.select(
@@ -130,7 +133,7 @@ def vinculo(block: Column) -> Column:
 
 def situacao(block: Column) -> Column:
     labelled = P.first_match(block, P.SITUACAO)
-    header = P.first_match(block, P.SITUACAO_HEADER, 0)
+    header = P.first_match(block, P.SITUACAO_HEADER)
     return F.coalesce(
         strip(F.split(labelled, P.SITUACAO_CUT, 2)[0]), P.first_match(header, P.SITUACAO_END)
     )
@@ -152,20 +155,8 @@ def cargo(block: Column) -> Column:
     return one_line(P.first_of(block, P.CARGO, P.CARGO_FERIAS))
 
 
-MONEY_PATTERNS = {
-    "salario_contratual": (P.SALARIO,),
-    "total_proventos": (P.PROVENTOS, P.PROVENTOS_FERIAS),
-    "total_descontos": (P.DESCONTOS, P.DESCONTOS_FERIAS),
-    "valor_liquido": (P.LIQUIDO, P.LIQUIDO_FERIAS),
-    "base_inss": (P.BASE_INSS, P.BASE_INSS_FERIAS),
-    "base_fgts": (P.BASE_FGTS, P.BASE_FGTS_FERIAS),
-    "valor_fgts": (P.VALOR_FGTS, P.VALOR_FGTS_FERIAS),
-    "base_irrf": (P.BASE_IRRF, P.BASE_IRRF_FERIAS),
-}
-
-
-def money_field(block: Column, name: str) -> Column:
-    return brl_number(P.first_of(block, *MONEY_PATTERNS[name]))
+def total(block: Column, name: str) -> Column:
+    return brl_number(P.first_of(block, *P.TOTALS[name]))
 
 
 def extract_fields(blocks: DataFrame) -> DataFrame:
@@ -181,7 +172,8 @@ def extract_fields(blocks: DataFrame) -> DataFrame:
         strip(P.first_match(block, P.CPF)).alias("cpf"),
         P.first_match(block, P.ADMISSAO).alias("data_admissao"),
         cargo(block).alias("cargo"),
-        *(money_field(block, name).alias(name) for name in MONEY_PATTERNS),
+        brl_number(P.first_match(block, P.SALARIO)).alias("salario_contratual"),
+        *(total(block, name).alias(name) for name in P.TOTALS),
     )
     name = name_suffix_strip(F.col("_nome"), F.col("situacao"))
     return found.withColumn("nome_funcionario", name).drop("_nome")
@@ -208,32 +200,37 @@ def item_lines(block: Column) -> Column:
     return F.filter(lines, lambda line, i: (i > 0) & line.rlike(P.ANY_DIGIT))
 
 
-def _item(match: Column, pattern: str) -> Column:
-    # A full match contains its own groups, so the short text is enough here.
+def layout_counts(line: Column) -> Column:
+    """Matches of the regular and of the vacation item layout in one line.
+
+    The vacation layout applies only with strictly more matches, and that cannot happen:
+    a vacation match is also a regular one from the same start (its reference column
+    joins the description) and the regular match ends no later, so scanning left to
+    right the regular layout never falls behind.  Extraction therefore runs one pattern.
+    """
     return F.struct(
-        F.regexp_extract(match, pattern, 1).alias("codigo"),
-        F.regexp_extract(match, pattern, 2).alias("descricao"),
-        brl_number(F.regexp_extract(match, pattern, 3)).alias("valor"),
-        F.regexp_extract(match, pattern, 4).alias("flag"),
+        F.regexp_count(line, F.lit(P.ITEM_HOLERITE)).alias("holerite"),
+        F.regexp_count(line, F.lit(P.ITEM_FERIAS)).alias("ferias"),
     )
 
 
-def line_items(line: Column) -> Column:
-    """Items of one line; the vacation layout only if it finds strictly more of them."""
-    both = F.array(
-        F.struct(
-            P.all_matches(line, P.ITEM_HOLERITE).alias("holerite"),
-            P.all_matches(line, P.ITEM_FERIAS).alias("ferias"),
-        )
-    )
-    chosen = F.transform(
-        both,
-        lambda m: F.when(
-            F.size(m["ferias"]) > F.size(m["holerite"]),
-            F.transform(m["ferias"], lambda x: _item(x, P.ITEM_FERIAS)),
-        ).otherwise(F.transform(m["holerite"], lambda x: _item(x, P.ITEM_HOLERITE))),
+def text_items(lines: Column) -> Column:
+    """Items of one or more lines, in order; no match reaches over a line end.
+
+    One pass rewrites every match as its four separated groups; the lambda then only
+    splits short texts.
+    """
+    rewritten = F.regexp_replace(lines, P.ITEM_TABLE, _CUT + _PART.join(("$1", "$2", "$3", "$4")) + _CUT)
+    found = F.filter(F.split(rewritten, _CUT), lambda m: m.contains(_PART))
+    return F.transform(
+        F.transform(found, lambda m: F.split(m, _PART)),
+        lambda g: F.struct(
+            F.get(g, F.lit(0)).alias("codigo"),
+            F.get(g, F.lit(1)).alias("descricao"),
+            brl_number(F.get(g, F.lit(2))).alias("valor"),
+            F.get(g, F.lit(3)).alias("flag"),
+        ),
     )
-    return F.flatten(chosen)
 
 
 def has_value(item: Column) -> Column:
@@ -242,8 +239,12 @@ def has_value(item: Column) -> Column:
 
 
 def block_items(block: Column) -> Column:
-    """Array of the items of a block; NULL or empty when it has none."""
-    return F.filter(F.flatten(F.transform(item_lines(block), line_items)), has_value)
+    """Array of the items of a block; NULL or empty when it has none.
+
+    The first line of the table is the tail of the header line and holds no item.
+    """
+    body = F.get(F.split(item_table(block), "\n", 2), F.lit(1))
+    return F.filter(text_items(body), has_value)
 
 
 def flag_type(flag: Column) -> Column:

@@ -67,11 +67,13 @@ class Warehouse:
 
     # -- period-partitioned facts --
 
-    def has_periods(self, name: str) -> bool:
-        return bool(self._fs().exists(self._path(f"{self.root}/{name}/_SUCCESS")))
+    def has_periods(self, name: str, period: str = "competencia") -> bool:
+        return bool(self._fs().globStatus(self._path(f"{self.root}/{name}/{period}=*")))
 
-    def read_periods(self, name: str, schema: dict[str, str]) -> DataFrame:
-        if not self.has_periods(name):
+    def read_periods(
+        self, name: str, schema: dict[str, str], period: str = "competencia"
+    ) -> DataFrame:
+        if not self.has_periods(name, period):
             return self.spark.createDataFrame([], to_ddl(schema))
         return self.spark.read.schema(to_ddl(schema)).parquet(f"{self.root}/{name}")
 

@@ -2,7 +2,7 @@
 
 
 def QUERIES_AND_ORACLES():
-    from workloads import documents, people, scalars  # noqa: F401
+    from workloads import documents, people, scalars, warehouse  # noqa: F401
     from workloads.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

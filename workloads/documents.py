@@ -113,8 +113,8 @@ def x_item_table(spark, sf):
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
     blocks = payslips.extract_fields(payslips.employee_blocks(payslip_docs(spark, sf)))
-    exploded = blocks.withColumn("item", F.explode(payslips.block_items(F.col("block"))))
-    return exploded.drop("block").select("*", "item.*").drop("item")
+    exploded = blocks.withColumn("item", F.explode_outer(payslips.block_items(F.col("block"))))
+    return exploded.where("item is not null").drop("block").select("*", "item.*").drop("item")
 
 
 @query("x_items", f"{ITEMS_SQL} SELECT file, pos, codigo, descricao, valor, flag FROM items")
@@ -178,8 +178,8 @@ LINE_SQL = """WITH l AS (SELECT *, l_partkey % 7 <> 0 AS tem FROM lineitem), m A
 @query("regex_extract_repeating", LINE_SQL + "SELECT * FROM m")
 def regex_extract_repeating(spark, sf):
     found = item_line_rows(spark, sf).select(
-        "l_orderkey", "l_linenumber", F.explode(payslips.line_items(F.col("linha"))).alias("i")
-    )
+        "l_orderkey", "l_linenumber", F.explode_outer(payslips.text_items(F.col("linha"))).alias("i")
+    ).where("i is not null")
     return found.select("l_orderkey", "l_linenumber", "i.codigo", "i.descricao", "i.valor", "i.flag")
 
 
@@ -189,8 +189,9 @@ def regex_extract_repeating(spark, sf):
     "FROM m WHERE valor <> 0 GROUP BY codigo",
 )
 def filter_zero_values(spark, sf):
-    kept = F.filter(payslips.line_items(F.col("linha")), payslips.has_value)
-    found = item_line_rows(spark, sf).select(F.explode(kept).alias("i")).select("i.*")
+    kept = F.filter(payslips.text_items(F.col("linha")), payslips.has_value)
+    found = item_line_rows(spark, sf).select(F.explode_outer(kept).alias("i")).where("i is not null")
+    found = found.select("i.*")
     return found.groupBy("codigo").agg(
         F.sum(cents(F.col("valor"))).alias("centavos"), F.count(F.lit(1)).alias("n")
     )
@@ -202,13 +203,14 @@ def filter_zero_values(spark, sf):
     "CASE WHEN l_partkey % 7 = 0 THEN 0 ELSE 2 END AS n_ferias, 'false' AS usa_ferias FROM lineitem",
 )
 def count_matches(spark, sf):
-    n_pay, n_vac = F.col("n_holerite"), F.col("n_ferias")
-    counted = item_line_rows(spark, sf).select(
+    n = payslips.layout_counts(F.col("linha"))
+    counted = item_line_rows(spark, sf).select("l_orderkey", "l_linenumber", n.alias("n"))
+    return counted.select(
         "l_orderkey", "l_linenumber",
-        F.regexp_count("linha", F.lit(P.ITEM_HOLERITE)).alias("n_holerite"),
-        F.regexp_count("linha", F.lit(P.ITEM_FERIAS)).alias("n_ferias"),
+        F.col("n.holerite").alias("n_holerite"),
+        F.col("n.ferias").alias("n_ferias"),
+        (F.col("n.ferias") > F.col("n.holerite")).alias("usa_ferias"),
     )
-    return counted.withColumn("usa_ferias", n_vac > n_pay)
 
 
 @query(
