@@ -17,7 +17,14 @@ _CLASSES = {r"\s": f"[{_WS}]", r"\S": f"[^{_WS}]", r"\d": r"\p{Nd}"}
 _INSIDE = {r"\s": _WS, r"\d": r"\p{Nd}"}
 
 
-def java(pattern: str, flags: str = "", starts: str = "") -> str:
+class Pattern(str):
+    """A JVM pattern that remembers the Python pattern and flags it stands for."""
+
+    source: str
+    flags: str
+
+
+def java(pattern: str, flags: str = "", starts: str = "") -> Pattern:
     """JVM form of a Python pattern; ``.`` and ``$`` stop at newlines only.
 
     ``starts`` lists the letters a match can begin with: one class test then rejects
@@ -39,7 +46,9 @@ def java(pattern: str, flags: str = "", starts: str = "") -> str:
             out.append(ch)
         i += 1
     guard = f"(?=[{starts}])" if starts else ""
-    return f"(?d{flags})" + guard + "".join(out)
+    compiled = Pattern(f"(?d{flags})" + guard + "".join(out))
+    compiled.source, compiled.flags = pattern, flags
+    return compiled
 
 
 # Document patterns (Python syntax) with their flags.

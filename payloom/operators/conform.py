@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Exactly the columns of ``schema``, in order; missing ones are typed NULLs."""
-    return df.select(
-        *(
-            (F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)).alias(name)
-            for name, kind in schema.items()
-        )
-    )
+    present = dict(df.dtypes)
+
+    def value(name: str, kind: str) -> Column:
+        if name not in present:
+            return F.lit(None).cast(kind).alias(name)
+        return F.col(name) if present[name] == kind else F.col(name).try_cast(kind).alias(name)
+
+    return df.select(*(value(name, kind) for name, kind in schema.items()))
 
 
 def add_columns(df: DataFrame, schema: dict[str, str], drop: tuple[str, ...] = ()) -> DataFrame:
@@ -21,8 +23,9 @@ def add_columns(df: DataFrame, schema: dict[str, str], drop: tuple[str, ...] = (
 
     Applying it twice gives the same columns as applying it once.
     """
-    kept = [F.col(c) for c in df.columns if c not in drop]
-    new = [F.lit(None).cast(k).alias(c) for c, k in schema.items() if c not in df.columns]
+    present = df.columns
+    kept = [F.col(c) for c in present if c not in drop]
+    new = [F.lit(None).cast(k).alias(c) for c, k in schema.items() if c not in present]
     return df.select(*kept, *new)
 
 

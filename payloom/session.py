@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call-site capture costs milliseconds for each Column of a wide projection
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

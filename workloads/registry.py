@@ -30,15 +30,14 @@ def plain(df: DataFrame) -> DataFrame:
     """Output types every client prints alike: text, bigint and double."""
 
     def portable(name: str, kind: str):
-        c = F.col(f"`{name}`")
         if kind in ("int", "smallint", "tinyint"):
-            c = c.cast("bigint")
-        elif kind.startswith("decimal") or kind == "float":
-            c = c.cast("double")
-        elif kind in ("date", "boolean"):
-            c = c.cast("string")
-        elif kind.startswith("timestamp"):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        return c.alias(name)
+            return F.col(name).cast("bigint").alias(name)
+        if kind.startswith("decimal") or kind == "float":
+            return F.col(name).cast("double").alias(name)
+        if kind in ("date", "boolean"):
+            return F.col(name).cast("string").alias(name)
+        if kind.startswith("timestamp"):
+            return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+        return name
 
     return df.select(*(portable(n, k) for n, k in df.dtypes))
