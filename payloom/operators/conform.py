@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def empty(spark: SparkSession, schema: dict[str, str]) -> DataFrame:
+    """No rows of a schema; Catalyst folds it to an empty local table."""
+    return spark.range(0, 0, 1, 1).select(
+        *(F.lit(None).cast(kind).alias(name) for name, kind in schema.items())
+    )
+
+
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Exactly the columns of ``schema``, in order; missing ones are typed NULLs."""
     present = dict(df.dtypes)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payloom import schemas as S
+from payloom.operators.conform import empty
 
-DOCUMENTS = "file string, text string"
+DOCUMENTS = S.ddl("file string, text string")
 _MISSING = "PATH_NOT_FOUND"
 
 
@@ -16,7 +17,7 @@ def scan_payslip_text(spark: SparkSession, folder: str, suffix: str = ".txt") ->
     """``(file, text)``: one row per document of a folder, not recursive.
 
     The suffix is matched in any letter case.  A missing folder, or one without a
-    match, gives an empty frame of the same schema.
+    match, gives an empty frame of the same schema; a file of zero bytes gives no row.
     """
     glob = "*" + "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in suffix)
     try:
@@ -24,13 +25,13 @@ def scan_payslip_text(spark: SparkSession, folder: str, suffix: str = ".txt") ->
     except AnalysisException as error:
         if error.getCondition() != _MISSING:
             raise
-        return spark.createDataFrame([], DOCUMENTS)
+        return empty(spark, DOCUMENTS)
     return raw.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
 
 
 def scan_payslip_table(spark: SparkSession, path: str) -> DataFrame:
     """The same rows from a splittable table; better than small files for a large archive."""
-    return spark.read.schema(DOCUMENTS).parquet(path)
+    return spark.read.schema(S.to_ddl(DOCUMENTS)).parquet(path)
 
 
 def scan_employee_json(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:

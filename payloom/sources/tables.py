@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from payloom.operators.conform import empty
 from payloom.schemas import to_ddl
 
 _PUBLISHED = "_PUBLISHED"
@@ -41,7 +42,7 @@ class Warehouse:
         """Newest published version, or an empty frame of ``schema``."""
         versions = self._versions(name, f"/{_PUBLISHED}")
         if not versions:
-            return self.spark.createDataFrame([], to_ddl(schema))
+            return empty(self.spark, schema)
         return self.spark.read.parquet(self._folder(name, versions[-1]))
 
     def _folder(self, name: str, version: int) -> str:
@@ -74,7 +75,7 @@ class Warehouse:
         self, name: str, schema: dict[str, str], period: str = "competencia"
     ) -> DataFrame:
         if not self.has_periods(name, period):
-            return self.spark.createDataFrame([], to_ddl(schema))
+            return empty(self.spark, schema)
         return self.spark.read.schema(to_ddl(schema)).parquet(f"{self.root}/{name}")
 
     def replace_periods(self, name: str, batch: DataFrame, period: str = "competencia") -> None:
