@@ -11,6 +11,12 @@ from payloom.session import build_session
 from workloads import QUERIES_AND_ORACLES
 
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
@@ -49,8 +55,7 @@ def main(argv):
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
-    for t in ("region nation customer supplier part orders lineitem events documents embeddings pages "
-              "benchmark labels conversations").split():
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     bad = 0
     for name in names:

@@ -61,14 +61,21 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    rows = spread(orders, "o_orderkey")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     pc = cents(F.col("o_totalprice"))
     v2 = F.floor(pc / 10)
-    date = F.col("o_orderdate").cast("date")
-    month = F.date_format(date, "MM/yyyy")
-    adm = F.date_sub(date, (k % 1000).cast("int"))
-    dem = F.date_add(adm, 365)
+    on = F.col("o_orderdate").cast("date")
+    start = F.date_sub(on, (k % 1000).cast("int"))
+    # formatted once here, used many times below
+    rows = spread(orders, "o_orderkey").select(
+        "*",
+        brl(pc).alias("bruto"), brl(v2).alias("desconto"), brl(pc - v2).alias("liquido"),
+        brl(F.floor(pc * 8 / 100)).alias("fgts"), F.date_format(on, "MM/yyyy").alias("mes"),
+        day(on).alias("data"), day(start).alias("adm"), day(F.date_add(start, 365)).alias("dem"),
+        *(cpf_text(c * 10 + i).alias(f"cpf{i}") for i in (1, 2, 3)),
+    )
+    bruto, desconto, liquido, fgts = map(F.col, ("bruto", "desconto", "liquido", "fgts"))
+    month, date, adm, dem = map(F.col, ("mes", "data", "adm", "dem"))
     none = F.lit("")
 
     preamble = text_of(
@@ -78,7 +85,7 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
                 0: text_of("Competência: ", month, "\n"),
                 1: text_of("REFERÊNCIA ", month, "\n"),
                 2: text_of("Período de Gozo: 01/", month, " a 28/", month, "\n"),
-                3: text_of("Data de Pagamento: ", day(date), "\n"),
+                3: text_of("Data de Pagamento: ", date, "\n"),
             },
             none,
         ),
@@ -88,31 +95,31 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 3 != 2, text_of("Departamento: ", F.col("o_orderpriority"), "\n")).otherwise(""),
     )
 
-    cpf_a = F.when(k % 29 == 0, "--").otherwise(cpf_text(c * 10 + 1))
+    cpf_a = F.when(k % 29 == 0, "--").otherwise(F.col("cpf1"))
     name_a = text_of("FUNC ", c, " A")
     header_a = when_mod(
         k, 4,
         {
-            0: text_of("Empr.: ", c, " ", name_a, " Situação: Trabalhando CPF: ", cpf_a, " Adm: ", day(adm)),
-            1: text_of("EMPR: ", c, " ", name_a, " SITUAÇÃO: Férias CPF: ", cpf_a, " Adm: ", day(adm)),
-            2: text_of("Empr: ", c, " ", name_a, " Trabalhando\nCPF: ", cpf_a, " Adm: ", day(adm)),
+            0: text_of("Empr.: ", c, " ", name_a, " Situação: Trabalhando CPF: ", cpf_a, " Adm: ", adm),
+            1: text_of("EMPR: ", c, " ", name_a, " SITUAÇÃO: Férias CPF: ", cpf_a, " Adm: ", adm),
+            2: text_of("Empr: ", c, " ", name_a, " Trabalhando\nCPF: ", cpf_a, " Adm: ", adm),
         },
         text_of(
             "Empr.:", NBSP, c, NBSP, name_a, " PIS: Situação:", NBSP, "Afastado CPF:", NBSP, cpf_a,
-            " Adm:", NBSP, day(adm),
+            " Adm:", NBSP, adm,
         ),
     )
     totals_a = text_of(
-        "Proventos: ", brl(pc), " Descontos: ", brl(v2), " Líquido: ", brl(pc - v2), "\n"
+        "Proventos: ", bruto, " Descontos: ", desconto, " Líquido: ", liquido, "\n"
     )
     block_a = text_of(
         header_a,
         "\n",
         F.when(k % 6 == 5, "Cargo: GERENTE GERAL\n").otherwise(
-            text_of("Cargo: ", k % 90 + 10, " CARGO ", k % 7, " Salário: ", brl(pc), "\n")
+            text_of("Cargo: ", k % 90 + 10, " CARGO ", k % 7, " Salário: ", bruto, "\n")
         ),
-        (k * 7) % 1000 + 10, " DESC UM 220,00 ", brl(pc), " P ",
-        k % 1800 + 8000, " DESC DOIS 11,00 ", brl(v2), " D\n",
+        (k * 7) % 1000 + 10, " DESC UM 220,00 ", bruto, " P ",
+        k % 1800 + 8000, " DESC DOIS 11,00 ", desconto, " D\n",
         F.when(k % 3 == 0, "777777 ITEM NOVO 1,00 10,00 P\n").otherwise(""),
         F.when(k % 5 == 0, "150 HORAS 0,00 0,00 P\n").otherwise(""),
         "SEM NUMEROS AQUI\n",
@@ -120,35 +127,35 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
         when_mod(
             k, 7,
             {
-                0: text_of("DEMITIDO EM ", day(dem), " - PEDIDO ", k % 10, "\n"),
-                1: text_of("Data Demissão: ", day(dem), "\n"),
+                0: text_of("DEMITIDO EM ", dem, " - PEDIDO ", k % 10, "\n"),
+                1: text_of("Data Demissão: ", dem, "\n"),
             },
             none,
         ),
         F.when(k % 8 == 3, F.upper(totals_a)).otherwise(totals_a),
-        "Base INSS: ", brl(pc), " Base FGTS: ", brl(pc), " Valor FGTS: ", brl(F.floor(pc * 8 / 100)),
-        " Base IRRF: ", brl(pc - v2), "\n",
+        "Base INSS: ", bruto, " Base FGTS: ", bruto, " Valor FGTS: ", fgts,
+        " Base IRRF: ", liquido, "\n",
         F.when(k % 2 == 0, text_of("Departamento: SETOR ", c % 10, " \n")).otherwise(""),
     )
 
     block_b = text_of(
-        "Contr: ", c + 100000, " FUNC ", c, " B Afastado\nCPF: ", cpf_text(c * 10 + 2), " Adm: ", day(adm),
-        "\nCargo: 7 SOCIO C.B.O. 123\n9380 PRO LABORE DIAS 30,00 ", brl(pc), " P\nND: 1\n",
-        "Proventos: ", brl(pc), " Descontos: 0,00 Líquido: ", brl(pc), "\n",
+        "Contr: ", c + 100000, " FUNC ", c, " B Afastado\nCPF: ", F.col("cpf2"), " Adm: ", adm,
+        "\nCargo: 7 SOCIO C.B.O. 123\n9380 PRO LABORE DIAS 30,00 ", bruto, " P\nND: 1\n",
+        "Proventos: ", bruto, " Descontos: 0,00 Líquido: ", bruto, "\n",
     )
 
     footer_c = text_of(
-        "Total de Proventos ", brl(pc), " Total de Descontos ", brl(v2), "\nLíquido de Férias ",
-        brl(pc - v2), "\nBase INSS Férias ", brl(pc), " Base FGTS Férias ", brl(pc),
-        " Valor FGTS Férias ", brl(F.floor(pc * 8 / 100)), " Base IRRF Férias ", brl(pc - v2), "\n",
+        "Total de Proventos ", bruto, " Total de Descontos ", desconto, "\nLíquido de Férias ",
+        liquido, "\nBase INSS Férias ", bruto, " Base FGTS Férias ", bruto,
+        " Valor FGTS Férias ", fgts, " Base IRRF Férias ", liquido, "\n",
     )
     block_c = F.when(k % 19 == 2, text_of("Matrícula: ", c, " X\n")).otherwise(
         text_of(
             F.when(k % 6 == 2, "MATRÍCULA: ").otherwise("Matrícula: "), c,
-            "\nNome do Funcionário FUNC ", c, " C PIS/PASEP: 123\nCPF: ", cpf_text(c * 10 + 3),
+            "\nNome do Funcionário FUNC ", c, " C PIS/PASEP: 123\nCPF: ", F.col("cpf3"),
             "\nCargo: AUXILIAR",
-            F.when(k % 5 == 3, text_of(" Data de Pagamento: ", day(date))).otherwise(""),
-            "\n8783 DIAS FERIAS 30/30 ", brl(pc), " P\n812 INSS FERIAS 9,00 ", brl(v2), " D\n",
+            F.when(k % 5 == 3, text_of(" Data de Pagamento: ", date)).otherwise(""),
+            "\n8783 DIAS FERIAS 30/30 ", bruto, " P\n812 INSS FERIAS 9,00 ", desconto, " D\n",
             F.when(k % 11 == 0, F.upper(footer_c)).otherwise(footer_c),
         )
     )
