@@ -15,10 +15,15 @@ def _report(df: DataFrame, rule: str, key: str) -> DataFrame:
 
 
 def orphans(facts: DataFrame, fk: str, dim: DataFrame, pk: str, rule: str) -> DataFrame:
-    """Foreign keys without a parent; counted per key first, so a hot key is one row."""
+    """Foreign keys without a parent; counted per key first, so a hot key is one row.
+
+    An anti join would be pushed below the count and shuffle every fact row; the outer
+    join stays above it.
+    """
     counted = facts.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
     parents = dim.select(F.col(pk).alias("_pk"))
-    return _report(counted.join(parents, F.col(fk) == F.col("_pk"), "left_anti"), rule, fk)
+    found = counted.join(parents, F.col(fk) == F.col("_pk"), "left")
+    return _report(found.where("_pk is null"), rule, fk)
 
 
 def duplicates(df: DataFrame, key: str, rule: str) -> DataFrame:

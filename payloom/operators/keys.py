@@ -21,7 +21,8 @@ def assign_keys(new: DataFrame, current: DataFrame, key: str, sk: str) -> DataFr
     Rows are ranked inside 4096 hash buckets in parallel; the bucket counts, at most 4096
     rows, become offsets.  The result depends only on the key values, so a lost task
     recomputes the same numbers.  ``new`` must hold unique, non-NULL keys that
-    ``current`` does not have.
+    ``current`` does not have; it is read twice, so an expensive one should be a stored
+    table.
     """
     bucketed = new.withColumn("_bucket", key_bucket(F.col(key)))
     ranked = bucketed.withColumn(
@@ -46,8 +47,8 @@ def with_unknown_member(dim: DataFrame, key: str, values: dict[str, object]) ->
     member = spark.range(0, 1, 1, 1).select(
         *(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema)
     )
-    taken = dim.where(F.col(key) == F.lit(values[key])).select(key)
-    return dim.unionByName(member.join(taken, key, "left_anti").select(*dim.columns))
+    taken = dim.where(F.col(key) == F.lit(values[key])).select(F.count(F.lit(1))).scalar()
+    return dim.unionByName(member.where(taken == 0))
 
 
 def lookup_surrogate_key(

@@ -47,9 +47,11 @@ def flatten_employees(employees: DataFrame) -> DataFrame:
 
 def explode_benefits(employees: DataFrame) -> DataFrame:
     """One row per benefit; an employee without a list gives none."""
+    # The outer form avoids an inferred size filter, which would parse the JSON twice.
     items = employees.select(
-        nullable_int(F.col("id")).alias("colaborador_id_solides"), F.explode("benefits").alias("b")
-    )
+        nullable_int(F.col("id")).alias("colaborador_id_solides"),
+        F.explode_outer("benefits").alias("b"),
+    ).where("b is not null")
     renamed = items.select(
         "colaborador_id_solides",
         *(F.col(f"b.{path}").alias(name) for path, name in S.BENEFIT_RENAME.items()),

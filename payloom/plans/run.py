@@ -25,6 +25,9 @@ BENEFITS = "fato_beneficios_api"
 STG_PAYROLL = "stg_folha_consol"
 STG_API = "staging_colaboradores"
 STG_BENEFITS = "staging_beneficios_api"
+# Batches with one row per person, stored because a merge reads its batch several times.
+BASE_BATCH = "lote_colaboradores_base"
+RICH_BATCH = "lote_colaboradores"
 
 
 def load_calendar(wh: Warehouse) -> None:
@@ -46,7 +49,8 @@ def load_payroll(wh: Warehouse, docs: DataFrame, csv_folder: str | None = None)
         write_csv_locale(detail.drop("file", "pos"), f"{csv_folder}/FOPAG_Detalhada_Tratada")
 
     current = star.base_with_unknown(wh.read(BASE, S.DIM_BASE))
-    base_folder, base = wh.stage(BASE, star.upsert_base(current, star.base_batch(consol)))
+    _, people = wh.stage(BASE_BATCH, star.base_batch(consol))
+    base_folder, base = wh.stage(BASE, star.upsert_base(current, people))
     wh.publish(base_folder)
     if has_period(consol):
         wh.publish(staging)
@@ -62,11 +66,10 @@ def load_employees(wh: Warehouse, records: DataFrame, run_ts: Column) -> None:
     benefits_staging, benefits = wh.stage(STG_BENEFITS, employees.explode_benefits(records))
 
     current = star.base_with_unknown(wh.read(BASE, S.DIM_BASE))
-    base_folder, base = wh.stage(
-        BASE, star.upsert_base_name(current, star.base_batch_from_api(staged))
-    )
+    _, names = wh.stage(BASE_BATCH, star.base_batch_from_api(staged))
+    base_folder, base = wh.stage(BASE, star.upsert_base_name(current, names))
     rich = star.rich_with_unknown(wh.read(RICH, S.DIM_RICH))
-    batch = star.rich_batch(staged, base, run_ts)
+    _, batch = wh.stage(RICH_BATCH, star.rich_batch(staged, base, run_ts))
     require_clean(star.rich_conflicts(rich, batch))
     rich_folder, _ = wh.stage(RICH, star.upsert_rich(rich, batch))
     fact_folder, _ = wh.stage(BENEFITS, star.benefits_fact(benefits, staged, base, run_ts))

@@ -40,6 +40,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Store a frame in the work folder and read it back: it is computed once."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Give CPU-heavy work at least one task per core.
 

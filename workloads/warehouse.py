@@ -14,7 +14,7 @@ from payloom.operators import checks, keys, merge
 from payloom.operators.conform import add_columns, conform
 from payloom.operators.dedup import first_per_key
 from payloom.plans import employees, payslips, run, star
-from payloom.session import work_folder
+from payloom.session import settle, work_folder
 from payloom.sources.rubrics import scan_rubric_map
 from payloom.sources.tables import Warehouse
 from workloads.documents import DETAIL_SQL, TYPED_SQL, typed_records
@@ -178,7 +178,8 @@ def distinct_on_id_desc(spark, sf):
 )
 def surrogate_key_assign(spark, sf):
     current = person_rows(spark, sf)
-    fresh = merge.new_keys(current, star.base_batch(payroll_rows(spark, sf)), "cpf")
+    batch = settle(star.base_batch(payroll_rows(spark, sf)), "batch")
+    fresh = merge.new_keys(current, batch, "cpf")
     return keys.assign_keys(fresh, current, "cpf", "colaborador_sk").select(
         "colaborador_sk", "cpf", "nome_colaborador"
     )
@@ -218,7 +219,8 @@ MERGED = (
 
 @query("upsert_scd1_coalesce", f"WITH {CUR}, {BAT}, {numbered('bat')}, m AS ({MERGED}) SELECT {BASE_OUT} FROM m")
 def upsert_scd1_coalesce(spark, sf):
-    return star.upsert_base(person_rows(spark, sf), star.base_batch(payroll_rows(spark, sf)))
+    batch = settle(star.base_batch(payroll_rows(spark, sf)), "batch")
+    return star.upsert_base(person_rows(spark, sf), batch)
 
 
 @query(
@@ -229,7 +231,8 @@ def upsert_scd1_coalesce(spark, sf):
     f"SELECT {BASE_OUT} FROM m",
 )
 def upsert_name_only(spark, sf):
-    return star.upsert_base_name(person_rows(spark, sf), star.base_batch_from_api(api_rows(spark, sf)))
+    batch = settle(star.base_batch_from_api(api_rows(spark, sf)), "batch")
+    return star.upsert_base_name(person_rows(spark, sf), batch)
 
 
 @query(
@@ -464,7 +467,7 @@ RICH_CUR = f"""rica AS (SELECT c_custkey + 1 AS colaborador_sk, c_custkey AS id,
 def upsert_partial_columns(spark, sf):
     everyone = person_rows(spark, sf, known_only=False)
     current = star.rich_with_unknown(rich_rows(spark, sf))
-    batch = star.rich_batch(staged_employees(spark, sf), everyone, run_ts())
+    batch = settle(star.rich_batch(staged_employees(spark, sf), everyone, run_ts()), "rich-batch")
     merged = star.upsert_rich(current, batch).select(*RICH_SHOWN)
     return as_text(merged, "salario_api", "valor_rescisao")
 
@@ -605,10 +608,8 @@ def documents_to_base(spark, sf):
 
     The records are stored once: the dimension batch and both facts read the table.
     """
-    folder = work_folder(spark, "records")
-    typed_records(spark, sf).write.parquet(folder)
-    records = spark.read.parquet(folder)
-    batch = star.base_batch(payslips.consolidated(records))
+    records = settle(typed_records(spark, sf), "records")
+    batch = settle(star.base_batch(payslips.consolidated(records)), "batch")
     return records, star.upsert_base(person_rows(spark, sf), batch)
 
 
