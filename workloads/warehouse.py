@@ -21,7 +21,8 @@ from workloads.documents import DETAIL_SQL, TYPED_SQL, typed_records
 from workloads.people import parsed
 from workloads.registry import query, table
 from workloads.render import (
-    EMPLOYEE_DOUBLES, EMPLOYEE_SQL, as_text, cents, cpf_digits, expected_as_text, text_of, when_mod,
+    EMPLOYEE_DOUBLES, EMPLOYEE_SQL, as_text, cents, cpf_digits, expected_as_text, stored, text_of,
+    when_mod,
 )
 
 RUN_TS = "2024-01-31 12:00:00"
@@ -608,7 +609,7 @@ def documents_to_base(spark, sf):
 
     The records are stored once: the dimension batch and both facts read the table.
     """
-    records = settle(typed_records(spark, sf), "records")
+    records = spark.read.parquet(stored(spark, sf, "records", typed_records))
     batch = settle(star.base_batch(payslips.consolidated(records)), "batch")
     return records, star.upsert_base(person_rows(spark, sf), batch)
 
