@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,10 +34,20 @@ def fold(c: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if not any(name.startswith("payloom-package") for name in map(os.path.basename, context._python_includes)):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        base = os.path.join(tempfile.mkdtemp(), "payloom-package")
+        context.addPyFile(shutil.make_archive(base, "zip", root, "payloom"))
+
+
 def map_batches(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so long rows never pile up in a worker."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(work, schema)
 
