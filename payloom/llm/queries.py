@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payloom.llm import bpe, mixing, token_counts, token_files, url_filter
+from payloom.llm import bpe, lm_scoring, mixing, quality, token_counts, token_files, url_filter
 from payloom.llm.common import table
 
 
@@ -23,10 +23,18 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.read(token_files.write(docs, vocabulary("byte_bpe_50k.json")), dict(docs.dtypes)["doc_id"])
@@ -37,4 +45,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_source_mixing, op5_token_counts, op9_token_files, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_source_mixing, op4_ctw_scoring, op5_token_counts, op6_quality_classifier, op9_token_files, op10_url_filter)}
