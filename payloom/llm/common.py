@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,38 @@ def map_batches(
     return df.mapInArrow(work, schema)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], at_least: int) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, in tables of some ``at_least`` rows that split no group."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= at_least:
+            rows = pa.Table.from_batches(held)
+            key = rows.column(0).to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield rows.slice(0, cut).combine_chunks()
+                held, n = rows.slice(cut).to_batches(), rows.num_rows - cut
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def in_pairs_of_parts(df: DataFrame, n: Column, most: int, member: Column) -> DataFrame:
+    """Split groups of more than ``most`` rows: adds ``lo``, ``hi`` and ``part``.
+
+    A group of ``n`` rows becomes parts of about ``most`` rows, and every pair of parts meets
+    in one task ``(lo, hi)``; inside it only rows of different parts are to be compared,
+    unless ``lo = hi``.  So every pair of the group is met exactly once, in bounded tasks.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(n / most)).cast("int")
+    dealt = df.withColumn("_parts", parts).withColumn("part", F.pmod(F.xxhash64(member), F.col("_parts")).cast("int"))
+    dealt = dealt.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return dealt.select(
+        *df.columns, "part", F.least("part", "_with").alias("lo"), F.greatest("part", "_with").alias("hi")
+    )
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: ``(node, component)``, the smallest node id.
 

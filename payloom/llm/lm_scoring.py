@@ -1,26 +1,24 @@
 """LM scoring: context-tree weighting over byte contexts, each byte split into eight bits.
 
 **Model.**  A text is its lower-cased (A-Z) UTF-8 bytes and an end mark.  The context of a
-byte is the ``depth`` bytes before it, reaching back to the nearest white space byte, which
-it includes.  Every bit of a byte has a context tree of its own; a node holds how often the
-bit was 0 and 1 there, a Krichevsky-Trofimov estimate of these counts, and the weight of
-stopping at this depth against its children:  ``Pw = (KT + product of children's Pw) / 2``.
-The probability of a bit mixes the estimates of all depths by these weights.  A context that
-training never met defers to the one above it, so every byte has a positive probability.
-
-**How it scales.**  Contexts end at white space, so the score of a text is a sum over items
-(a word between two white space bytes), and the model meets each distinct item once.
-
-1. Tasks count the distinct items of their texts; counts are summed per item over the whole
-   corpus.  Words, their counts and the base score follow from this table.
-2. Items are cut into blocks; each block gives its distinct grams (context and byte), which
-   are summed over all blocks.  Trees below two context bytes never share a node, so they
-   are fitted apart in buckets of gram rows; only the two top levels (at most 256 x 256
-   nodes) meet on the driver.
-3. Each block of items meets the log probabilities of its own grams again and is summed.
-4. Documents add up their items.  An item with at least ``1 / head`` of all occurrences is
-   frequent (at most ``head`` items, whatever the corpus) and known to every task; the rest
-   is joined, and holds no hot key.
+byte is the ``depth`` bytes before it.  Every bit of a byte has a context tree of its own; a
+node holds how often the bit was 0 and 1 there, a Krichevsky-Trofimov estimate of these
+counts, and the weight of stopping at this depth against its children:
+``Pw = (KT + product of children's Pw) / 2``.  The probability of a bit mixes the estimates
+of all depths by these weights.  A context that training never met defers to the one above
+it, so every byte has a positive probability.  ``code_length`` gives bits per byte.
+
+**How it scales.**  A gram is a context and its byte, packed into one number.
+
+1. Documents fall into blocks of about ``BLOCK`` bytes by a hash of their row.  Each block
+   gives its distinct grams and words (by a 64-bit hash) with their training counts.
+2. Counts are summed over all blocks.  Trees below two context bytes never share a node, so
+   they are fitted apart in buckets of gram rows; only the two top levels (at most
+   256 x 256 nodes) meet on the driver.
+3. Each block meets the values of its own grams and words again, and its texts are summed.
+
+So the model may outgrow any one machine: a task holds one block and its own grams, nothing
+is broadcast but the two top levels, and no key is hot, as a block sends each gram once.
 
 Null texts score like empty ones: the end mark alone.  Texts are read whole, repeated rows
 and ids stay rows of their own, and with no training rows at all every bit has probability
@@ -30,111 +28,59 @@ and ids stay rows of their own, and with no training rows at all every bit has p
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payloom.llm.common import fold, map_batches, ship
+from payloom.llm.common import BATCH_BYTES, fold, ship
 from payloom.session import settle
 
 DEPTH = 5
-HELD = 200_000
-#: Longest item, in bytes, of the frequent table.
-SHORT = 64
-#: Items of a block, gram rows of a bucket.
-BLOCK, BUCKET = 200_000, 400_000
-#: Marks that no UTF-8 text holds: an item that is not a word between two spaces, and the end.
-ODD, END = b"\xfe", b"\xff"
-_OTHER = re.compile(rb"[\t\r\x0b\x0c]")
-_CUT = re.compile(rb"([\t-\r ])")
+#: Bytes of text in a block, bytes handled at once inside it, gram rows of a bucket.
+BLOCK, STEP, BUCKET = 24 << 20, 4 << 20, 100_000
+GRAM, WORD = 0, 1
 _LOG10 = math.log(10)
 
 
-# -- items ---------------------------------------------------------------------------
-
-
-def items_of(text: str | None) -> list[bytes]:
-    """Words between two spaces as they are; every other item as mark, byte before, word, byte after."""
-    row = (text or "").encode().lower()
-    if _OTHER.search(row):
-        parts = _CUT.split(row)
-        words, between = parts[::2], [b"\0", *parts[1::2], END]
-        return [
-            w if a == b == b" " and w else ODD + a + w + b for w, a, b in zip(words, between, between[1:])
-        ]
-    out, lines = [], row.split(b"\n")
-    for i, line in enumerate(lines):
-        words = line.split(b" ")
-        before, after = b"\n" if i else b"\0", b"\n" if i < len(lines) - 1 else END
-        if len(words) == 1:
-            out.append(ODD + before + line + after)
-            continue
-        out.append(ODD + before + words[0] + b" ")
-        out.append(ODD + b" " + words[-1] + after)
-        inner = words[1:-1]
-        out += inner if b"" not in inner else [w or ODD + b"  " for w in inner]
-    return out
-
-
-def bytes_of(item: bytes) -> bytes:
-    """Byte before, word, byte after; all but the first are predicted."""
-    return item[1:] if item[:1] == ODD else b" " + item + b" "
-
-
-def word_of(item: bytes) -> bytes:
-    return item[2:-1] if item[:1] == ODD else item
-
-
-def item_totals(docs: DataFrame, folds: int, hold: int) -> DataFrame:
-    """``(item, n, seen)``: occurrences in training texts and in all texts."""
-
-    def rows(train: Counter, other: Counter) -> pa.RecordBatch:
-        keys = list(train) + [k for k in other if k not in train]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.binary()), pa.array([train[k] for k in keys], pa.int64()),
-                pa.array([train[k] + other[k] for k in keys], pa.int64()),
-            ],
-            names=["item", "n", "seen"],
-        )
+# -- grams and words -----------------------------------------------------------------
 
-    def work(batches):
-        train, other = Counter(), Counter()
-        for batch in batches:
-            for text, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (other if held else train).update(items_of(text))
-                if len(train) + len(other) > HELD:
-                    yield rows(train, other)
-                    train, other = Counter(), Counter()
-        yield rows(train, other)
 
-    held = (fold(F.col("doc_id"), folds) == hold).alias("held")
-    found = map_batches(docs.select("text", held), work, "item binary, n long, seen long")
-    return found.groupBy("item").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+def lowered(text: str | None) -> bytes:
+    return (text or "").encode().lower()
 
 
-# -- grams ---------------------------------------------------------------------------
+def steps(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about ``STEP`` bytes, with the number of their first text."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= STEP or i == len(texts) - 1:
+            yield start, texts[start : i + 1]
+            start, size = i + 1, 0
 
 
-def grams_of(items: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Gram of every predicted byte (context bytes, nearest last, then the byte) and its item's number."""
-    rows = [bytes_of(i) for i in items]
-    lengths = np.array([len(r) for r in rows])
-    flat = np.frombuffer(b"".join(b"\0" * depth + r for r in rows), np.uint8).astype(np.int64)
-    ends = np.cumsum(lengths + depth)
-    owner = np.repeat(np.arange(len(rows)), lengths - 1)
-    # places of the predicted bytes: all of a row's bytes but its padding and the first
-    within = np.arange(len(owner)) - np.repeat(np.cumsum(lengths - 1) - (lengths - 1), lengths - 1)
-    place = np.repeat(ends - lengths, lengths - 1) + 1 + within
-    gram = np.zeros(len(place), np.int64)
-    for back in range(depth, -1, -1):
-        gram = (gram << 8) | flat[place - back]
-    return gram, owner
+def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gram of every byte and end mark (nearest context byte next to the byte), and where texts start."""
+    row = np.frombuffer(b"".join(b"\0" * depth + t + b"\xff" for t in texts), np.uint8)
+    gram = np.zeros(len(row), np.int64)
+    for back in range(depth + 1):
+        gram[back:] |= row[: len(row) - back].astype(np.int64) << (8 * back)
+    lengths = np.array([len(t) + 1 for t in texts])
+    starts = np.cumsum(lengths) - lengths
+    keep = np.ones(len(row), bool)
+    padding = starts + depth * np.arange(len(texts))
+    for k in range(depth):
+        keep[padding + k] = False
+    return gram[keep], starts
+
+
+def word_key(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -164,10 +110,10 @@ class Level:
             keys.append((contexts << 8) | prefix)
             bits.append((symbols >> (7 - level)) & 1)
         self.keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        self.at = at.reshape(8, -1)
-        self.bits = np.array(bits)
+        self.at = at.reshape(8, -1).astype(np.int32)
+        self.bits = np.array(bits, bool)
         weight = np.tile(counts, 8).astype(float)
-        flat = self.bits.ravel() == 1
+        flat = self.bits.ravel()
         self.ones = np.bincount(at, weight * flat, len(self.keys))
         self.zeros = np.bincount(at, weight * ~flat, len(self.keys))
         self.kt = log_kt(self.zeros, self.ones)
@@ -238,43 +184,60 @@ def log_probs(grams: np.ndarray, counts: np.ndarray, top: Top, depth: int) -> np
     carried, left, best = (x[nearest, nodes] for x in (top.carried, top.left, top.best))
     for level in levels:
         carried, left, best = descend(level, carried, left, best)
-    p = np.where(levels[0].bits == 1, carried, 1 - carried)
+    p = np.where(levels[0].bits, carried, 1 - carried)
     return np.log(p).sum(0) / _LOG10
 
 
 # -- the distributed fit -------------------------------------------------------------
 
 
-def fit(items: DataFrame, depth: int) -> DataFrame:
-    """``(item, logp)`` for every row of ``items(item, n)``."""
-    spark = items.sparkSession
-    ship(spark)
-    n_items = items.count()
-    blocks = max(1, -(-n_items // BLOCK))
-    placed = items.select("item", "n", F.pmod(F.xxhash64("item"), F.lit(blocks)).alias("block"))
+def block_counts(depth: int):
+    """Distinct grams and words of a block with their counts in training texts."""
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        texts = [lowered(t) for t in frame["text"]]
+        train = ~frame["held"].to_numpy(bool)
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        words: Counter = Counter()
+        for start, part in steps(texts):
+            gram, starts = grams_of(part, depth)
+            weight = np.repeat(train[start : start + len(part)], np.diff(np.append(starts, len(gram))))
+            distinct, at = np.unique(np.concatenate([keys, gram]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, weight]), len(distinct)).astype(np.int64)
+            keys = distinct
+        for text, learn in zip(texts, train):
+            found = text.split()
+            words.update(found) if learn else words.update(dict.fromkeys(found, 0))
+        kinds = np.repeat(np.array([GRAM, WORD], np.int32), [len(keys), len(words)])
+        hashed = np.fromiter(map(word_key, words), np.int64, len(words))
+        return pd.DataFrame(
+            {
+                "block": frame["block"].iloc[0],
+                "kind": kinds,
+                "key": np.concatenate([keys, hashed]),
+                "n": np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))]),
+            }
+        )
 
-    def block_grams(frame: pd.DataFrame) -> pd.DataFrame:
-        gram, owner = grams_of(list(map(bytes, frame["item"])), depth)
-        distinct, at = np.unique(gram, return_inverse=True)
-        n = np.bincount(at, frame["n"].to_numpy()[owner], len(distinct)).astype(np.int64)
-        return pd.DataFrame({"block": frame["block"].iloc[0], "gram": distinct, "n": n})
+    return work
 
-    parts = settle(placed.groupBy("block").applyInPandas(block_grams, "block long, gram long, n long"), "lm-grams")
-    grams = parts.groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = parts.agg(F.approx_count_distinct("gram")).first()[0]
+
+def fit(grams: DataFrame, depth: int) -> DataFrame:
+    """``(key, value)``: log10 probability of the byte of every gram of ``grams(key, n)``."""
+    spark = grams.sparkSession
+    rows = grams.count()
     buckets = max(1, -(-rows // BUCKET))
-    context2 = F.shiftright("gram", 8).bitwiseAND(F.lit(65535))
-    grams = settle(grams.withColumn("bucket", F.pmod(F.xxhash64(context2), F.lit(buckets))), "lm-totals")
+    context2 = F.shiftright("key", 8).bitwiseAND(F.lit(65535))
+    grams = grams.select("key", "n", F.pmod(F.xxhash64(context2), F.lit(buckets)).alias("bucket"))
 
     def below(frame: pd.DataFrame) -> pd.DataFrame:
-        first = subtree(frame["gram"].to_numpy(), frame["n"].to_numpy(), depth)[0]
-        key = first.keys & 0xFFFF
-        distinct, at = np.unique(key, return_inverse=True)
+        first = subtree(frame["key"].to_numpy(), frame["n"].to_numpy(), depth)[0]
+        distinct, at = np.unique(first.keys & 0xFFFF, return_inverse=True)
         return pd.DataFrame({"key": distinct, "pw": np.bincount(at, first.pw, len(distinct))})
 
     # both tables have at most 256 x 256 rows
     sums = grams.groupBy("bucket").applyInPandas(below, "key long, pw double").groupBy("key").agg(F.sum("pw").alias("pw"))
-    pairs = grams.groupBy(F.col("gram").bitwiseAND(F.lit(65535)).alias("key")).agg(F.sum("n").alias("n"))
+    pairs = grams.groupBy(F.col("key").bitwiseAND(F.lit(65535)).alias("key")).agg(F.sum("n").alias("n"))
     children, counts = np.zeros(65536), np.zeros(65536)
     for r in sums.collect():
         children[r.key] = r.pw
@@ -283,115 +246,91 @@ def fit(items: DataFrame, depth: int) -> DataFrame:
     top = spark.sparkContext.broadcast(Top(counts.reshape(256, 256), children.reshape(256, 256)))
 
     def scored(frame: pd.DataFrame) -> pd.DataFrame:
-        gram = frame["gram"].to_numpy()
-        return pd.DataFrame({"gram": gram, "logp": log_probs(gram, frame["n"].to_numpy(), top.value, depth)})
+        key = frame["key"].to_numpy()
+        return pd.DataFrame({"key": key, "value": log_probs(key, frame["n"].to_numpy(), top.value, depth)})
 
-    table = grams.groupBy("bucket").applyInPandas(scored, "gram long, logp double")
-    wanted = parts.select("block", "gram").join(table, "gram")
+    return grams.groupBy("bucket").applyInPandas(scored, "key long, value double")
 
-    def item_scores(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(frame):
-            return pd.DataFrame({"item": [], "logp": []})
-        gram, owner = grams_of(list(map(bytes, frame["item"])), depth)
-        order = np.argsort(known["gram"].to_numpy())
-        keys, values = known["gram"].to_numpy()[order], known["logp"].to_numpy()[order]
-        found = values[np.searchsorted(keys, gram)]
-        return pd.DataFrame({"item": frame["item"], "logp": np.bincount(owner, found, len(frame))})
 
-    return (
-        placed.groupBy("block")
-        .cogroup(wanted.groupBy("block"))
-        .applyInPandas(item_scores, "item binary, logp double")
-    )
+def block_scores(depth: int, n_docs: int, total: int, distinct: int):
+    """Sums of a block's texts from the values of its grams and words."""
+    spread = total + 0.1 * (distinct + 1)
 
+    def work(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        gram = known[known["kind"] == GRAM].sort_values("key")
+        keys, values = gram["key"].to_numpy(), gram["value"].to_numpy()
+        is_word = known["kind"] == WORD
+        counts = dict(zip(known.loc[is_word, "key"], known.loc[is_word, "value"]))
+        texts = [lowered(t) for t in frame["text"]]
+        score = np.zeros(len(texts))
+        for start, part in steps(texts):
+            found, starts = grams_of(part, depth)
+            score[start : start + len(part)] = np.add.reduceat(values[np.searchsorted(keys, found)], starts)
+        end = math.log10((n_docs + 0.1) / spread)
+        n_tokens, n_known, base = [], [], []
+        cache: dict[bytes, tuple[float, int]] = {}
+        for text in texts:
+            tokens, seen, total_base = 1, int(n_docs > 0), end
+            for word in text.split():
+                value = cache.get(word)
+                if value is None:
+                    c = counts[word_key(word)]
+                    value = cache[word] = (math.log10((c + 0.1) / spread), int(c > 0))
+                tokens += 1
+                total_base += value[0]
+                seen += value[1]
+            n_tokens.append(tokens), n_known.append(seen), base.append(total_base)
+        return pd.DataFrame(
+            {
+                "doc_id": frame["doc_id"], "held_out": frame["held"], "n_tokens": n_tokens, "n_known": n_known,
+                "train_tokens": total, "base_score": base, "score": score,
+                "n_bytes": [len(t) for t in texts],
+            }
+        )
 
-def base_scores(items: DataFrame, n_docs: int) -> tuple[DataFrame, int, float]:
-    """``(item, c, base)``, the number of training tokens, and the base score of an end."""
-    plain = F.substring("item", 1, 1) != F.lit(ODD)
-    word = F.when(plain, F.col("item")).otherwise(F.expr("substring(item, 3, length(item) - 3)"))
-    named = items.select("item", "n", word.alias("word"))
-    words = settle(named.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    known = words.where((F.length("word") > 0) & (F.col("c") > 0)).agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = (known.n or 0) + n_docs, known.v + (n_docs > 0)
-    spread = total + 0.1 * (distinct + 1)
-    base = F.when(F.length("word") > 0, F.log10((F.col("c") + 0.1) / F.lit(spread))).otherwise(0.0)
-    scored = named.join(words, "word").select(
-        "item", F.when(F.length("word") > 0, F.col("c")).otherwise(0).alias("c"), base.alias("base")
-    )
-    return scored, total, math.log10((n_docs + 0.1) / spread)
+    return work
 
 
-def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hold: int = 0, head: int = 1 << 21) -> DataFrame:
-    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``, a row per row."""
-    spark = docs.sparkSession
+def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hold: int = 0) -> DataFrame:
+    """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes)``, a row per row."""
+    ship(docs.sparkSession)
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     kind = dict(docs.dtypes)["doc_id"]
     held = fold(F.col("doc_id"), folds) == hold
-    items = settle(item_totals(docs, folds, hold), "lm-items")
-    n_docs = docs.where(~held).count()
-    base, train_tokens, end = base_scores(items, n_docs)
-    scores = items.select("item", "seen").join(base, "item").join(fit(items, depth), "item")
-    scores = settle(scores, "lm-scores")
-    total = scores.agg(F.sum("seen")).first()[0] or 0
-    often = (F.col("seen") * head >= total) & (F.length("item") <= SHORT)
-    frequent = spark.sparkContext.broadcast(
-        {
-            bytes(r.item): (r.base, r.logp, int(r.c > 0))
-            for r in scores.where(often).select("item", "base", "logp", "c").toLocalIterator()
-        }
+    size = docs.agg(
+        F.sum(F.octet_length("text")).alias("size"), F.sum(F.when(held, 0).otherwise(1)).alias("train")
+    ).first()
+    blocks, n_docs = max(1, -(-(size.size or 0) // BLOCK)), size.train or 0
+    # ids travel as text, as pandas would turn whole numbers with nulls into floats
+    placed = docs.select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", held.alias("held"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
     )
-
-    def work(batches):
-        known = frequent.value
-        for batch in batches:
-            rows, ids, tokens, knowns, bases, logps, rare = [], [], [], [], [], [], []
-            for row, doc, text in zip(*(c.to_pylist() for c in batch.columns)):
-                n_tokens, n_known, base_sum, logp_sum, left = 1, int(n_docs > 0), end, 0.0, []
-                for item, n in Counter(items_of(text)).items():
-                    if word_of(item):
-                        n_tokens += n
-                    found = known.get(item)
-                    if found is None:
-                        left.append((item, n))
-                    else:
-                        base_sum += n * found[0]
-                        logp_sum += n * found[1]
-                        n_known += n * found[2]
-                for item, n in left:
-                    rows.append(row), ids.append(None), tokens.append(None), knowns.append(n), bases.append(None), logps.append(None), rare.append(item)
-                rows.append(row), ids.append(doc), tokens.append(n_tokens), knowns.append(n_known), bases.append(base_sum), logps.append(logp_sum), rare.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(rows, pa.int64()), pa.array(ids, batch.column(1).type), pa.array(tokens, pa.int64()),
-                    pa.array(knowns, pa.int64()), pa.array(bases, pa.float64()), pa.array(logps, pa.float64()),
-                    pa.array(rare, pa.binary()),
-                ],
-                names=["row", "doc_id", "n_tokens", "n", "base", "logp", "item"],
-            )
-
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    found = map_batches(
-        numbered, work, f"row long, doc_id {kind}, n_tokens long, n long, base double, logp double, item binary"
+    parts = settle(
+        placed.groupBy("block").applyInPandas(block_counts(depth), "block long, kind int, key long, n long"), "lm-parts"
+    )
+    totals = settle(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-totals")
+    words = totals.where(F.col("kind") == WORD)
+    known = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    total, distinct = (known.n or 0) + n_docs, known.v + (n_docs > 0)
+    values = (
+        fit(totals.where(F.col("kind") == GRAM), depth)
+        .select(F.lit(GRAM).alias("kind"), "key", "value")
+        .union(words.select("kind", "key", F.col("n").cast("double").alias("value")))
     )
-    # the row of a document itself meets no item; a key of its own keeps it from being a hot null
-    own = F.concat(F.lit(ODD + END), F.col("row").cast("string").cast("binary"))
-    keyed = found.withColumn("key", F.coalesce("item", own))
-    rare = scores.where(~often).select(
-        F.col("item").alias("key"), F.col("base").alias("base1"), F.col("logp").alias("logp1"), "c"
+    wanted = parts.select("block", "kind", "key").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    schema = (
+        "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double, n_bytes long"
     )
-    itself = F.col("item").isNull()
-    n = F.col("n")
     return (
-        keyed.join(rare, "key", "left")
-        .groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("n_tokens").alias("n_tokens"),
-            F.sum(F.when(itself, n).otherwise(F.when(F.col("c") > 0, n).otherwise(0))).alias("n_known"),
-            F.sum(F.when(itself, F.col("base")).otherwise(n * F.col("base1"))).alias("base_score"),
-            F.sum(F.when(itself, F.col("logp")).otherwise(n * F.col("logp1"))).alias("score"),
-        )
-        .select(
-            "doc_id", (fold(F.col("doc_id"), folds) == hold).alias("held_out"), "n_tokens", "n_known",
-            F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
-        )
+        placed.groupBy("block")
+        .cogroup(wanted.groupBy("block"))
+        .applyInPandas(block_scores(depth, n_docs, total, distinct), schema)
+        .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
+
+
+def code_length(scores: DataFrame) -> DataFrame:
+    """Adds ``bits_per_byte``, the code length of a text and its end by the model."""
+    bits = -F.col("score") / math.log10(2) / (F.col("n_bytes") + 1)
+    return scores.withColumn("bits_per_byte", bits)

@@ -24,7 +24,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(table(spark, sf_dir, "documents"))
+    return lm_scoring.code_length(lm_scoring.score(table(spark, sf_dir, "documents")))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
