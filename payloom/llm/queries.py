@@ -3,9 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from payloom.llm import bpe, lm_scoring, mixing, quality, token_counts, token_files, url_filter
+from payloom.llm import (
+    bpe,
+    lm_scoring,
+    mixing,
+    near_dup,
+    quality,
+    token_counts,
+    token_files,
+    url_filter,
+    vector_dedup,
+    vector_search,
+)
 from payloom.llm.common import table
 
 
@@ -19,6 +29,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -35,6 +49,14 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
+
+
+def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_files.read(token_files.write(docs, vocabulary("byte_bpe_50k.json")), dict(docs.dtypes)["doc_id"])
@@ -45,4 +67,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op3_source_mixing, op4_ctw_scoring, op5_token_counts, op6_quality_classifier, op9_token_files, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe_round_trip,
+        op2_nearest_neighbours,
+        op3_source_mixing,
+        op4_ctw_scoring,
+        op5_token_counts,
+        op6_quality_classifier,
+        op7_embedding_near_dup,
+        op8_minhash_near_dup,
+        op9_token_files,
+        op10_url_filter,
+    )
+}
