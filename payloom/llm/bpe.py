@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -193,8 +194,11 @@ def decode_ids(df: DataFrame, vocab_path: str, id_column: str = "doc_id", ids_co
     return map_batches(df.select(id_column, ids_column), work, f"{id_column} {kind}, text string")
 
 
-def digests(docs: DataFrame, vocab_path: str) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``; the hashes are taken in the same pass."""
+def digests(docs: DataFrame, vocab_path: str, with_ids: bool = False) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``; the hashes are taken in the same pass.
+
+    ``with_ids`` adds the ids themselves as an array.
+    """
     kind = dict(docs.dtypes)["doc_id"]
 
     def work(batches):
@@ -203,15 +207,17 @@ def digests(docs: DataFrame, vocab_path: str) -> DataFrame:
             rows = []
             for text in batch.column(1).to_pylist():
                 ids, decoded, n = bpe.encode(text)
-                rows.append((n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-            n, ids, decoded = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                hashes = hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+                rows.append((n, *hashes, np.frombuffer(ids, np.int32) if with_ids else None))
+            n, ids, decoded, rows = zip(*rows) if rows else ((), (), (), ())
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns, names = [*columns, pa.array(rows, pa.list_(pa.int32()))], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")),
         work,
-        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids,
     )

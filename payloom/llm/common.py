@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from payloom.session import settle
 
@@ -45,7 +46,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so long rows never pile up in a worker."""
     ship(df.sparkSession)

@@ -29,11 +29,15 @@ from payloom.session import settle
 WEIGHTS = (5, 2, 1)
 
 
+def row_hash(seed: int) -> Column:
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), own, F.md5(F.coalesce("text", F.lit("")))))
+
+
 def measured(docs: DataFrame, seed: int) -> DataFrame:
     """``(doc_id, source, size, h)`` with a hash that depends on seed, id and text only."""
-    text = F.coalesce("text", F.lit(""))
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
-    return docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), h.alias("h"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+    return docs.select("doc_id", "source", words.alias("size"), row_hash(seed).alias("h"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, repeat: int) -> DataFrame:
@@ -106,13 +110,45 @@ def mix(
     shard_words: int = 1_000_000,
 ) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)`` for every row of ``docs``."""
+    found = allocated(docs, weights, share, repeat, seed, block_words, shard_words)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: whole documents, each as often as the words it gives come to its size.
+
+    A document that gives less than half of its words, or has none, is left out; one that
+    gives 1.5 times its words or more stands twice.  All columns of ``docs`` stay as they are.
+    """
+    seed = options.setdefault("seed", 7)
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    chosen = allocated(docs, **options).where("size > 0 AND 2 * taken >= size").select("h", times.alias("_times"))
+    chosen = chosen.groupBy("h").agg(F.sum("_times").alias("_times"))
+    # equal rows share their hash: one of them stands for all, as often as all are taken
+    keyed = docs.withColumn("_h", row_hash(seed))
+    first = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
+    one = keyed.withColumn("_n", first).where("_n = 1").drop("_n")
+    repeated = one.join(chosen, one["_h"] == chosen["h"]).withColumn("_n", F.explode(F.sequence(F.lit(1), "_times")))
+    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def allocated(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = 1.5,
+    repeat: int = 2,
+    seed: int = 7,
+    block_words: int = 64,
+    shard_words: int = 1_000_000,
+) -> DataFrame:
+    """As ``mix``, with the hash ``h`` of every row."""
     sizes = settle(measured(docs, seed), "mix-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     shards = -(-total // shard_words) or 1
     goal = targets(sizes, weights, share, repeat)
     number = F.conv(F.substring("h", 1, 8), 16, 10).cast("long") % shards
     placed = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"])).select(
-        "doc_id", "size", "h", "source_no", "source_size", "target", number.alias("shard")
+        "doc_id", "h", "size", "source_no", "source_size", "target", number.alias("shard")
     )
     part = F.sum("size").alias("words")
     streams = placed.groupBy("shard", "source_no", "source_size", "target").agg(part)
@@ -130,7 +166,7 @@ def mix(
         .withColumn("taking", taking)
         .withColumn("passes", passes)
         .select(
-            "doc_id", "size", "source_size", "target",
+            "doc_id", "h", "size", "source_size", "target",
             (F.col("passes") * F.col("size") + piece).cast("long").alias("taken"),
         )
     )

@@ -33,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payloom.llm.common import components, in_pairs_of_parts, map_batches, whole_groups
@@ -302,3 +302,12 @@ def deduplicate(
         "doc_id", "n_shingles", own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
     )
+
+
+def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+    """One document of each group, with all its columns; rows without an id all stay."""
+    found = deduplicate(docs, **options).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
+    order = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    named = docs.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
+    one = named.withColumn("_n", order).where("_n = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return one.union(docs.where("doc_id IS NULL"))

@@ -185,6 +185,23 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, f"doc_id {kind}, score double")
 
 
+def keep(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3, bits: int = BITS) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
+    known = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def work(batches):
+        features, w = Features(bits), known.value
+        for batch in batches:
+            stays = []
+            for text in batch.column(at).to_pylist():
+                columns, values = features.row(text or "")
+                stays.append(bool(1 / (1 + np.exp(-np.clip(w[columns] @ values + w[-1], -35, 35))) >= threshold))
+            yield batch.filter(pa.array(stays, pa.bool_()))
+
+    at = docs.columns.index("text")
+    return map_batches(docs, work, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """``(doc_id, held_out, score, predicted)``."""
     scored = score(docs, train(docs, labels, **options))
