@@ -46,11 +46,15 @@ def integrity_report(*parts: DataFrame) -> DataFrame:
 
 
 class BatchConflict(ValueError):
-    """A batch breaks a key rule; nothing was written."""
+    """A batch breaks a key rule; nothing was published."""
 
 
-def require_clean(report: DataFrame, shown: int = 20) -> None:
-    """Fail before a write, naming some offending keys in the message."""
-    found = report.limit(shown).collect()
-    if found:
-        raise BatchConflict("; ".join(f"{r.regra}: {r.chave} ({r.n})" for r in found))
+def require_clean(report: DataFrame, place: str) -> None:
+    """Fail before a table changes: the totals per rule, and where the whole report is stored.
+
+    ``report`` should be a stored table, of which ``place`` is the name; rules are few.
+    """
+    totals = report.groupBy("regra").agg(F.count(F.lit(1)).alias("chaves")).orderBy("regra").collect()
+    if totals:
+        listed = "; ".join(f"{r.regra}: {r.chaves}" for r in totals)
+        raise BatchConflict(f"{listed}; all keys are in {place}")

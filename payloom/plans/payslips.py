@@ -6,6 +6,9 @@ needs no shuffle at all, whatever the number or the naming of the documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +19,6 @@ from payloom.functions.numbers import brl_number, to_decimal_safe
 from payloom.functions.text import clean_cpf, clean_text, name_suffix_strip, one_line, strip
 from payloom.operators.conform import typed
 
-# Noncharacters, which no text carries: the start of a department header while a text is
-# cut, and the separators of entries and of their parts.
-_MARK, _CUT, _PART = "\uffff", "\ufffe", "\ufdd0"
 _BLOCK_MIN_CHARS = 50
 
 
@@ -49,66 +49,64 @@ def is_employee_block(block: Column) -> Column:
     )
 
 
-def cut_with_headers(text: Column) -> Column:
-    """Blocks as ``array<struct<block, seen>>``: ``seen`` headers start before the block.
+def headers_before() -> Callable[..., Column]:
+    """UDF of three ``array<int>``: for each block, how many headers start before it.
 
-    Headers are found on the whole text, so one that runs into the next employee line
-    counts exactly once; the mark only remembers where each of them starts.
+    Blocks are given by their lengths, headers by the gap before each and its length.  The
+    running sums are the only step without a linear built-in; texts stay in the JVM.
     """
-    marked = F.regexp_replace(text, P.DEPARTAMENTO, _MARK + "$0")
-    parts = F.transform(
-        F.split(marked, P.SPLIT),
-        lambda p: F.struct(p.alias("marked"), F.replace(p, F.lit(_MARK), F.lit("")).alias("block")),
-    )
-    counted = F.transform(
-        parts,
-        lambda p: F.struct(
-            p["block"].alias("block"),
-            (F.length(p["marked"]) - F.length(p["block"])).alias("n"),
-        ),
-    )
-    running = F.aggregate(
-        counted,
-        F.struct(
-            F.lit(0).alias("seen"),
-            F.array().cast("array<struct<block: string, seen: int>>").alias("out"),
-        ),
-        lambda acc, p: F.struct(
-            (acc["seen"] + p["n"]).alias("seen"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct(p["block"].alias("block"), acc["seen"].alias("seen"))),
-            ).alias("out"),
-        ),
-    )
-    return running["out"]
+
+    @F.pandas_udf("array<int>")
+    def seen(blocks: pd.Series, gaps: pd.Series, headers: pd.Series) -> pd.Series:
+        import numpy
+
+        def counts(block, gap, header):
+            ends = numpy.cumsum(numpy.add(gap, header, dtype="int64"))
+            starts = numpy.cumsum(block, dtype="int64") - block
+            return numpy.searchsorted(ends - header, starts).astype("int32")
+
+        return blocks.__class__([None if b is None else counts(b, g, h) for b, g, h in zip(blocks, gaps, headers)])
+
+    return seen
 
 
 def all_blocks(docs: DataFrame) -> DataFrame:
     """``(file, competencia, tipo_calculo, pos, block, departamento)`` before filtering.
 
     The department is a backward as-of lookup inside the row: the last header that
-    starts before the block, which is often in a preamble the filter drops later.
+    starts before the block, which is often in a preamble the filter drops later.  Headers
+    are found on the whole text, so one that runs into the next employee line counts once.
+    The work grows in step with the text, and nothing is written into it.
     """
     text = F.col("text")
+    with_gap = "((?s:.*?))" + P.DEPARTAMENTO
+
+    def lengths(parts: Column) -> Column:
+        return F.transform(parts, F.length)
+
     cut = docs.select(
         "file",
         *document_fields(text),
         department_headers(text).alias("_headers"),
-        cut_with_headers(text).alias("_cut"),
+        split_blocks(text).alias("_blocks"),
+        lengths(P.all_matches(text, with_gap, 1)).alias("_gaps"),
+        lengths(P.all_matches(text, with_gap)).alias("_steps"),
     )
+    header = F.zip_with("_steps", "_gaps", lambda step, gap: step - gap)
+    seen_before = headers_before()(lengths(F.col("_blocks")), F.col("_gaps"), header)
+    placed = cut.withColumn("_seen", seen_before)
     # The outer form keeps Catalyst from adding a size filter that would cut every text twice.
-    exploded = cut.select(
+    exploded = placed.select(
         "file", "competencia", "tipo_calculo", "_headers",
-        F.posexplode_outer("_cut").alias("pos", "_part"),
+        F.posexplode_outer(F.arrays_zip("_blocks", "_seen")).alias("pos", "_part"),
     )
-    seen = F.col("_part.seen")
+    seen = F.col("_part._seen")
     return exploded.select(
         "file",
         "competencia",
         "tipo_calculo",
         "pos",
-        F.col("_part.block").alias("block"),
+        F.col("_part._blocks").alias("block"),
         F.when(seen > 0, F.get("_headers", seen - 1)).alias("departamento"),
     )
 
@@ -217,13 +215,14 @@ def layout_counts(line: Column) -> Column:
 def text_items(lines: Column) -> Column:
     """Items of one or more lines, in order; no match reaches over a line end.
 
-    One pass rewrites every match as its four separated groups; the lambda then only
-    splits short texts.
+    So a line end can part the groups of a match: no text inside an item holds one.
     """
-    rewritten = F.regexp_replace(lines, P.ITEM_TABLE, _CUT + _PART.join(("$1", "$2", "$3", "$4")) + _CUT)
-    found = F.filter(F.split(rewritten, _CUT), lambda m: m.contains(_PART))
+    found = P.all_matches(lines, P.ITEM_TABLE)
+    parted = F.transform(
+        found, lambda m: F.split(F.regexp_replace(m, P.ITEM_TABLE, "$1\n$2\n$3\n$4"), "\n")
+    )
     return F.transform(
-        F.transform(found, lambda m: F.split(m, _PART)),
+        parted,
         lambda g: F.struct(
             F.get(g, F.lit(0)).alias("codigo"),
             F.get(g, F.lit(1)).alias("descricao"),

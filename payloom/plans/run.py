@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from payloom import schemas as S
 from payloom.operators.checks import require_clean
 from payloom.operators.merge import has_period, insert_ignore
-from payloom.plans import calendar, employees, payslips, star
+from payloom.plans import calendar, employees, payslips, rejected, star
 from payloom.sources.files import write_csv_locale
 from payloom.sources.rubrics import scan_rubric_map
 from payloom.sources.tables import Warehouse
@@ -25,6 +25,10 @@ BENEFITS = "fato_beneficios_api"
 STG_PAYROLL = "stg_folha_consol"
 STG_API = "staging_colaboradores"
 STG_BENEFITS = "staging_beneficios_api"
+# What a stage could not load, one row each, and the keys that stopped a stage.
+REJECTS_PAYROLL = "rejeitados_folha"
+REJECTS_API = "rejeitados_api"
+CONFLICTS = "conflitos"
 # Batches with one row per person, stored because a merge reads its batch several times.
 BASE_BATCH = "lote_colaboradores_base"
 RICH_BATCH = "lote_colaboradores"
@@ -40,6 +44,8 @@ def load_payroll(wh: Warehouse, docs: DataFrame, csv_folder: str | None = None)
     """Documents -> staging -> base dimension -> both facts of the batch periods."""
     typed = payslips.type_records(payslips.raw_records(docs))
     staging, records = wh.stage(STG_PAYROLL, typed)
+    rejects = rejected.documents(docs).unionByName(rejected.payroll_people(records))
+    wh.replace(REJECTS_PAYROLL, rejects)
     if records.isEmpty():
         return
     consol = payslips.consolidated(records)
@@ -63,6 +69,7 @@ def load_employees(wh: Warehouse, records: DataFrame, run_ts: Column) -> None:
     staging, staged = wh.stage(STG_API, employees.flatten_employees(records))
     if staged.isEmpty():
         return
+    wh.replace(REJECTS_API, rejected.api_people(staged).unionByName(rejected.money(staged)))
     benefits_staging, benefits = wh.stage(STG_BENEFITS, employees.explode_benefits(records))
 
     current = star.base_with_unknown(wh.read(BASE, S.DIM_BASE))
@@ -70,7 +77,8 @@ def load_employees(wh: Warehouse, records: DataFrame, run_ts: Column) -> None:
     base_folder, base = wh.stage(BASE, star.upsert_base_name(current, names))
     rich = star.rich_with_unknown(wh.read(RICH, S.DIM_RICH))
     _, batch = wh.stage(RICH_BATCH, star.rich_batch(staged, base, run_ts))
-    require_clean(star.rich_conflicts(rich, batch))
+    conflicts_folder, conflicts = wh.stage(CONFLICTS, star.rich_conflicts(rich, batch))
+    require_clean(conflicts, conflicts_folder)
     rich_folder, _ = wh.stage(RICH, star.upsert_rich(rich, batch))
     fact_folder, _ = wh.stage(BENEFITS, star.benefits_fact(benefits, staged, base, run_ts))
     wh.publish(staging, benefits_staging, base_folder, rich_folder, fact_folder)

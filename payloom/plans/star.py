@@ -16,6 +16,7 @@ from payloom.operators.dedup import first_per_key
 from payloom.operators.keys import assign_keys, lookup_surrogate_key, with_unknown_member
 from payloom.operators.merge import new_keys, update_flagged, update_matched
 
+# Column names of the star, and the status words of people who left.
 BASE_COLUMNS = {
     "cpf": "cpf",
     "nome_funcionario": "nome_colaborador",
@@ -110,8 +111,9 @@ def rich_conflicts(current: DataFrame, batch: DataFrame) -> DataFrame:
         current.select("colaborador_sk", F.col("colaborador_id_solides").alias("_old")),
         "colaborador_sk",
     )
-    moved = moved.where("_new <> _old").groupBy("colaborador_sk").agg(F.count(F.lit(1)).alias("n"))
+    moved = moved.where("NOT (_new <=> _old)").groupBy("colaborador_sk").agg(F.count(F.lit(1)).alias("n"))
     return checks.integrity_report(
+        checks.nulls(batch, "colaborador_id_solides", "id nulo no lote"),
         checks.duplicates(batch, "colaborador_id_solides", "id repetido no lote"),
         checks.duplicates(batch, "colaborador_sk", "pessoa repetida no lote"),
         moved.select(

@@ -224,14 +224,12 @@ def _rich_type(column: str) -> str:
         return "decimal(12,2)"
     if column == "data_ultima_atualizacao":
         return "timestamp"
-    if column in API_IDS:
-        return "int"
     return _api_type(column)
 
 
-# The API ids are INTEGER in this table; ``email`` exists but no load fills it.
+# API ids keep 64 bits here, so none is lost on the way in; ``email`` exists but no load fills it.
 DIM_RICH = ddl(
-    "colaborador_sk int, colaborador_id_solides int, "
+    "colaborador_sk int, colaborador_id_solides bigint, "
     + ", ".join(f"{c} {_rich_type(c)}" for c in (*RICH_OVERWRITE, *RICH_INSERT_ONLY))
     + ", email string"
 )

@@ -45,15 +45,3 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     folder = work_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.parquet(folder)
-
-
-def spread(df: DataFrame, *columns: str, task_bytes: int = 64 * 1024) -> DataFrame:
-    """Give CPU-heavy work on a small input more tasks, at most one per core.
-
-    A scan of real size already has more splits than cores and is returned unchanged, so
-    nothing is shuffled; a tiny table gets no more tasks than its bytes are worth.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    tasks = min(cores, -(-size // task_bytes))
-    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, *columns)

@@ -147,5 +147,5 @@ def test_checks(spark, base):
     report = star.integrity(base, None, {"fato": facts})
     assert rows(report) == [("fato.colaborador_sk existe", "9", 2), ("fato.cpf_csv ate 11", "1" * 12, 1)]
     twice = base.unionByName(base)
-    with pytest.raises(checks.BatchConflict, match="base.cpf unico: 11"):
-        checks.require_clean(checks.duplicates(twice, "cpf", "base.cpf unico"))
+    with pytest.raises(checks.BatchConflict, match="base.cpf unico: 3; all keys are in report"):
+        checks.require_clean(checks.duplicates(twice, "cpf", "base.cpf unico"), "report")

@@ -1,6 +1,7 @@
 """Extraction against the brute-force reading on many small, dirty documents."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ TWISTS = [
     ("CPF:", ""), ("ND:", "XX"), ("Departamento", "departamento"), ("Férias", "FÉRIAS"),
     ("Líquido", "Liquido"), ("Total de", "TOTAL DE"), ("EXEMPLO", "EXEMPLO PIS:"), ("Trabalhando", ""),
     ("C.B.O", "С.B"), ("\nEmpr", " Empr"), ("Departamento: RH\n", "Departamento:\n"),
+    (" ", " \uffff"), ("EXEMPLO", "EX\ufdd0EMPLO"), ("Departamento", "\uffffDepartamento"), ("ITEM", "IT\ufffeEM"),
     ("\n", "\n\n"), ("P ", "P\n"), ("10/2023", "1/2023"), ("Competência", "REFERÊNCIA"), ("Adm", "Ad"),
 ]
 
@@ -108,3 +110,22 @@ def test_items_of_many_lines_equal_items_per_line(spark):
             for m in brute.rx(P.ITEM_HOLERITE).finditer(line)
         ]
         assert [tuple(x) for x in row.i] == want
+
+
+def test_work_grows_with_the_number_of_blocks(spark):
+    """Eight times the blocks take about eight times as long, and give the right departments."""
+    def seconds(n):
+        text = "".join(f"Departamento: D{i}\nEmpr: {i} FUNC {i} CPF: 111.222.333-44 Adm: 01/02/2020 resto da linha\n" for i in range(n))
+        docs = spark.createDataFrame([("f", text)], "file string, text string")
+        best = float("inf")
+        for _ in range(2):
+            start = time.perf_counter()
+            blocks = payslips.all_blocks(docs).where("pos > 0")
+            wrong = F.sum((F.col("departamento") != F.concat(F.lit("D"), F.col("pos") - 1)).cast("int"))
+            row = blocks.agg(F.count("*").alias("n"), wrong.alias("wrong")).first()
+            best = min(best, time.perf_counter() - start)
+            assert (row.n, row.wrong) == (n, 0)
+        return best
+
+    seconds(100)
+    assert seconds(32_000) < 16 * max(seconds(4_000), 0.25)

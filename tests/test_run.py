@@ -84,9 +84,21 @@ def test_stages_and_rerun(spark, inputs, tmp_path):
     }
     assert len(first[run.CALENDAR]) == 2922 and len(first[run.CONSOL]) == 3
     assert run.check_integrity(wh).isEmpty()
-    parts = [f for f in os.listdir(tmp_path / "csv" / "FOPAG_Consolidada_Tratada") if f.endswith(".csv")]
-    text = (tmp_path / "csv" / "FOPAG_Consolidada_Tratada" / parts[0]).read_bytes()
-    assert text.startswith(b"\xef\xbb\xbfcompetencia;tipo_calculo;") and b"5000,00" in text
+    folder = tmp_path / "csv" / "FOPAG_Consolidada_Tratada"
+    header, exported = None, []
+    for part in (f for f in os.listdir(folder) if f.endswith(".csv")):
+        text = (folder / part).read_bytes()
+        assert text.startswith(b"\xef\xbb\xbfcompetencia;tipo_calculo;")
+        first_line, *lines = text.decode("utf-8-sig").splitlines()
+        assert header in (None, first_line)
+        header, exported = first_line, exported + lines
+    names = header.split(";")
+    rows = sorted(((r["nome_funcionario"], r["cpf"], r["total_proventos"]) for r in (dict(zip(names, x.split(";"))) for x in exported)))
+    assert rows == [
+        ("ANA EXEMPLO", "11122233344", "5010,00"), ("BIA EXEMPLO", "22233344455", "1000,00"), ("CAIO EXEMPLO", "33344455566", "2000,00"),
+    ]
+    rejects = {(r.regra, r.chave) for t in (run.REJECTS_PAYROLL, run.REJECTS_API) for r in wh.read(t, {}).collect()}
+    assert {("documento sem bloco", "c.txt"), ("pessoa sem cpf", "3"), ("pessoa sem id", "888")} <= rejects
 
     run.run_all(wh, docs, people, ts())
     assert snapshot(wh) == first
@@ -123,6 +135,20 @@ def test_conflicts_stop_the_load(spark, inputs, tmp_path):
         assert snapshot_dims(wh) == before
 
 
+def test_large_ids_and_amounts(spark, inputs, tmp_path):
+    """An id beyond 32 bits is one person however often it is loaded; a lost amount leaves a record."""
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    people = scan_employee_json(spark, inputs[1]).where("id = 1").withColumns(
+        {"id": F.lit(3_000_000_000).cast("bigint"), "salary": F.lit(1e12).cast("variant")}
+    )
+    for _ in range(2):
+        run.load_employees(wh, people, ts())
+    rich = wh.read(run.RICH, {}).where("colaborador_sk > 0").collect()
+    assert [(r.colaborador_id_solides, r.salario_api) for r in rich] == [(3_000_000_000, None)]
+    lost = wh.read(run.REJECTS_API, {}).collect()
+    assert [(r.regra, r.chave) for r in lost] == [("salario_api fora da faixa", "3000000000")]
+
+
 def snapshot_dims(wh):
     return [sorted(map(tuple, wh.read(t, {}).collect()), key=repr) for t in (run.BASE, run.RICH, run.BENEFITS)]
 

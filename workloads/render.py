@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payloom.session import spread, work_folder
+from payloom.session import work_folder
 from payloom.sources.files import scan_payslip_table
 from workloads.registry import table
 
@@ -67,7 +67,7 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
     on = F.col("o_orderdate").cast("date")
     start = F.date_sub(on, (k % 1000).cast("int"))
     # formatted once here, used many times below
-    rows = spread(orders, "o_orderkey").select(
+    rows = orders.select(
         "*",
         brl(pc).alias("bruto"), brl(v2).alias("desconto"), brl(pc - v2).alias("liquido"),
         brl(F.floor(pc * 8 / 100)).alias("fgts"), F.date_format(on, "MM/yyyy").alias("mes"),
@@ -266,12 +266,9 @@ ITEMS_SQL = BLOCKS_SQL + """, printed AS (
 
 def employee_structs(spark: SparkSession, sf: str) -> DataFrame:
     """``(c_custkey, e)``: one nested employee per customer; names of nation and region."""
-    customers = spread(table(spark, sf, "customer"), "c_custkey")
-    places = table(spark, sf, "nation").join(
-        F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    # nation and region are fixed lists of 25 and 5 rows
-    rows = customers.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    customers = table(spark, sf, "customer")
+    places = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     pc = cents(F.col("c_acctbal"))
     base_day = F.date_add(F.lit("1970-01-01").cast("date"), (k % 9000).cast("int"))

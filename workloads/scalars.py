@@ -90,7 +90,7 @@ def rubric_fallback_name(spark, sf):
 # -- code map ------------------------------------------------------------------------
 
 CODES_SQL = f"WITH {RUBRIC_SQL}, uso AS (SELECT CAST(l_partkey % 1100 AS VARCHAR) AS codigo, count(*) AS n " \
-            "FROM lineitem GROUP BY ALL) "
+            "FROM lineitem GROUP BY ALL), tudo AS (SELECT codigo, tipo, nome, coalesce(n, 0) AS n FROM rub LEFT JOIN uso USING (codigo)) "
 
 
 def code_use(spark, sf):
@@ -99,23 +99,25 @@ def code_use(spark, sf):
     return table(spark, sf, "lineitem").select(code).groupBy("codigo").agg(F.count(F.lit(1)).alias("n"))
 
 
-def code_map(spark):
-    return F.broadcast(rubrics.scan_rubric_map(spark))  # 188 rows
+def with_use(codes, spark, sf):
+    """All mapped codes, with the number of line items that use each (0 for none)."""
+    used = codes.join(code_use(spark, sf), "codigo", "left")
+    return used.withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-@query("scan_rubric_map", CODES_SQL + "SELECT codigo, tipo, nome, n FROM rub JOIN uso USING (codigo)")
+@query("scan_rubric_map", CODES_SQL + "SELECT codigo, tipo, nome, n FROM tudo")
 def scan_rubric_map(spark, sf):
-    return code_use(spark, sf).join(code_map(spark), "codigo").select("codigo", "tipo", "nome", "n")
+    return with_use(rubrics.scan_rubric_map(spark), spark, sf).select("codigo", "tipo", "nome", "n")
 
 
 @query(
     "rubric_name_split",
     CODES_SQL + "SELECT tipo, count(*) AS n_codigos, CAST(sum(length(nome) * n) AS BIGINT) AS letras "
-    "FROM rub JOIN uso USING (codigo) GROUP BY tipo",
+    "FROM tudo GROUP BY tipo",
 )
 def rubric_name_split(spark, sf):
     label = F.col("rotulo")
-    used = code_use(spark, sf).join(code_map(spark), "codigo").select(
+    used = with_use(rubrics.scan_rubric_map(spark), spark, sf).select(
         rubrics.label_type(label).alias("tipo"), rubrics.label_name(label).alias("nome"), "n"
     )
     return used.groupBy("tipo").agg(
@@ -126,22 +128,22 @@ def rubric_name_split(spark, sf):
 @query(
     "sort_numeric_code",
     CODES_SQL + "SELECT codigo, tipo, n, row_number() OVER (ORDER BY tipo DESC, CAST(codigo AS INT)) AS ordem "
-    "FROM rub JOIN uso USING (codigo)",
+    "FROM tudo",
 )
 def sort_numeric_code(spark, sf):
-    used = code_use(spark, sf).join(code_map(spark), "codigo").select("codigo", "tipo", "n")
+    used = with_use(rubrics.scan_rubric_map(spark), spark, sf).select("codigo", "tipo", "n")
     ordered = rubrics.sort_numeric_code(used)
     # at most 188 rows reach this point, in order, in one partition
     return ordered.coalesce(1).withColumn("ordem", F.monotonically_increasing_id() + 1)
 
 
-@query("set_merge_map", CODES_SQL + "SELECT codigo, tipo, n FROM rub JOIN uso USING (codigo)")
+@query("set_merge_map", CODES_SQL + "SELECT codigo, tipo, n FROM tudo")
 def set_merge_map(spark, sf):
     all_codes = rubrics.scan_rubric_map(spark)
     merged = rubrics.set_merge_map(
         all_codes.where("tipo = 'Provento'"), all_codes.where("tipo = 'Desconto'")
     )
-    return code_use(spark, sf).join(F.broadcast(merged), "codigo").select("codigo", "tipo", "n")
+    return with_use(merged, spark, sf).select("codigo", "tipo", "n")
 
 
 @query(
