@@ -34,11 +34,10 @@ streams AS (
          CASE WHEN source_size > 0 THEN target * sum(size)::DOUBLE / source_size ELSE 0 END / 64 AS q
   FROM placed GROUP BY shard, source_no, source_size, target),
 claims AS (
-  SELECT shard, source_no, row_number() OVER (PARTITION BY shard ORDER BY q / (2 * k - 1) DESC, source_no, k) AS place,
-         round(sum(q) FILTER (k = 1) OVER (PARTITION BY shard)) AS seats
+  SELECT shard, source_no, row_number() OVER (PARTITION BY shard ORDER BY q / (2 * k - 1) DESC, source_no, k) AS place
   FROM (SELECT *, unnest(range(1, greatest(2, floor(2 * words / 64.0)::BIGINT + 1))) AS k FROM streams) x
   WHERE k <= floor(2 * words / 64.0)),
-seats AS (SELECT shard, round(sum(q)) AS seats FROM streams GROUP BY shard),
+seats AS (SELECT shard, round(sum(least(q, floor(2 * words / 64.0)))) AS seats FROM streams GROUP BY shard),
 given AS (
   SELECT c.shard, c.source_no, count(*) AS blocks
   FROM claims c JOIN seats s USING (shard) WHERE c.place <= s.seats GROUP BY ALL),

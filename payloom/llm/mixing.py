@@ -66,20 +66,22 @@ def quotas(streams: DataFrame, block_words: int, repeat: int) -> DataFrame:
     """``(shard, source_no, blocks)`` from ``(shard, source_no, words, ideal)`` in words."""
     shard = Window.partitionBy("shard")
     q = F.col("ideal") / block_words
+    most = F.floor(repeat * F.col("words") / block_words)
     sized = streams.select(
-        "shard", "source_no", q.alias("q"), F.floor(repeat * F.col("words") / block_words).alias("most"),
-        F.sum(q).over(shard).alias("all_q"), F.count("*").over(shard).alias("parties"),
+        "shard", "source_no", q.alias("q"), most.alias("most"), F.sum(q).over(shard).alias("all_q"),
+        # what a full source cannot give in whole blocks is not asked of the others
+        F.round(F.sum(F.least(q, most)).over(shard)).alias("seats"), F.count("*").over(shard).alias("parties"),
     ).where("all_q > 0")
-    seats = F.round("all_q")
 
-    def at(slack: Column) -> Column:
-        share = F.floor(F.col("q") * (seats + slack) / F.col("all_q") + 0.5)
-        return F.greatest(F.lit(0), F.least("most", share))
+    def at(total: Column, more: int) -> Column:
+        return F.greatest(F.lit(0), F.least("most", F.floor(F.col("q") * total / F.col("all_q") + 0.5) + more))
 
     # Rounding at a total below the seats gives no seat that the quotients would not give;
-    # rounding at a total above them, with room for full sources, misses none.
+    # one more than rounding at a total above them misses none.
+    half = F.col("parties") / 2
     sized = sized.select(
-        "*", at(-F.col("parties") / 2).alias("sure"), at(F.col("parties") * 2.5 + 1).alias("possible"), seats.alias("seats")
+        "*", at(F.col("seats") - half, 0).alias("sure"),
+        at(F.greatest(F.col("seats") + half, F.col("all_q")), 1).alias("possible"),
     )
     contested = sized.where("possible > sure").select(
         "shard", "source_no", "q", F.explode(F.sequence(F.col("sure") + 1, F.col("possible"))).alias("k")
@@ -122,14 +124,13 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     seed = options.setdefault("seed", 7)
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    chosen = allocated(docs, **options).where("size > 0 AND 2 * taken >= size").select("h", times.alias("_times"))
-    chosen = chosen.groupBy("h").agg(F.sum("_times").alias("_times"))
+    chosen = allocated(docs, **options).where("size > 0 AND 2 * taken >= size").select("h", times.alias("times"))
+    chosen = chosen.groupBy("h").agg(F.sum("times").alias("times"))
     # equal rows share their hash: one of them stands for all, as often as all are taken
-    keyed = docs.withColumn("_h", row_hash(seed))
-    first = F.row_number().over(Window.partitionBy("_h").orderBy("_h"))
-    one = keyed.withColumn("_n", first).where("_n = 1").drop("_n")
-    repeated = one.join(chosen, one["_h"] == chosen["h"]).withColumn("_n", F.explode(F.sequence(F.lit(1), "_times")))
-    return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(row_hash(seed).alias("h"), F.struct("*").alias("row"))
+    one = rows.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy("h"))).where("nth = 1")
+    repeated = one.join(chosen, "h").select("row", F.explode(F.sequence(F.lit(1), "times")))
+    return repeated.select("row.*")
 
 
 def allocated(

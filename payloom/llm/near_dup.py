@@ -306,8 +306,8 @@ def deduplicate(
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, with all its columns; rows without an id all stay."""
-    found = deduplicate(docs, **options).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    named = docs.where("doc_id IS NOT NULL").join(found, F.col("doc_id") == F.col("_kept"), "left_semi")
-    one = named.withColumn("_n", order).where("_n = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
-    return one.union(docs.where("doc_id IS NULL"))
+    kept = deduplicate(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("h"))
+    one = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")
+    return one.select("row.*").union(docs.where("doc_id IS NULL"))
