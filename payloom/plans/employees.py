@@ -21,13 +21,15 @@ def parse_employees(rows: DataFrame, column: str) -> DataFrame:
 def merge_detail_over_list(listed: DataFrame, details: DataFrame) -> DataFrame:
     """For every listed id the whole detail record when there is one, else the list record.
 
-    Items without an id (missing or 0) are dropped.
+    Items without an id (missing or 0) are dropped.  Of several details of one id the one
+    with the largest JSON text counts, so a person never becomes two rows.
     """
     whole = F.struct(*(F.col(c) for c in listed.columns))
     left = listed.where(F.col("id").isNotNull() & (F.col("id") != 0)).select(
         "id", whole.alias("_list")
     )
-    right = details.select("id", F.struct(*(F.col(c) for c in listed.columns)).alias("_detail"))
+    detail = F.struct(*(F.col(c) for c in listed.columns))
+    right = details.groupBy("id").agg(F.max_by(detail, F.to_json(detail)).alias("_detail"))
     return (
         left.join(right, "id", "left")
         .select(F.coalesce("_detail", "_list").alias("e"))

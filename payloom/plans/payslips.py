@@ -79,7 +79,8 @@ def all_blocks(docs: DataFrame) -> DataFrame:
     The work grows in step with the text, and nothing is written into it.
     """
     text = F.col("text")
-    with_gap = "((?s:.*?))" + P.DEPARTAMENTO
+    # \G: a gap begins where the header before it ended, so no place is searched twice
+    with_gap = r"\G((?s:.*?))" + P.DEPARTAMENTO
 
     def lengths(parts: Column) -> Column:
         return F.transform(parts, F.length)

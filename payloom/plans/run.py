@@ -64,8 +64,13 @@ def load_payroll(wh: Warehouse, docs: DataFrame, csv_folder: str | None = None)
         wh.replace_periods(DETAIL, star.detail_fact(detail, base))
 
 
-def load_employees(wh: Warehouse, records: DataFrame, run_ts: Column) -> None:
-    """Employee records -> staging -> base, rich dimension and benefits, published together."""
+def load_employees(wh: Warehouse, records: DataFrame, run_ts: Column, details: DataFrame | None = None) -> None:
+    """Employee records -> staging -> base, rich dimension and benefits, published together.
+
+    With ``details`` the records are list pages, and a detail takes the place of its list record.
+    """
+    if details is not None:
+        records = employees.merge_detail_over_list(records, details)
     staging, staged = wh.stage(STG_API, employees.flatten_employees(records))
     if staged.isEmpty():
         return

@@ -114,14 +114,19 @@ def test_items_of_many_lines_equal_items_per_line(spark):
 
 def test_work_grows_with_the_number_of_blocks(spark):
     """Eight times the blocks take about eight times as long, and give the right departments."""
-    def seconds(n):
-        text = "".join(f"Departamento: D{i}\nEmpr: {i} FUNC {i} CPF: 111.222.333-44 Adm: 01/02/2020 resto da linha\n" for i in range(n))
+    def seconds(n, every=1):
+        """``every``: blocks for each header; a text may go on for long after its last header."""
+        text = "".join(
+            (f"Departamento: D{i}\n" if i % every == 0 else "")
+            + f"Empr: {i} FUNC {i} CPF: 111.222.333-44 Adm: 01/02/2020 resto da linha\n"
+            for i in range(n)
+        )
         docs = spark.createDataFrame([("f", text)], "file string, text string")
         best = float("inf")
         for _ in range(2):
             start = time.perf_counter()
             blocks = payslips.all_blocks(docs).where("pos > 0")
-            wrong = F.sum((F.col("departamento") != F.concat(F.lit("D"), F.col("pos") - 1)).cast("int"))
+            wrong = F.sum((F.col("departamento") != F.concat(F.lit("D"), F.col("pos") - 1 - (F.col("pos") - 1) % every)).cast("int"))
             row = blocks.agg(F.count("*").alias("n"), wrong.alias("wrong")).first()
             best = min(best, time.perf_counter() - start)
             assert (row.n, row.wrong) == (n, 0)
@@ -129,3 +134,4 @@ def test_work_grows_with_the_number_of_blocks(spark):
 
     seconds(100)
     assert seconds(32_000) < 16 * max(seconds(4_000), 0.25)
+    assert seconds(32_000, every=32_000) < 16 * max(seconds(4_000, every=4_000), 0.25)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from payloom import schemas as S
 from payloom.functions import patterns as P
 from payloom.functions.text import name_suffix_strip
-from payloom.plans import payslips
+from payloom.plans import payslips, rejected
 from payloom.session import work_folder
 from payloom.sources.files import read_csv_locale, scan_payslip_table, scan_payslip_text, write_csv_locale
 from payloom.sources.rubrics import RUBRICA_LABELS, scan_rubric_map
@@ -335,6 +335,18 @@ def typed_cast_columns(spark, sf):
     return payslips.consolidated(typed_records(spark, sf))
 
 
+@query(
+    "rejects",
+    f"{TYPED_SQL} SELECT 'folha' AS etapa, 'documento sem bloco' AS regra, CAST(o_orderkey AS VARCHAR) AS chave, "
+    "NULL AS valor FROM orders WHERE o_orderkey % 17 IN (3, 4) UNION ALL "
+    "SELECT 'folha', 'pessoa sem cpf', file || '#' || pos, nome_funcionario FROM typed WHERE cpf IS NULL",
+)
+def rejects(spark, sf):
+    """What the payroll stage leaves out: documents without a block and people without a cpf."""
+    people = rejected.payroll_people(typed_records(spark, sf))
+    return rejected.documents(payslip_docs(spark, sf)).unionByName(people)
+
+
 DETAIL_SQL = f"""{ITEMS_SQL}, {RUBRIC_SQL}, det AS (
   SELECT file, pos, CAST({PERIOD} AS DATE) AS competencia, tipo_calculo, departamento, vinculo,
          nome_funcionario, nullif(replace(replace(cpf, '.', ''), '-', ''), '') AS cpf, situacao,

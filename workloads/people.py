@@ -88,13 +88,15 @@ def explode_benefits(spark, sf):
     "FROM customer WHERE c_custkey % 23 <> 0",
 )
 def merge_detail_over_list(spark, sf):
-    """Every third employee has a detail record; the list record has only id and name."""
+    """Every third employee has a detail record; the list record has only id and name.
+    Details arrive twice.
+    """
     whole = parsed(spark, sf).select("id", "name", "active")
     listed = whole.select(
         "id", F.concat(F.lit("LISTA "), F.col("id")).alias("name"), F.lit(None).cast("boolean").alias("active")
     )
     details = whole.where("id % 3 = 0")
-    merged = employees.merge_detail_over_list(listed, details)
+    merged = employees.merge_detail_over_list(listed, details.unionByName(details))
     return merged.select("id", "name", F.col("active").cast("string").alias("ativo"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from payloom import schemas as S
 from payloom.operators import checks, keys, merge
+from payloom.functions.text import null_name_salt
 from payloom.operators.conform import add_columns, conform
 from payloom.operators.dedup import first_per_key
 from payloom.plans import employees, payslips, run, star
@@ -283,8 +284,9 @@ def join_fact_surrogate_key(spark, sf):
     "coalesce(colaborador_sk, 0) AS colaborador_sk FROM rec LEFT JOIN cur USING (cpf)",
 )
 def default_coalesce(spark, sf):
-    keyed = payroll_rows(spark, sf).select("file", "cpf", "cargo", "departamento").join(
-        person_rows(spark, sf), "cpf", "left"
+    rows = payroll_rows(spark, sf).select("file", "cpf", "cargo", "departamento")
+    keyed = rows.withColumn("_key", null_name_salt(F.col("cpf"), F.col("file"))).join(
+        person_rows(spark, sf).withColumnRenamed("cpf", "_key"), "_key", "left"
     )
     return keyed.select(
         "file",
