@@ -51,7 +51,7 @@ class Forest:
         inner = (1 << depth) - 1
         self.normals = np.array(
             [[direction(seed * 1_000_003 + t * inner + i, sample.shape[1]) for i in range(inner)] for t in range(trees)]
-        ).reshape(trees, inner, -1)
+        ).reshape(trees, inner, sample.shape[1])
         self.cuts = np.zeros((trees, inner))
         self.share = np.zeros((trees, 1 << depth))
         for t in range(trees):
@@ -140,6 +140,7 @@ def search(
     fitted = matrix(drawn.select("v").limit(sample).toArrow().column(0))
     fitted = fitted if fitted.size else np.zeros((1, common.d))
     depth = max(least_depth, math.ceil(math.log2(max(1.0, n / leaf_rows))))
+    depth = min(depth, int(math.log2(max(1.0, n / (2 * k)))))  # small tables: leaves of some k rows at least
     forest = spark.sparkContext.broadcast(Forest(fitted, longest, depth, trees))
     bundles = max(16, math.ceil(n * trees / bundle_rows))
 
