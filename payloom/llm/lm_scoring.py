@@ -42,8 +42,7 @@ from payloom.session import settle
 
 DEPTH = 5
 #: Bytes of text in a block, bytes handled at once inside it, gram rows of a bucket.
-BLOCK, STEP, BUCKET = 24 << 20, 4 << 20, 100_000
-GRAM, WORD = 0, 1
+BLOCK, STEP, BUCKET = 24 << 20, 1 << 20, 50_000
 _LOG10 = math.log(10)
 
 
@@ -54,33 +53,41 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode().lower()
 
 
-def steps(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of texts of about ``STEP`` bytes, with the number of their first text."""
+def steps(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of about ``STEP`` bytes."""
     start = size = 0
     for i, text in enumerate(texts):
         size += len(text)
         if size >= STEP or i == len(texts) - 1:
-            yield start, texts[start : i + 1]
+            yield slice(start, i + 1)
             start, size = i + 1, 0
 
 
+def packed(row: np.ndarray, width: int) -> np.ndarray:
+    """Every run of ``width`` bytes as one number, the last byte lowest."""
+    if width == 1:
+        return row.astype(np.int64)
+    half = width // 2
+    left = packed(row, half)
+    right = left if width == 2 * half else packed(row, width - half)
+    return (left[: len(row) - width + 1] << (8 * (width - half))) | right[half : half + len(row) - width + 1]
+
+
 def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Gram of every byte and end mark (nearest context byte next to the byte), and where texts start."""
     row = np.frombuffer(b"".join(b"\0" * depth + t + b"\xff" for t in texts), np.uint8)
-    gram = np.zeros(len(row), np.int64)
-    for back in range(depth + 1):
-        gram[back:] |= row[: len(row) - back].astype(np.int64) << (8 * back)
     lengths = np.array([len(t) + 1 for t in texts])
     starts = np.cumsum(lengths) - lengths
     keep = np.ones(len(row), bool)
     padding = starts + depth * np.arange(len(texts))
     for k in range(depth):
         keep[padding + k] = False
-    return gram[keep], starts
+    return packed(row, depth + 1)[keep[depth:]], starts
 
 
 def word_key(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+    """A negative key, as grams are not negative: 63 bits of the word's hash."""
+    return -1 - (xxhash.xxh3_64_intdigest(word) >> 1)
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -195,25 +202,23 @@ def block_counts(depth: int):
     """Distinct grams and words of a block with their counts in training texts."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
+        block, held = frame["block"].iloc[0], frame["held"].to_numpy(bool)
         texts = [lowered(t) for t in frame["text"]]
-        train = ~frame["held"].to_numpy(bool)
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        words: Counter = Counter()
-        for start, part in steps(texts):
-            gram, starts = grams_of(part, depth)
-            weight = np.repeat(train[start : start + len(part)], np.diff(np.append(starts, len(gram))))
-            distinct, at = np.unique(np.concatenate([keys, gram]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, weight]), len(distinct)).astype(np.int64)
-            keys = distinct
-        for text, learn in zip(texts, train):
-            found = text.split()
-            words.update(found) if learn else words.update(dict.fromkeys(found, 0))
-        kinds = np.repeat(np.array([GRAM, WORD], np.int32), [len(keys), len(words)])
+        keys, counts, words = [], [], Counter()
+        for learn in (True, False):
+            own = [t for t, h in zip(texts, held) if h != learn]
+            for part in steps(own):
+                distinct, n = np.unique(grams_of(own[part], depth)[0], return_counts=True)
+                keys.append(distinct), counts.append(n * learn)
+            for text in own:
+                found = text.split()
+                words.update(found if learn else dict.fromkeys(found, 0))
+        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
         hashed = np.fromiter(map(word_key, words), np.int64, len(words))
         return pd.DataFrame(
             {
-                "block": frame["block"].iloc[0],
-                "kind": kinds,
+                "block": block,
                 "key": np.concatenate([keys, hashed]),
                 "n": np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))]),
             }
@@ -252,38 +257,42 @@ def fit(grams: DataFrame, depth: int) -> DataFrame:
     return grams.groupBy("bucket").applyInPandas(scored, "key long, value double")
 
 
+class Numbers(dict):
+    """Numbers words in the order they are first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def block_scores(depth: int, n_docs: int, total: int, distinct: int):
     """Sums of a block's texts from the values of its grams and words."""
     spread = total + 0.1 * (distinct + 1)
+    end = math.log10((n_docs + 0.1) / spread)
 
     def work(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        gram = known[known["kind"] == GRAM].sort_values("key")
-        keys, values = gram["key"].to_numpy(), gram["value"].to_numpy()
-        is_word = known["kind"] == WORD
-        counts = dict(zip(known.loc[is_word, "key"], known.loc[is_word, "value"]))
+        keys, values = known["key"].to_numpy(), known["value"].to_numpy()
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order]
         texts = [lowered(t) for t in frame["text"]]
         score = np.zeros(len(texts))
-        for start, part in steps(texts):
-            found, starts = grams_of(part, depth)
-            score[start : start + len(part)] = np.add.reduceat(values[np.searchsorted(keys, found)], starts)
-        end = math.log10((n_docs + 0.1) / spread)
-        n_tokens, n_known, base = [], [], []
-        cache: dict[bytes, tuple[float, int]] = {}
-        for text in texts:
-            tokens, seen, total_base = 1, int(n_docs > 0), end
-            for word in text.split():
-                value = cache.get(word)
-                if value is None:
-                    c = counts[word_key(word)]
-                    value = cache[word] = (math.log10((c + 0.1) / spread), int(c > 0))
-                tokens += 1
-                total_base += value[0]
-                seen += value[1]
-            n_tokens.append(tokens), n_known.append(seen), base.append(total_base)
+        for part in steps(texts):
+            found, starts = grams_of(texts[part], depth)
+            score[part] = np.add.reduceat(values[np.searchsorted(keys, found)], starts)
+        numbers = Numbers()
+        rows = [np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in map(bytes.split, texts)]
+        hashed = np.fromiter(map(word_key, numbers), np.int64, len(numbers))
+        counts = values[np.searchsorted(keys, hashed)] if len(hashed) else np.zeros(0)
+        base = np.log10((counts + 0.1) / spread)
         return pd.DataFrame(
             {
-                "doc_id": frame["doc_id"], "held_out": frame["held"], "n_tokens": n_tokens, "n_known": n_known,
-                "train_tokens": total, "base_score": base, "score": score,
+                "doc_id": frame["doc_id"],
+                "held_out": frame["held"],
+                "n_tokens": [len(r) + 1 for r in rows],
+                "n_known": [int((counts[r] > 0).sum()) + (n_docs > 0) for r in rows],
+                "train_tokens": total,
+                "base_score": [float(base[r].sum()) + end for r in rows],
+                "score": score,
                 "n_bytes": [len(t) for t in texts],
             }
         )
@@ -303,21 +312,20 @@ def score(docs: DataFrame, depth: int = DEPTH, folds: int = 10, hold: int = 0) -
     blocks, n_docs = max(1, -(-(size.size or 0) // BLOCK)), size.train or 0
     # ids travel as text, as pandas would turn whole numbers with nulls into floats
     placed = docs.select(
-        F.col("doc_id").cast("string").alias("doc_id"), "text", held.alias("held"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
+        F.col("doc_id").cast("string").alias("doc_id"),
+        "text",
+        held.alias("held"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"),
     )
     parts = settle(
-        placed.groupBy("block").applyInPandas(block_counts(depth), "block long, kind int, key long, n long"), "lm-parts"
+        placed.groupBy("block").applyInPandas(block_counts(depth), "block long, key long, n long"), "lm-parts"
     )
-    totals = settle(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-totals")
-    words = totals.where(F.col("kind") == WORD)
+    totals = settle(parts.groupBy("key").agg(F.sum("n").alias("n")), "lm-totals")
+    words = totals.where("key < 0")
     known = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = (known.n or 0) + n_docs, known.v + (n_docs > 0)
-    values = (
-        fit(totals.where(F.col("kind") == GRAM), depth)
-        .select(F.lit(GRAM).alias("kind"), "key", "value")
-        .union(words.select("kind", "key", F.col("n").cast("double").alias("value")))
-    )
-    wanted = parts.select("block", "kind", "key").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    values = fit(totals.where("key >= 0"), depth).union(words.select("key", F.col("n").cast("double")))
+    wanted = parts.select("block", "key").join(values, "key").select("block", "key", "value")
     schema = (
         "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, n_bytes long"
