@@ -20,10 +20,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,15 +40,18 @@ BATCH = 64
 END_ID = 0
 
 
-#: Words whose ids a task remembers, and the longest of them.
-REMEMBERED, SHORT = 400_000, 64
+#: Fixed value: the pattern that cuts texts of byte-level vocabularies into pre-tokens.
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Words whose ids a task remembers (twice, the newer and the older), and the longest of them.
+REMEMBERED, SHORT = 350_000, 64
 
 
 class Encoder:
-    """The library's ids of whole texts; ids of words that repeat are asked for once.
+    """The library's ids of whole texts; pre-tokens that repeat are asked for once.
 
     A byte-level vocabulary starts a new pre-token at a space before a visible character,
-    so a text may be cut there and its parts encoded apart.  Texts that hold an added
+    so a text may be cut there into words, which are remembered; the pre-tokens of a new
+    word go to the library, which encodes each of them alone in any text.  Texts that hold an added
     token's string go to the library whole.
     """
 
@@ -59,31 +64,57 @@ class Encoder:
         size = self.model.get_vocab_size()
         self.kind = pa.uint16() if size <= 1 << 16 else pa.uint32()
         self.type = self.kind.to_pandas_dtype()
+        self.letter = "H" if self.kind == pa.uint16() else "I"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.pretokens = regex.compile(PRETOKEN).findall
         self.uneven, self.cut = re.compile(r" \s").search, re.compile(r" (?=\S)").split
 
-    def ask(self, words: list[str]) -> list[bytes]:
+    def ask(self, texts: list[str]) -> list[bytes]:
+        """The library's ids as bytes."""
         found = []
-        for i in range(0, len(words), 256):
-            part = self.model.encode_batch_fast(words[i : i + 256], add_special_tokens=False)
-            found += [np.array(e.ids, self.type).tobytes() for e in part]
+        for i in range(0, len(texts), 1024):
+            part = self.model.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False)
+            found += [array(self.letter, e.ids).tobytes() for e in part]
         return found
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text and the end id."""
-        if any(a in text for a in self.added):
-            return np.frombuffer(self.ask([text])[0] + self.end, self.type)
-        first, *words = self.cut(text) if self.uneven(text) else text.split(" ")
-        known = self.known
-        parts = list(map(known.get, words))
-        if None in parts:
-            missing = list({w for w, p in zip(words, parts) if p is None})
-            new = dict(zip(missing, self.ask([" " + w for w in missing])))
-            parts = [new[w] if p is None else p for w, p in zip(words, parts)]
-            if len(known) > REMEMBERED:
-                known.clear()
-            known.update((w, p) for w, p in new.items() if len(w) <= SHORT)
-        return np.frombuffer(self.ask([first])[0] + b"".join(parts) + self.end, self.type)
+    def words(self, text: str) -> list[str]:
+        """Parts that can be encoded apart: the first, then the others without their space."""
+        return self.cut(text) if self.uneven(text) else text.split(" ")
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text and the end id."""
+        whole = {i: x for i, x in enumerate(texts) if any(a in x for a in self.added)}
+        split = [[""] if i in whole else self.words(x) for i, x in enumerate(texts)]
+        firsts = self.ask([whole.get(i, words[0]) for i, words in enumerate(split)])
+        known, older, new = self.known, self.older, set()
+        rows = []
+        for words in split:
+            del words[0]
+            parts = list(map(known.get, words))
+            rows.append(parts)
+            if None in parts:
+                for w, p in zip(words, parts):
+                    if p is None:
+                        new.add(w)
+        fresh = {w: older[w] for w in new if w in older}
+        asked = {w: self.pretokens(" " + w) for w in new if w not in fresh}
+        ids = self.pieces
+        if len(ids) > REMEMBERED:
+            ids.clear()
+        pieces = list({p for row in asked.values() for p in row if p not in ids})
+        ids.update(zip(pieces, self.ask(pieces)))
+        fresh.update((w, b"".join([ids[p] for p in row])) for w, row in asked.items())
+        out = []
+        for first, words, parts in zip(firsts, split, rows):
+            if None in parts:
+                parts = [fresh[w] if p is None else p for w, p in zip(words, parts)]
+            out.append(np.frombuffer(first + b"".join(parts) + self.end, self.type))
+        if len(known) > REMEMBERED:
+            self.older, self.known = known, {}
+        self.known.update((w, p) for w, p in fresh.items() if len(w) <= SHORT)
+        return out
 
     @property
     def end(self) -> bytes:
@@ -153,8 +184,7 @@ def write(docs: DataFrame, vocab_path: str, sequence: int = SEQUENCE) -> DataFra
             for batch in batches:
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 lengths = []
-                for text in texts:
-                    ids = model.encode(text)
+                for ids in model.encode(texts):
                     lengths.append(len(ids))
                     file.add(ids)
                 ends = n_tokens + np.cumsum(lengths)
