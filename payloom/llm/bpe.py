@@ -31,7 +31,7 @@ from payloom.llm.common import map_batches
 
 #: Fixed values of the vocabulary's pre-tokenizer.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _NONE = 1 << 62
 
 

@@ -43,7 +43,7 @@ BANDS, ROWS = 28, 6
 BATCH = 28
 #: Members of a bucket or group part, and rows that a task handles at once.
 BUCKET_PART, GROUP_PART, AT_ONCE = 512, 128, 20_000
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(32)
 

@@ -31,7 +31,7 @@ from payloom.llm.common import fold, map_batches
 from payloom.session import settle
 
 BITS = 18
-REMEMBERED, SHORT = 300_000, 64
+REMEMBERED, SHORT = 200_000, 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
