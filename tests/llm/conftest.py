@@ -1,13 +1,7 @@
 import random
 
 import pytest
-
-WORDS = "the of and in to that with for is on as by this from have been anhe tion reou wher stle Ünder côté niño 日本 42 3.14 don't".split()
-
-
-def prose(rng, n):
-    return " ".join(rng.choices(WORDS, k=n)).replace(" that", ".\nThat")
-
+from samples import prose
 
 @pytest.fixture(scope="session")
 def messy(spark):
@@ -27,7 +21,3 @@ def messy(spark):
 @pytest.fixture(scope="session")
 def none(messy):
     return messy.limit(0)
-
-
-def sorted_rows(df):
-    return sorted(map(tuple, df.collect()), key=repr)

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import prose
+from samples import prose
 
 from payloom.llm import lm_scoring, quality
 

@@ -5,7 +5,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
-from conftest import sorted_rows
+from samples import sorted_rows
 
 from payloom.llm import mixing, url_filter
 from payloom.llm.answers import ANSWERS

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import prose, sorted_rows
+from samples import prose, sorted_rows
 from pyspark.sql import functions as F
 
 from payloom.llm import common, near_dup, vector_dedup, vector_search
