@@ -8,7 +8,8 @@ a pre-token are remembered in a bounded table, as words repeat.
 
 Null texts encode like empty ones: no ids and an empty decoded text.  Strings of the added
 special tokens inside a text become those tokens.  A text of any length is encoded whole;
-a pre-token of n bytes costs O(n log n).  Repeated rows and ids give a row each; only the
+a pre-token of n bytes costs O(n log n).  Letters that Unicode took up only recently may be
+cut otherwise than by a library with older character tables.  Repeated rows and ids give a row each; only the
 named id and text columns are read.
 """
 

@@ -44,8 +44,9 @@ def test_bpe_round_trip_of_stored_ids(messy, none, word_library):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=40))
+@given(st.text(st.characters(exclude_categories=["Cn", "Cs"]), max_size=40))
 def test_bpe_on_any_text(text):
+    """Of all assigned characters; the library's tables know none that came later."""
     library = Tokenizer.from_file(WORD) if not hasattr(test_bpe_on_any_text, "t") else test_bpe_on_any_text.t
     test_bpe_on_any_text.t = library
     ids, decoded, n = bpe.vocabulary(WORD).encode(text)
