@@ -19,8 +19,6 @@ that has several vectors is one node.  Only ``vec_id``, ``embedding`` and ``labe
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,30 +31,32 @@ from payloom.session import settle
 LEAF, TREES = 1024, 6
 
 
-def projected(members: DataFrame) -> DataFrame:
-    """Adds ``p``, the place of each row along its cell's direction."""
-    kind = dict(members.dtypes)
+def projected(large: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(cell, rid, d, n, p)``: the place of each row along its cell's direction.
+
+    Members travel without their vectors, which meet them here only.
+    """
 
     def work(batches):
         for batch in batches:
-            cells, vectors = batch.column(0).to_numpy(), batch.column(2)
+            cells, vectors = batch.column(0).to_numpy(), batch.column(4)
             p = np.zeros(len(cells))
             for cell in np.unique(cells):
-                rows = np.flatnonzero(cells == cell)
-                v = matrix(vectors.take(pa.array(rows)))
-                p[rows] = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ direction(int(cell), v.shape[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "p"])
+                at = np.flatnonzero(cells == cell)
+                v = matrix(vectors.take(pa.array(at)))
+                p[at] = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ direction(int(cell), v.shape[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(p)], names=["cell", "rid", "d", "n", "p"])
 
-    schema = ", ".join(f"{c} {kind[c]}" for c in members.columns)
-    return map_batches(members, work, f"{schema}, p double")
+    met = large.join(rows.select("rid", "v"), "rid").select("cell", "rid", "d", "n", "v")
+    return map_batches(met, work, "cell long, rid long, d int, n long, p double")
 
 
 def forest(rows: DataFrame, cosine: float, leaf: int, trees: int) -> DataFrame:
     """``(cell, rid, n)``: the leaves of every row, with their sizes."""
     start = rows.select(
-        F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree"), "rid", "v", "label", F.size("v").alias("d")
+        F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree"), "rid", "label", F.size("v").alias("d")
     )
-    members = start.select(F.xxhash64("tree", "label", "d").alias("cell"), "rid", "v")
+    members = start.select(F.xxhash64("tree", "label", "d").alias("cell"), "rid", "d")
     done = None
     while True:
         sizes = members.groupBy("cell").agg(F.count("*").alias("n"))
@@ -66,23 +66,21 @@ def forest(rows: DataFrame, cosine: float, leaf: int, trees: int) -> DataFrame:
         done = final if done is None else done.union(final)
         if large.isEmpty():
             return done
-        placed = settle(projected(large.select("cell", "rid", "v", "n")), "projections")
+        placed = settle(projected(large, rows), "projections")
         # two points at the threshold differ by this much along a random direction, times a normal draw
-        margin = 0.65 * F.sqrt(F.lit(2 - 2 * cosine) / F.size("v"))
+        margin = 0.65 * F.sqrt(F.lit(2 - 2 * cosine) / F.col("d"))
         cuts = placed.groupBy("cell").agg(F.percentile_approx("p", 0.5, 1000).alias("cut"))
-        sides = placed.join(cuts, "cell").select(
-            "cell", "rid", "v", "n", (F.col("p") <= F.col("cut") + margin).alias("left"), (F.col("p") > F.col("cut") - margin).alias("right")
-        )
+        left, right = F.col("p") <= F.col("cut") + margin, F.col("p") > F.col("cut") - margin
+        sides = placed.join(cuts, "cell").select("*", left.alias("left"), right.alias("right"))
         counts = sides.groupBy("cell").agg(
             F.sum(F.col("left").cast("long")).alias("nl"), F.sum(F.col("right").cast("long")).alias("nr")
         )
         sides = sides.join(counts, "cell")
         stuck = F.greatest("nl", "nr") > 0.9 * F.col("n")
         done = done.union(sides.where(stuck).select("cell", "rid", "n"))
-        split = sides.where(~stuck).select(
-            "rid", "v", "cell", F.explode(F.filter(F.array(F.when(F.col("left"), 1), F.when(F.col("right"), 2)), lambda x: x.isNotNull())).alias("side")
-        )
-        members = settle(split.select(F.xxhash64("cell", "side").alias("cell"), "rid", "v"), "members")
+        both = F.filter(F.array(F.when(F.col("left"), 1), F.when(F.col("right"), 2)), lambda x: x.isNotNull())
+        split = sides.where(~stuck).select("rid", "d", "cell", F.explode(both).alias("side"))
+        members = settle(split.select(F.xxhash64("cell", "side").alias("cell"), "rid", "d"), "members")
 
 
 def owned(linked: np.ndarray, leaf: int, leaves: list[list[int]]) -> np.ndarray:
