@@ -88,16 +88,10 @@ class Encoder:
         whole = {i: x for i, x in enumerate(texts) if any(a in x for a in self.added)}
         split = [[""] if i in whole else self.words(x) for i, x in enumerate(texts)]
         firsts = self.ask([whole.get(i, words[0]) for i, words in enumerate(split)])
-        known, older, new = self.known, self.older, set()
-        rows = []
         for words in split:
             del words[0]
-            parts = list(map(known.get, words))
-            rows.append(parts)
-            if None in parts:
-                for w, p in zip(words, parts):
-                    if p is None:
-                        new.add(w)
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
         fresh = {w: older[w] for w in new if w in older}
         asked = {w: self.pretokens(" " + w) for w in new if w not in fresh}
         ids = self.pieces
@@ -106,14 +100,16 @@ class Encoder:
         pieces = list({p for row in asked.values() for p in row if p not in ids})
         ids.update(zip(pieces, self.ask(pieces)))
         fresh.update((w, b"".join([ids[p] for p in row])) for w, row in asked.items())
-        out = []
-        for first, words, parts in zip(firsts, split, rows):
-            if None in parts:
-                parts = [fresh[w] if p is None else p for w, p in zip(words, parts)]
-            out.append(np.frombuffer(first + b"".join(parts) + self.end, self.type))
+        known.update(fresh)
+        of = known.__getitem__
+        out = [
+            np.frombuffer(first + b"".join(map(of, words)) + self.end, self.type) for first, words in zip(firsts, split)
+        ]
+        for w in fresh:
+            if len(w) > SHORT:
+                del known[w]
         if len(known) > REMEMBERED:
             self.older, self.known = known, {}
-        self.known.update((w, p) for w, p in fresh.items() if len(w) <= SHORT)
         return out
 
     @property
