@@ -53,11 +53,11 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode().lower()
 
 
-def steps(texts: list[bytes]) -> Iterator[slice]:
+def steps(texts: list[str | None]) -> Iterator[slice]:
     """Runs of texts of about ``STEP`` bytes."""
     start = size = 0
     for i, text in enumerate(texts):
-        size += len(text)
+        size += len(text or "")
         if size >= STEP or i == len(texts) - 1:
             yield slice(start, i + 1)
             start, size = i + 1, 0
@@ -198,31 +198,30 @@ def log_probs(grams: np.ndarray, counts: np.ndarray, top: Top, depth: int) -> np
 # -- the distributed fit -------------------------------------------------------------
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum the counts of equal keys."""
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
 def block_counts(depth: int):
     """Distinct grams and words of a block with their counts in training texts."""
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        block, held = frame["block"].iloc[0], frame["held"].to_numpy(bool)
-        texts = [lowered(t) for t in frame["text"]]
-        keys, counts, words = [], [], Counter()
+        found = []
         for learn in (True, False):
-            own = [t for t, h in zip(texts, held) if h != learn]
+            own = frame.loc[frame["held"] != learn, "text"].tolist()
             for part in steps(own):
-                distinct, n = np.unique(grams_of(own[part], depth)[0], return_counts=True)
-                keys.append(distinct), counts.append(n * learn)
-            for text in own:
-                found = text.split()
-                words.update(found if learn else dict.fromkeys(found, 0))
-        keys, at = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.bincount(at, np.concatenate(counts), len(keys)).astype(np.int64)
-        hashed = np.fromiter(map(word_key, words), np.int64, len(words))
-        return pd.DataFrame(
-            {
-                "block": block,
-                "key": np.concatenate([keys, hashed]),
-                "n": np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))]),
-            }
-        )
+                texts = [lowered(t) for t in own[part]]
+                found.append(np.unique(grams_of(texts, depth)[0], return_counts=True))
+                words = Counter(b" ".join(texts).split())
+                found.append((np.fromiter(map(word_key, words), np.int64, len(words)), np.fromiter(words.values(), np.int64, len(words))))
+                if not learn:
+                    found[-2:] = [(k, 0 * n) for k, n in found[-2:]]
+                if len(found) > 8:
+                    found = [merged(found)]
+        keys, counts = merged(found)
+        return pd.DataFrame({"block": frame["block"].iloc[0], "key": keys, "n": counts})
 
     return work
 
@@ -271,29 +270,33 @@ def block_scores(depth: int, n_docs: int, total: int, distinct: int):
     end = math.log10((n_docs + 0.1) / spread)
 
     def work(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        keys, values = known["key"].to_numpy(), known["value"].to_numpy()
-        order = np.argsort(keys)
-        keys, values = keys[order], values[order]
-        texts = [lowered(t) for t in frame["text"]]
-        score = np.zeros(len(texts))
+        order = np.argsort(known["key"].to_numpy())
+        keys, values = known["key"].to_numpy()[order], known["value"].to_numpy()[order]
+        texts = frame["text"].tolist()
+        score, sizes, n_tokens, n_known, base = [], [], [], [], []
         for part in steps(texts):
-            found, starts = grams_of(texts[part], depth)
-            score[part] = np.add.reduceat(values[np.searchsorted(keys, found)], starts)
-        numbers = Numbers()
-        rows = [np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in map(bytes.split, texts)]
-        hashed = np.fromiter(map(word_key, numbers), np.int64, len(numbers))
-        counts = values[np.searchsorted(keys, hashed)] if len(hashed) else np.zeros(0)
-        base = np.log10((counts + 0.1) / spread)
+            low = [lowered(t) for t in texts[part]]
+            found, starts = grams_of(low, depth)
+            score.append(np.add.reduceat(values[np.searchsorted(keys, found)], starts))
+            numbers = Numbers()
+            rows = [np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in map(bytes.split, low)]
+            hashed = np.fromiter(map(word_key, numbers), np.int64, len(numbers))
+            counts = values[np.searchsorted(keys, hashed)] if len(hashed) else np.zeros(0)
+            logs = np.log10((counts + 0.1) / spread)
+            sizes += map(len, low)
+            n_tokens += [len(r) + 1 for r in rows]
+            n_known += [int((counts[r] > 0).sum()) + (n_docs > 0) for r in rows]
+            base += [float(logs[r].sum()) + end for r in rows]
         return pd.DataFrame(
             {
-                "doc_id": frame["doc_id"],
-                "held_out": frame["held"],
-                "n_tokens": [len(r) + 1 for r in rows],
-                "n_known": [int((counts[r] > 0).sum()) + (n_docs > 0) for r in rows],
+                "doc_id": frame["doc_id"].to_numpy(),
+                "held_out": frame["held"].to_numpy(),
+                "n_tokens": n_tokens,
+                "n_known": n_known,
                 "train_tokens": total,
-                "base_score": [float(base[r].sum()) + end for r in rows],
-                "score": score,
-                "n_bytes": [len(t) for t in texts],
+                "base_score": base,
+                "score": np.concatenate(score) if score else [],
+                "n_bytes": sizes,
             }
         )
 
