@@ -21,8 +21,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group."""
-    return near_dup.distinct_documents(docs)
+    """The document with the smallest id of every near-duplicate group (similarity 0.8 or more)."""
+    return near_dup.distinct_documents(docs, percent=80)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

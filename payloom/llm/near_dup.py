@@ -18,8 +18,8 @@ a shorter text is one shingle, a text without words has none and links with noth
 Buckets and groups above a fixed size are cut into parts whose pairs meet in tasks of their
 own (`in_pairs_of_parts`): exact for any size, and no task holds an unbounded group.
 
-A pair of exactly the threshold is missed by the bands with a chance of 2e-6 at 28 bands of
-6; ``miss`` adds at most that much per batch.  Null and empty texts have size 0 and are
+A pair of exactly the threshold is missed by the bands with a chance of at most 2e-6 (28
+bands of 6 at 85 percent, 34 bands of 5 at 80); ``miss`` adds at most that much per batch.  Null and empty texts have size 0 and are
 their own component.  A null id takes no part in links: its component is null and it is
 kept.  Rows that repeat an id are one node, with the sets of all their texts.  Only
 ``doc_id`` and ``text`` are read.
@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from payloom.llm.common import components, in_pairs_of_parts, map_batches, whole_groups
 from payloom.session import settle
 
-BANDS, ROWS = 28, 6
+#: Chance that the bands miss a pair of exactly the threshold.
+MISSED = 2e-6
 BATCH = 28
 #: Members of a bucket or group part, and rows that a task handles at once.
 BUCKET_PART, GROUP_PART, AT_ONCE = 512, 128, 20_000
@@ -83,6 +84,13 @@ def shingler(words: int) -> Shingler:
     return Shingler(words)
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """``(bands, rows)``: rows that about a third of pairs at the threshold agree in, bands for ``MISSED``."""
+    same = min(percent, 99) / 100
+    rows = min(6, max(1, round(math.log(0.35) / math.log(same))))
+    return math.ceil(math.log(MISSED) / math.log1p(-(same**rows))), rows
+
+
 @lru_cache(maxsize=4)
 def permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     drawn = np.random.default_rng(8).integers(0, 1 << 63, (2, n, 1), dtype=np.uint64)
@@ -205,7 +213,7 @@ def candidates(classes: DataFrame, percent: int, miss: float, bands: int, rows:
     dealt = dealt.select(task, "part", (F.col("lo") < F.col("hi")).alias("across"), "id", "bytes")
     dealt = dealt.repartition("task").sortWithinPartitions("task")
     n = bands * rows
-    batch = BATCH if n % BATCH == 0 else rows
+    batch = min((x for x in range(1, n + 1) if n % x == 0), key=lambda x: abs(x - BATCH))
 
     def work(batches):
         least = least_matches(n, batch, percent / 100, miss)
@@ -282,10 +290,11 @@ def deduplicate(
     words: int = 5,
     percent: int = 85,
     miss: float = 1e-6,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    bands: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row of ``docs``."""
+    bands, rows = bands or banding(percent)[0], rows or banding(percent)[1]
     signed = settle(signatures(docs, words, bands, rows), "signatures")
     full = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = full.groupBy("digest").agg(
@@ -304,9 +313,9 @@ def deduplicate(
     )
 
 
-def distinct_documents(docs: DataFrame, **options) -> DataFrame:
+def distinct_documents(docs: DataFrame, percent: int = 80, **options) -> DataFrame:
     """One document of each group, with all its columns; rows without an id all stay."""
-    kept = deduplicate(docs, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    kept = deduplicate(docs, percent=percent, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("h"))
     one = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")

@@ -54,7 +54,7 @@ def op7_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.deduplicate(table(spark, sf_dir, "documents"))
+    return near_dup.deduplicate(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
