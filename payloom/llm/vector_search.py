@@ -1,15 +1,19 @@
 """Approximate nearest neighbours: a forest of random-projection trees, exactly reranked.
 
-**Fit.**  Trees are drawn over a sample of at most ``sample`` vectors (documented bound):
-each node splits its sample rows at their median along a random direction.  For the largest
-inner product, vectors are lengthened by one component that gives all of them the same
-norm, so the order by inner product is the order by angle.
+**Fit.**  Rows fall into bands by their norm, each down to 1/sqrt(2) of its longest (the
+last of ``BANDS`` holds all that are shorter still), and every band has trees of its own.
+They are drawn over a sample in step with the band's rows, ``sample`` vectors over all
+bands, but at least ``sample / 16`` for a band that has them (documented bound): each node
+splits its sample rows at their median along a random direction.  For the largest inner
+product, vectors are lengthened by one component that gives all of a band the same norm,
+so the order by inner product is the order by angle.  Without bands one long row would
+make that component decide every split.
 
-**Index.**  Every valid row, in the sample or not, falls into one leaf of each tree.
+**Index.**  Every valid row, in the sample or not, falls into one leaf of each tree of its band.
 
-**Search.**  A query walks all trees through one shared priority queue of nodes, nearest
-margin first, and takes leaves until they hold ``visit`` times all rows, a row counted
-once in each tree.  Leaves lie in
+**Search.**  A query, scaled to the norm of the band, walks all trees of each band through
+one shared priority queue of nodes, nearest margin first, and takes leaves until they hold
+``visit`` times the rows of the band, a row counted once in each tree.  Leaves lie in
 bundles; each bundle scores its own queries exactly on the original vectors in double
 precision and hands on their best ``k``, so rows grow with the queries, not with pairs.  A
 last step drops repeats from different trees and keeps the best ``k``; ties go to the
@@ -42,6 +46,10 @@ from payloom.llm.vectors import direction, matrix, valid_rows
 from payloom.session import settle
 
 
+#: Norm bands at most; the last one starts 2**31.5 below the longest row.
+BANDS = 64
+
+
 class Forest:
     """Trees of equal depth over lengthened vectors; leaves are numbered through all trees."""
 
@@ -99,6 +107,33 @@ class Forest:
         return found
 
 
+class Bands:
+    """A forest for each norm band; leaves are numbered through all of them."""
+
+    def __init__(self, forests: dict[int, Forest]):
+        self.forests, self.first, n = forests, {}, 0
+        for band, forest in forests.items():
+            self.first[band] = n
+            n += forest.trees << forest.depth
+
+    def leaves(self, v: np.ndarray, band: np.ndarray) -> list[np.ndarray]:
+        """Leaves of every row in the trees of its band."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(v)
+        for own in np.unique(band).tolist():
+            rows = np.flatnonzero(band == own)
+            for i, found in zip(rows.tolist(), self.forests[own].leaves(v[rows]) + self.first[own]):
+                out[i] = found
+        return out
+
+    def near(self, query: np.ndarray, visit: float) -> list[int]:
+        """Leaves for a query in all bands."""
+        norm = math.sqrt((query * query).sum()) or 1.0
+        found = []
+        for band, forest in self.forests.items():
+            found += [self.first[band] + leaf for leaf in forest.near(query * (forest.longest / norm), visit)]
+        return found
+
+
 def top(ids: np.ndarray, v: np.ndarray, query_id: int, query: np.ndarray, rough: np.ndarray, k: int):
     """Exact best ``k`` of a leaf for one query; ``rough`` scores may differ in their last digits."""
     rough = np.where(ids == query_id, -np.inf, rough)
@@ -133,22 +168,35 @@ def search(
     common = rows.groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if common is None:
         return spark.createDataFrame([], schema)
-    rows, n = rows.where(F.col("d") == common.d).select("id", "v"), common.n
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    longest = rows.agg(F.max(length)).first()[0]
-    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, 0.95 * sample / n) * (1 << 30)) + 1)
-    fitted = matrix(drawn.select("v").limit(sample).toArrow().column(0))
-    fitted = fitted if fitted.size else np.zeros((1, common.d))
-    depth = max(least_depth, math.ceil(math.log2(max(1.0, n / leaf_rows))))
-    depth = min(depth, int(math.log2(max(1.0, n / (2 * k)))))  # small tables: leaves of some k rows at least
-    forest = spark.sparkContext.broadcast(Forest(fitted, longest, depth, trees))
+    rows, n = rows.where(F.col("d") == common.d).select("id", "v", length.alias("length")), common.n
+    longest = rows.agg(F.max("length")).first()[0]
+    below = F.when(F.col("length") > 0, 2 * F.log2(F.lit(longest) / F.col("length"))).otherwise(float(BANDS))
+    rows = rows.select("id", "v", "length", F.floor(F.least(below, F.lit(BANDS - 1.0))).cast("int").alias("band"))
+    bands = rows.groupBy("band").agg(F.count("*").alias("n"), F.max("length").alias("longest")).orderBy("band").collect()
+    drawing, most = [0] * BANDS, 0
+    for b in bands:
+        own = max(sample * b.n // n, sample // 16)
+        drawing[b.band], most = int(min(1.0, 0.95 * own / b.n) * (1 << 30)) + 1, most + own
+    chance = F.element_at(F.array(*map(F.lit, drawing)), F.col("band") + 1)
+    drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < chance)
+    drawn = drawn.select("band", "v").limit(most).toArrow().combine_chunks()
+    fitted, of = matrix(drawn.column(1)), drawn.column(0).to_numpy()
+    forests = {}
+    for b in bands:
+        own = fitted[of == b.band] if len(of) else fitted
+        own = own if own.size else np.zeros((1, common.d))
+        depth = max(least_depth, math.ceil(math.log2(max(1.0, b.n / leaf_rows))))
+        depth = min(depth, int(math.log2(max(1.0, b.n / (2 * k)))))  # few rows: leaves of some k rows at least
+        forests[b.band] = Forest(own, b.longest, depth, trees if depth else 1)
+    forest = spark.sparkContext.broadcast(Bands(forests))
     bundles = max(16, math.ceil(n * trees / bundle_rows))
 
     def index(batches):
         for batch in batches:
             if batch.num_rows:
-                leaves = forest.value.leaves(matrix(batch.column(1)))
-                lists = pa.array(list(leaves), pa.list_(pa.int64()))
+                leaves = forest.value.leaves(matrix(batch.column(1)), batch.column(2).to_numpy())
+                lists = pa.array(leaves, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "v", "leaves"])
 
     def walk(batches):
@@ -159,7 +207,7 @@ def search(
                     [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "v", "leaves"]
                 )
 
-    indexed = map_batches(rows, index, "id long, v array<double>, leaves array<long>")
+    indexed = map_batches(rows.select("id", "v", "band"), index, "id long, v array<double>, leaves array<long>")
     indexed = indexed.select("id", "v", F.explode("leaves").alias("leaf"))
     # the share of a leaf that one bundle may hold: larger leaves are dealt over several bundles
     sizes = indexed.groupBy("leaf").agg(F.count("*").alias("n"))
