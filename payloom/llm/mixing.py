@@ -119,12 +119,14 @@ def mix(
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: whole documents, each as often as the words it gives come to its size.
 
-    A document that gives less than half of its words, or has none, is left out; one that
-    gives 1.5 times its words or more stands twice.  All columns of ``docs`` stay as they are.
+    Quotas are asked once for the whole corpus, and a source is one stream over all shards, so
+    only one document of a source gives a part of its words.  It is left out if that is less
+    than half, else it stands once more; the words of a source come to its quota up to half
+    that document, however many shards there are.  All columns of ``docs`` stay as they are.
     """
     seed = options.setdefault("seed", 7)
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    chosen = allocated(docs, **options).where("size > 0 AND 2 * taken >= size").select("h", times.alias("times"))
+    chosen = allocated(docs, **options, whole=True).where("size > 0 AND 2 * taken >= size").select("h", times.alias("times"))
     chosen = chosen.groupBy("h").agg(F.sum("times").alias("times"))
     # equal rows share their hash: one of them stands for all, as often as all are taken
     rows = docs.select(row_hash(seed).alias("h"), F.struct("*").alias("row"))
@@ -141,8 +143,13 @@ def allocated(
     seed: int = 7,
     block_words: int = 64,
     shard_words: int = 1_000_000,
+    whole: bool = False,
 ) -> DataFrame:
-    """As ``mix``, with the hash ``h`` of every row."""
+    """As ``mix``, with the hash ``h`` of every row.
+
+    ``whole`` asks the quotas once for all shards, whose streams follow one another; its
+    windows over the shards of a source see one row per shard.
+    """
     sizes = settle(measured(docs, seed), "mix-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     shards = -(-total // shard_words) or 1
@@ -153,17 +160,28 @@ def allocated(
     )
     part = F.sum("size").alias("words")
     streams = placed.groupBy("shard", "source_no", "source_size", "target").agg(part)
+    asking = streams
+    if whole:
+        asking = goal.select(F.lit(0).alias("shard"), "source_no", "source_size", "target", F.col("source_size").alias("words"))
     ideal = F.when(F.col("source_size") > 0, F.col("target") * F.col("words") / F.col("source_size")).otherwise(0.0)
-    given = quotas(streams.select("shard", "source_no", "words", ideal.alias("ideal")), block_words, repeat)
+    given = quotas(asking.select("shard", "source_no", "words", ideal.alias("ideal")), block_words, repeat)
     stream = Window.partitionBy("shard", "source_no")
     before = F.sum("size").over(stream.orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    ordered = placed.select("*", before.alias("start"), F.sum("size").over(stream).alias("words"))
+    ordered = placed.select("*", before.alias("start"))
+    if whole:
+        given = given.drop("shard")
+        shard_turn = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+        earlier = (F.sum("words").over(shard_turn) - F.col("words")).alias("earlier")
+        ordered = ordered.join(streams.select("shard", "source_no", earlier), ["shard", "source_no"])
+        ordered = ordered.withColumn("start", F.col("start") + F.col("earlier")).withColumn("words", F.col("source_size"))
+    else:
+        ordered = ordered.withColumn("words", F.sum("size").over(stream))
     taking = F.coalesce("blocks", F.lit(0)) * block_words
     passes = F.when(F.col("words") > 0, F.floor(F.col("taking") / F.col("words"))).otherwise(0)
     rest = F.col("taking") - F.col("passes") * F.col("words")
     piece = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), rest) - F.col("start"))
     return (
-        ordered.join(given, ["shard", "source_no"], "left")
+        ordered.join(given, ["source_no"] if whole else ["shard", "source_no"], "left")
         .withColumn("taking", taking)
         .withColumn("passes", passes)
         .select(
