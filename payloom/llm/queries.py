@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from payloom.llm import (
     bpe,
+    hard_negatives,
     lm_scoring,
     mixing,
     near_dup,
     quality,
     token_counts,
     token_files,
+    toxicity,
     url_filter,
     vector_dedup,
     vector_search,
+    whitening,
 )
 from payloom.llm.common import table
 
@@ -67,6 +71,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), lambda vec_id: vec_id % 50 == 0)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,5 +98,8 @@ QUERIES = {
         op8_minhash_near_dup,
         op9_token_files,
         op10_url_filter,
+        op11_hard_negatives,
+        op12_embedding_whitening,
+        op13_toxicity,
     )
 }
