@@ -21,7 +21,7 @@ size of the table; the number of such tasks is what grows with it.  No partner i
 only rows that cannot be among the first ``negatives`` of a window are left out.
 
 Rows with a null id, null label, null vector, or a null or non-finite component take no
-part, nor do vectors with a component whose whole number has more than 26 bits.  Zero vectors
+part, nor do vectors with a component whose whole number has more than 24 bits.  Zero vectors
 do.  Vectors of different lengths never meet.  Equal rows count once; rows that share an id
 are rows of their own, but never partners of each other.  Ties go to the smaller id.  Only
 ``vec_id``, ``embedding`` and ``label`` are read.  An empty table gives no row.
@@ -41,7 +41,8 @@ from payloom.llm.vectors import direction, matrix
 from payloom.session import settle
 
 REFERENCES, CHUNK, BLOCK = 8, 8192, 1024
-WIDEST = 1 << 26
+WIDEST = 1 << 24
+_LEAST, _MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 #: Relative and absolute widening of the bounds: single-precision angles and products are
 #: off by less than a hundredth of it.
 SLACK, WHOLE = 1e-4, 1.0
@@ -164,7 +165,7 @@ class Best:
         self.most, self.lists = most, lists
         self.list, self.score, self.id, self.rid = (np.zeros(0, np.int64) for _ in range(4))
         #: Scores below this cannot enter a list any more.
-        self.floor = np.full(lists, -np.inf)
+        self.floor = np.full(lists, _LEAST)
 
     def add(self, lists, score, ids, rids) -> None:
         new = (lists, score, ids, rids)
@@ -186,7 +187,7 @@ def first_rows(a: Rows, v: Rows, low: np.ndarray, top: np.ndarray, most: int) ->
         at = slice(start, start + TILE)
         least, largest = bounds(a, v, at)
         floor = np.maximum(low, best.floor.reshape(low.shape))
-        needed = np.where(floor <= top, floor, np.inf).min(axis=0)
+        needed = np.where(floor <= top, floor, _MOST).min(axis=0)
         hit = (largest >= needed[:, None]) & (least <= top.max(axis=0)[:, None])
         hit &= a.ids[:, None] != v.ids[None, at]
         i, j = np.nonzero(hit)
@@ -283,7 +284,7 @@ def mine(
     blocks = packed(asking, ["d", "label", "part"])
 
     def everything(row: dict, a: Rows) -> tuple[np.ndarray, np.ndarray]:
-        return np.full((1, len(a.ids)), -np.inf), np.full((1, len(a.ids)), np.inf)
+        return np.full((1, len(a.ids)), _LEAST), np.full((1, len(a.ids)), _MOST)
 
     near = ranked(searched(met(settle(blocks, "negatives-blocks"), chunks, True), positives, everything), positives)
     near = settle(near.select("a_rid", F.col("rank").alias("turn"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), "negatives-positives")
@@ -297,8 +298,9 @@ def mine(
         asked = np.full((positives, len(a.ids)), -1, np.int64)
         for i, wanted in enumerate(row["a_asked"]):
             asked[: len(wanted), i] = wanted
-        lows, tops = -(-low * asked // 100), top * asked // 100
-        return np.where(asked < 0, np.inf, lows), np.where(asked < 0, -np.inf, tops)
+        hundreds, rest = asked // 100, asked % 100  # apart, as a score may take all 63 bits
+        lows, tops = low * hundreds - (-low * rest // 100), top * hundreds + top * rest // 100
+        return np.where(asked < 0, _MOST, lows), np.where(asked < 0, _LEAST, tops)
 
     blocks = settle(packed(wanting, ["d", "label", "part"]), "negatives-windows")
     found = ranked(searched(met(blocks, chunks, False), negatives, between), negatives)

@@ -69,11 +69,13 @@ def eigen(a: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(len(a), a.dtype), np.eye(len(a), dtype=a.dtype)
     a = a / size
     x = np.linalg.eigh(a.astype(np.float32))[1].astype(a.dtype)
-    done = 8 * len(a) * float(np.finfo(a.dtype).eps)
-    for _ in range(steps):
+    eps, last = float(np.finfo(a.dtype).eps), np.inf
+    for turn_no in range(steps):
         x, values, apart, change = _step(a, x)
-        if change <= done:
+        # below the rounding, or no longer getting smaller
+        if change <= 8 * len(a) * eps or (turn_no > 5 and change > last / 2):
             break
+        last, apart = change, apart + 8 * len(a) * eps
         for at in clusters(values, apart):
             # within a cluster the step only makes the vectors orthogonal; the shifted block says how to turn them
             y = x[:, at]
@@ -83,8 +85,9 @@ def eigen(a: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
             if top > 0:
                 turn = np.linalg.eigh(((block + block.T) / (2 * top)).astype(float))[1]
                 x[:, at] = y @ turn.astype(a.dtype)
-    values = np.einsum("ij,ij->j", x, a @ x) / np.einsum("ij,ij->j", x, x)
-    x = x / np.sqrt((x * x).sum(axis=0))
+    for _ in range(2):
+        x = x @ (1.5 * np.eye(len(a), dtype=a.dtype) - x.T @ x / 2)
+    values = np.einsum("ij,ij->j", x, a @ x)
     order = np.argsort(-values, kind="stable")
     return values[order] * size, x[:, order]
 
@@ -203,7 +206,7 @@ class Space:
         values, vectors = eigen(v)
         trace = float(np.trace(v))
         k = min(components, d)
-        floor = trace * d * np.finfo(float).eps
+        floor = trace * 64 * d * float(np.finfo(HIGH).eps)
         self.alive = np.array([float(e) > floor for e in values[:k]], bool)
         safe = np.where(self.alive, values[:k], 1)
         self.turn = np.where(self.alive, vectors[:, :k] / np.sqrt(safe), 0).astype(float)

