@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from payloom.functions.patterns import ascii_digits
 from payloom.functions.text import strip
 
 MONEY = (12, 2)
@@ -17,13 +18,13 @@ _FLOAT = (
 
 
 def brl_number(c: Column) -> Column:
-    """Digits with ``.`` thousands and ``,`` decimals -> double (pattern captures)."""
-    return F.translate(c, ",.", ".").try_cast("double")
+    """Digits of any script with ``.`` thousands and ``,`` decimals -> double (pattern captures)."""
+    return ascii_digits(c, ",.", ".").try_cast("double")
 
 
 def parse_brl_money(c: Column) -> Column:
     """``R$ 1.234,56`` -> 1234.56; every dot is a thousands mark; NULL if unreadable."""
-    plain = F.translate(strip(F.replace(c, F.lit("R$"), F.lit(""))), ",.", ".")
+    plain = ascii_digits(strip(F.replace(c, F.lit("R$"), F.lit(""))), ",.", ".")
     return F.when(plain.rlike(_FLOAT), F.replace(plain, F.lit("_"), F.lit("")).try_cast("double"))
 
 
@@ -42,6 +43,12 @@ def to_decimal_safe(c: Column, precision: int = 10, scale: int = 2) -> Column:
     return c.try_cast(f"decimal({precision},{scale})")
 
 
+def decimal_or_reject(c: Column, precision: int = 10, scale: int = 2) -> Column:
+    """``(value, lost)``: the decimal, and the text of an amount that it cannot hold."""
+    value = to_decimal_safe(c, precision, scale)
+    return F.struct(value.alias("value"), F.when(c.isNotNull() & value.isNull(), c.cast("string")).alias("lost"))
+
+
 def safe_numeric_cast(c: Column, precision: int = 12, scale: int = 2) -> Column:
     """Keep ``0-9 . -`` of a text, then cast; NULL when nothing readable is left."""
     return F.regexp_replace(c, "[^0-9.-]", "").try_cast(f"decimal({precision},{scale})")

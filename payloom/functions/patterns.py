@@ -8,16 +8,25 @@ character test down and dominated the extraction time.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's whitespace class, and its digits for the scripts a document can
-# use (ASCII, Arabic, Devanagari, fullwidth).  ``\\p{Nd}`` would name every script, but a
-# property lookup for each character costs a fifth of the extraction time.
+# Python's whitespace class, and its decimal digits of every script.  All
+# digits beyond ASCII lie above U+065F, so that one comparison keeps the slow property
+# lookup away from the letters of a document.
 _WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ND = r"0-9\u0660-\u0669\u06f0-\u06f9\u0966-\u096f\uff10-\uff19"
+_ND = r"0-9[\u0660-\x{10ffff}&&\p{Nd}]"
 _CLASSES = {r"\s": f"[{_WS}]", r"\S": f"[^{_WS}]", r"\d": f"[{_ND}]"}
 _INSIDE = {r"\s": _WS, r"\d": _ND}
+#: A character that is no decimal digit.
+NO_DIGIT = r"[\x00-/:-\u065f[\u0660-\x{10ffff}&&\P{Nd}]]"
+# Every decimal digit beyond ASCII, and the ASCII digit of the same value.
+_OTHER_DIGITS = [c for c in map(chr, range(0x660, sys.maxunicode + 1)) if unicodedata.decimal(c, None) is not None]
+_SAME_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
+_OTHER_DIGITS = "".join(_OTHER_DIGITS)
 
 
 class Pattern(str):
@@ -65,14 +74,19 @@ COMPETENCIA_GOZO = java(
 COMPETENCIA_PAGTO = java(
     r"(?:Data de Pagamento|Pagamento|Data)[:\s]+\d{2}/(\d{2}/\d{4})", "i", "DP"
 )
-TIPO_CALCULO = java(r"Cálculo\s*:\s*(.+)", "i")
+TIPO_CALCULO = java(r"Cálculo\s*:\s*(.+)", "i", "C")
 DEPARTAMENTO = java(r"Departamento:\s*(.+)")
+# A department header or an employee header, whichever comes first.  A header line that ends
+# inside an employee header takes the rest of it along, so that none is cut in two.
+HEADERS = java(
+    r"(?:Empr|Contr)\.?\s*:\s*\d+|Matrícula:\s*\d+|(?-i:Departamento:)\s*.+(?:\s*:?\s*\d+)?", "i", "DECM"
+)
 VINCULO = java(r"(Empr|Contr)\.?", starts="EC")
 SITUACAO = java(r"Situação:\s*([^\n\r]+)")
 SITUACAO_CUT = java(r"\s+(?:CPF:|Adm:|PIS/PASEP:|Matrícula:)")
 SITUACAO_HEADER = java(r"((?:Empr|Contr)\.?\s*:\s*\d+.*?)(?=\n|CPF:)", "s", "EC")
 SITUACAO_END = java(r"\s(Trabalhando|Afastado|Férias|Demitido)\s*$", "i")
-DEMISSAO_MOTIVO = java(r"DEMITIDO EM\s+(\d{2}/\d{2}/\d{4})\s*-\s*(.*?)(?=\n|$)", "is")
+DEMISSAO_MOTIVO = java(r"DEMITIDO EM\s+(\d{2}/\d{2}/\d{4})\s*-\s*(.*?)(?=\n|$)", "is", "D")
 DEMISSAO_DATA = java(r"(?:Data Demissão|Demissão):\s*(\d{2}/\d{2}/\d{4})", "i", "D")
 NOME = java(
     r"(?:Empr|Contr)\.?\s*:\s*\d+\s+(.*?)(?=\s*Situação:|\s*CPF:|\s*Adm:|\n)", "is", "EC"
@@ -108,6 +122,11 @@ ITEM_TABLE = ITEM_HOLERITE.replace(_WS, _WS.replace(r"\t-\r", r"\t\x0b-\r")).rep
 ANY_DIGIT = java(r"\d")
 
 
+def ascii_digits(text: Column, more: str = "", same: str = "") -> Column:
+    """Every decimal digit as the ASCII digit of its value; ``more`` becomes ``same``, the rest of it goes."""
+    return F.translate(text, _OTHER_DIGITS + more, _SAME_DIGITS + same)
+
+
 def all_matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array with the given group of every match."""
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
@@ -123,6 +142,11 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     return F.get(all_matches(text, pattern + "(?s:.*)", group), F.lit(0))
 
 
+def first_filled(text: Column, pattern: str, group: int = 1) -> Column:
+    """The same for a group that is never empty: the search just stops at the first match."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
 def first_of(text: Column, *patterns: str, group: int = 1) -> Column:
     """First match of the first pattern that matches at all."""
     return F.coalesce(*(first_match(text, p, group) for p in patterns))

@@ -39,7 +39,7 @@ def sentinel_to_null(c: Column) -> Column:
 
 def clean_digits(c: Column) -> Column:
     """Keep digits only; '' when there is none."""
-    return F.regexp_replace(c, P.java(r"[^\d]"), "")
+    return F.regexp_replace(c, P.NO_DIGIT, "")
 
 
 def clean_cpf(c: Column) -> Column:

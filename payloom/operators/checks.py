@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _report(df: DataFrame, rule: str, key: str) -> DataFrame:
-    return df.select(
-        F.lit(rule).alias("regra"), F.col(key).cast("string").alias("chave"), F.col("n").cast("bigint")
-    )
+def _report(df: DataFrame, rule: str | None, key: str) -> DataFrame:
+    named = F.col("regra") if rule is None else F.lit(rule).alias("regra")
+    return df.select(named, F.col(key).cast("string").alias("chave"), F.col("n").cast("bigint"))
 
 
 def orphans(facts: DataFrame, fk: str, dim: DataFrame, pk: str, rule: str) -> DataFrame:
@@ -31,14 +30,27 @@ def duplicates(df: DataFrame, key: str, rule: str) -> DataFrame:
     return _report(counted.where("n > 1"), rule, key)
 
 
+def row_rules(df: DataFrame, required: dict[str, str], limits: dict[str, tuple[int, str]]) -> DataFrame:
+    """Required columns and longest texts of a table, all in one scan.
+
+    ``required`` maps a column to the rule it breaks by being NULL, ``limits`` to its longest
+    text and the rule.  NULLs are counted together, long texts by text.
+    """
+    broken = [F.when(F.col(c).isNull(), F.struct(F.lit(rule).alias("regra"), F.lit(None).cast("string").alias("chave"))) for c, rule in required.items()]
+    broken += [
+        F.when(F.length(c) > most, F.struct(F.lit(rule).alias("regra"), F.col(c).cast("string").alias("chave")))
+        for c, (most, rule) in limits.items()
+    ]
+    found = df.select(F.explode(F.array_compact(F.array(*broken))).alias("r"))
+    return _report(found.groupBy("r.regra", "r.chave").agg(F.count(F.lit(1)).alias("n")), None, "chave")
+
+
 def nulls(df: DataFrame, column: str, rule: str) -> DataFrame:
-    counted = df.where(F.col(column).isNull()).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
-    return _report(counted.withColumn("_key", F.lit(None).cast("string")), rule, "_key")
+    return row_rules(df, {column: rule}, {})
 
 
 def too_long(df: DataFrame, column: str, limit: int, rule: str) -> DataFrame:
-    long = df.where(F.length(column) > limit)
-    return _report(long.groupBy(column).agg(F.count(F.lit(1)).alias("n")), rule, column)
+    return row_rules(df, {}, {column: (limit, rule)})
 
 
 def integrity_report(*parts: DataFrame) -> DataFrame:

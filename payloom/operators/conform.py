@@ -14,13 +14,17 @@ def empty(spark: SparkSession, schema: dict[str, str]) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
-    """Exactly the columns of ``schema``, in order; missing ones are typed NULLs."""
+    """Exactly the columns of ``schema``, in order; missing ones are typed NULLs.
+
+    A value that its column cannot hold stops the job: whoever expects such values casts
+    them first and keeps the rejects (`decimal_or_reject`).
+    """
     present = dict(df.dtypes)
 
     def value(name: str, kind: str) -> Column:
         if name not in present:
             return F.lit(None).cast(kind).alias(name)
-        return F.col(name) if present[name] == kind else F.col(name).try_cast(kind).alias(name)
+        return F.col(name) if present[name] == kind else F.col(name).cast(kind).alias(name)
 
     return df.select(*(value(name, kind) for name, kind in schema.items()))
 

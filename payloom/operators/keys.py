@@ -36,11 +36,36 @@ def assign_keys(new: DataFrame, current: DataFrame, key: str, sk: str) -> DataFr
     start = current.select(F.coalesce(F.max(sk), F.lit(0))).scalar()
     return (
         ranked.join(F.broadcast(offsets), "_bucket")
-        .withColumn(sk, (start + F.col("_offset") + F.col("_rank")).cast("int"))
+        .withColumn(sk, (start + F.col("_offset") + F.col("_rank")).cast("bigint"))
         .drop("_bucket", "_rank", "_offset")
     )
 
 
+_PERIOD_ROWS = 40  # bits for the rows of one period
+
+
+def number_rows(rows: DataFrame, name: str, unique: list[str], period: str | None = None) -> DataFrame:
+    """Adds 64-bit row numbers ``name`` that depend only on the rows of the same period.
+
+    The upper bits are the days up to ``period`` (0 without one), the lower 40 count the rows
+    of that period from 1, in order of a hash bucket and the columns ``unique``.  So loading
+    a period again gives its rows the same numbers, and no two periods share one.  Rows are
+    ranked inside 4096 buckets of each period in parallel, and prefix sums of the bucket
+    sizes become offsets.  ``rows`` is read twice, so it should come from a stored table.
+    """
+    whole = F.xxhash64(*rows.columns)
+    text = F.concat_ws("#", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in unique))
+    days = F.lit(0) if period is None else F.coalesce(F.datediff(period, F.lit("0001-01-01")) + 1, F.lit(0))
+    placed = rows.withColumns({"_days": days.cast("bigint"), "_bucket": key_bucket(text)})
+    order = Window.partitionBy("_days", "_bucket").orderBy(*unique, whole)
+    ranked = placed.withColumn("_rank", F.row_number().over(order))
+    sizes = placed.groupBy("_days", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_days").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_days", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    number = F.shiftleft("_days", _PERIOD_ROWS) + F.col("_offset") + F.col("_rank")
+    return ranked.join(offsets, ["_days", "_bucket"]).select(number.cast("bigint").alias(name), *rows.columns)
+
+
 def with_unknown_member(dim: DataFrame, key: str, values: dict[str, object]) -> DataFrame:
     """Add the unknown member unless its key already exists."""
     spark = dim.sparkSession

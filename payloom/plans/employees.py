@@ -52,10 +52,10 @@ def explode_benefits(employees: DataFrame) -> DataFrame:
     # The outer form avoids an inferred size filter, which would parse the JSON twice.
     items = employees.select(
         nullable_int(F.col("id")).alias("colaborador_id_solides"),
-        F.explode_outer("benefits").alias("b"),
+        F.posexplode_outer("benefits").alias("ordem", "b"),
     ).where("b is not null")
     renamed = items.select(
-        "colaborador_id_solides",
+        "colaborador_id_solides", "ordem",
         *(F.col(f"b.{path}").alias(name) for path, name in S.BENEFIT_RENAME.items()),
         parse_money_variant(F.col("b.value")).alias("valor_beneficio"),
         parse_money_variant(F.col("b.valueDiscount")).alias("valor_desconto"),

@@ -6,16 +6,13 @@ needs no shuffle at all, whatever the number or the naming of the documents.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom import schemas as S
 from payloom.functions import patterns as P
 from payloom.functions.dates import parse_date_multi, period_from_text
-from payloom.functions.numbers import brl_number, to_decimal_safe
+from payloom.functions.numbers import brl_number, decimal_or_reject, to_decimal_safe
 from payloom.functions.text import clean_cpf, clean_text, name_suffix_strip, one_line, strip
 from payloom.operators.conform import typed
 
@@ -29,15 +26,10 @@ def document_fields(text: Column) -> list[Column]:
     """Period and calculation type, one pair per document."""
     return [
         period_from_text(text).alias("competencia"),
-        strip(P.first_match(text, P.TIPO_CALCULO)).alias("tipo_calculo"),
+        strip(P.first_filled(text, P.TIPO_CALCULO)).alias("tipo_calculo"),
     ]
 
 
-def department_headers(text: Column) -> Column:
-    """Every department header of a document, in order."""
-    return F.transform(P.all_matches(text, P.DEPARTAMENTO, 1), strip)
-
-
 def split_blocks(text: Column) -> Column:
     """Array of texts cut before each employee header."""
     return F.split(text, P.SPLIT)
@@ -49,25 +41,29 @@ def is_employee_block(block: Column) -> Column:
     )
 
 
-def headers_before() -> Callable[..., Column]:
-    """UDF of three ``array<int>``: for each block, how many headers start before it.
+def departments(text: Column, n_blocks: Column) -> Column:
+    """For each block the last department header that starts before it, in one scan of the text.
 
-    Blocks are given by their lengths, headers by the gap before each and its length.  The
-    running sums are the only step without a linear built-in; texts stay in the JVM.
+    The scan gives department and employee headers in order.  A department line may hold
+    employee headers of its own, which then come after it.  Written as letters, ``D`` for a
+    department and ``E`` for a block, the order falls into runs of one ``D`` and the blocks
+    up to the next, so each name is repeated for its run: no step looks back.
     """
+    found = P.all_matches(text, P.HEADERS)
 
-    @F.pandas_udf("array<int>")
-    def seen(blocks: pd.Series, gaps: pd.Series, headers: pd.Series) -> pd.Series:
-        import numpy
+    def is_name(m: Column) -> Column:
+        return m.startswith("Departamento:")
 
-        def counts(block, gap, header):
-            ends = numpy.cumsum(numpy.add(gap, header, dtype="int64"))
-            starts = numpy.cumsum(block, dtype="int64") - block
-            return numpy.searchsorted(ends - header, starts).astype("int32")
-
-        return blocks.__class__([None if b is None else counts(b, g, h) for b, g, h in zip(blocks, gaps, headers)])
-
-    return seen
+    letters = F.transform(
+        found,
+        lambda m: F.when(is_name(m), F.concat(F.lit("D"), F.repeat(F.lit("E"), F.regexp_count(m, F.lit(P.SPLIT))))).otherwise("E"),
+    )
+    runs = P.all_matches(F.array_join(letters, ""), "DE*")
+    names = F.transform(F.filter(found, is_name), lambda m: strip(F.regexp_extract(m, P.DEPARTAMENTO, 1)))
+    known = F.flatten(F.zip_with(names, runs, lambda name, run: F.array_repeat(name, F.length(run) - 1)))
+    # blocks before the first department: employees without one, and a part that no header starts
+    bare = F.array_repeat(F.lit(None).cast("string"), n_blocks - F.size(known))
+    return F.concat(bare, known)
 
 
 def all_blocks(docs: DataFrame) -> DataFrame:
@@ -79,36 +75,14 @@ def all_blocks(docs: DataFrame) -> DataFrame:
     The work grows in step with the text, and nothing is written into it.
     """
     text = F.col("text")
-    # \G: a gap begins where the header before it ended, so no place is searched twice
-    with_gap = r"\G((?s:.*?))" + P.DEPARTAMENTO
-
-    def lengths(parts: Column) -> Column:
-        return F.transform(parts, F.length)
-
-    cut = docs.select(
-        "file",
-        *document_fields(text),
-        department_headers(text).alias("_headers"),
-        split_blocks(text).alias("_blocks"),
-        lengths(P.all_matches(text, with_gap, 1)).alias("_gaps"),
-        lengths(P.all_matches(text, with_gap)).alias("_steps"),
+    cut = docs.select("file", *document_fields(text), "text", split_blocks(text).alias("_blocks"))
+    named = cut.select(
+        "file", "competencia", "tipo_calculo", "_blocks", departments(text, F.size("_blocks")).alias("_departments")
     )
-    header = F.zip_with("_steps", "_gaps", lambda step, gap: step - gap)
-    seen_before = headers_before()(lengths(F.col("_blocks")), F.col("_gaps"), header)
-    placed = cut.withColumn("_seen", seen_before)
     # The outer form keeps Catalyst from adding a size filter that would cut every text twice.
-    exploded = placed.select(
-        "file", "competencia", "tipo_calculo", "_headers",
-        F.posexplode_outer(F.arrays_zip("_blocks", "_seen")).alias("pos", "_part"),
-    )
-    seen = F.col("_part._seen")
+    exploded = named.select("*", F.posexplode_outer("_blocks").alias("pos", "block"))
     return exploded.select(
-        "file",
-        "competencia",
-        "tipo_calculo",
-        "pos",
-        F.col("_part._blocks").alias("block"),
-        F.when(seen > 0, F.get("_headers", seen - 1)).alias("departamento"),
+        "file", "competencia", "tipo_calculo", "pos", "block", F.get("_departments", F.col("pos")).alias("departamento")
     )
 
 
@@ -126,20 +100,20 @@ def rejected_documents(docs: DataFrame) -> DataFrame:
 
 
 def vinculo(block: Column) -> Column:
-    kind = P.first_match(block, P.VINCULO)
+    kind = P.first_filled(block, P.VINCULO)
     return F.when(kind == "Empr", "Empregado").when(kind == "Contr", "Contribuinte")
 
 
 def situacao(block: Column) -> Column:
-    labelled = P.first_match(block, P.SITUACAO)
-    header = P.first_match(block, P.SITUACAO_HEADER)
+    labelled = P.first_filled(block, P.SITUACAO)
+    header = P.first_filled(block, P.SITUACAO_HEADER)
     return F.coalesce(
-        strip(F.split(labelled, P.SITUACAO_CUT, 2)[0]), P.first_match(header, P.SITUACAO_END)
+        strip(F.split(labelled, P.SITUACAO_CUT, 2)[0]), P.first_filled(header, P.SITUACAO_END)
     )
 
 
 def data_demissao(block: Column) -> Column:
-    return P.first_of(block, P.DEMISSAO_MOTIVO, P.DEMISSAO_DATA)
+    return F.coalesce(*(P.first_filled(block, p) for p in (P.DEMISSAO_MOTIVO, P.DEMISSAO_DATA)))
 
 
 def motivo_demissao(block: Column) -> Column:
@@ -155,7 +129,7 @@ def cargo(block: Column) -> Column:
 
 
 def total(block: Column, name: str) -> Column:
-    return brl_number(P.first_of(block, *P.TOTALS[name]))
+    return brl_number(F.coalesce(*(P.first_filled(block, p) for p in P.TOTALS[name])))
 
 
 def extract_fields(blocks: DataFrame) -> DataFrame:
@@ -168,10 +142,10 @@ def extract_fields(blocks: DataFrame) -> DataFrame:
         data_demissao(block).alias("data_demissao"),
         motivo_demissao(block).alias("motivo_demissao"),
         nome_bruto(block).alias("_nome"),
-        strip(P.first_match(block, P.CPF)).alias("cpf"),
-        P.first_match(block, P.ADMISSAO).alias("data_admissao"),
+        strip(P.first_filled(block, P.CPF)).alias("cpf"),
+        P.first_filled(block, P.ADMISSAO).alias("data_admissao"),
         cargo(block).alias("cargo"),
-        brl_number(P.first_match(block, P.SALARIO)).alias("salario_contratual"),
+        brl_number(P.first_filled(block, P.SALARIO)).alias("salario_contratual"),
         *(total(block, name).alias(name) for name in P.TOTALS),
     )
     name = name_suffix_strip(F.col("_nome"), F.col("situacao"))
@@ -193,10 +167,19 @@ def item_table(block: Column) -> Column:
     return F.substring(block, start, end - start)
 
 
+def lines_with_digit(text: Column) -> Column:
+    """Lines of a text that hold a digit, of any script."""
+    return F.filter(F.split(text, "\n"), lambda line: line.rlike(P.ANY_DIGIT))
+
+
+def table_body(block: Column) -> Column:
+    """The item table after its first line, which is the tail of the header line and holds no item."""
+    return F.get(F.split(item_table(block), "\n", 2), F.lit(1))
+
+
 def item_lines(block: Column) -> Column:
-    """Lines of the item table after its first, only those with a digit."""
-    lines = F.split(item_table(block), "\n")
-    return F.filter(lines, lambda line, i: (i > 0) & line.rlike(P.ANY_DIGIT))
+    """Lines of the item table that can hold an item."""
+    return lines_with_digit(table_body(block))
 
 
 def layout_counts(line: Column) -> Column:
@@ -239,12 +222,8 @@ def has_value(item: Column) -> Column:
 
 
 def block_items(block: Column) -> Column:
-    """Array of the items of a block; NULL or empty when it has none.
-
-    The first line of the table is the tail of the header line and holds no item.
-    """
-    body = F.get(F.split(item_table(block), "\n", 2), F.lit(1))
-    return F.filter(text_items(body), has_value)
+    """Array of the items of a block; NULL or empty when it has none."""
+    return F.filter(text_items(table_body(block)), has_value)
 
 
 def flag_type(flag: Column) -> Column:
@@ -281,17 +260,22 @@ def raw_records(docs: DataFrame) -> DataFrame:
 
 
 def type_records(records: DataFrame) -> DataFrame:
-    """Dates, decimals, digits-only cpf and clean texts; ``file``/``pos``/``itens`` as is."""
-    rules = {}
+    """Dates, decimals, digits-only cpf and clean texts; ``file``/``pos``/``itens`` as is.
+
+    ``perdas`` lists the amounts that the decimal columns cannot hold, by column.
+    """
+    rules, lost = {}, []
     for name, kind in S.CONSOLIDATED.items():
         c = F.col(name)
         if kind == "date":
             rules[name] = parse_date_multi(c)
         elif kind == "decimal(10,2)":
-            rules[name] = to_decimal_safe(c)
+            amount = decimal_or_reject(c)
+            rules[name] = amount["value"]
+            lost.append(F.when(amount["lost"].isNotNull(), F.struct(F.lit(name).alias("campo"), amount["lost"].alias("valor"))))
         else:
             rules[name] = clean_cpf(c) if name == "cpf" else clean_text(c)
-    return typed(records, rules)
+    return typed(records.withColumn("perdas", F.array_compact(F.array(*lost))), rules)
 
 
 def consolidated(records: DataFrame) -> DataFrame:
@@ -299,20 +283,25 @@ def consolidated(records: DataFrame) -> DataFrame:
 
 
 def detail(records: DataFrame, rubrics: DataFrame) -> DataFrame:
-    """One row per item with the block keys; a block without items keeps one row of value 0."""
+    """One row per item with the block keys; a block without items keeps one row of value 0.
+
+    ``item`` is the place of the item in its block, 0 for the row of a block without items.
+    """
     keys = ("file", "pos", "competencia", "tipo_calculo", "departamento", "vinculo",
             "nome_funcionario", "cpf", "situacao")
-    rows = records.select(*keys, F.explode_outer("itens").alias("item")).select(
+    rows = records.select(*keys, F.posexplode_outer("itens").alias("item", "found")).select(
         *keys,
-        F.col("item.codigo").alias("codigo_rubrica"),
-        F.col("item.descricao").alias("_descricao"),
-        flag_type(F.col("item.flag")).alias("tipo_rubrica"),
-        F.when(F.col("item").isNull(), F.lit(0.0)).otherwise(F.col("item.valor")).alias("_valor"),
+        F.coalesce("item", F.lit(0)).alias("item"),
+        F.col("found.codigo").alias("codigo_rubrica"),
+        F.col("found.descricao").alias("_descricao"),
+        flag_type(F.col("found.flag")).alias("tipo_rubrica"),
+        F.when(F.col("found").isNull(), F.lit(0.0)).otherwise(F.col("found.valor")).alias("_valor"),
     )
     named = lookup_rubric(rows, rubrics, "codigo_rubrica", "_descricao")
     return named.select(
         "file",
         "pos",
+        "item",
         *(
             to_decimal_safe(F.col("_valor")).alias(c)
             if c == "valor_rubrica"

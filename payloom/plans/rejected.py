@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom import schemas as S
-from payloom.functions.numbers import to_decimal_safe
+from payloom.functions.numbers import decimal_or_reject, to_decimal_safe
 from payloom.plans import payslips
 from payloom.plans.star import valid_key
 
@@ -37,6 +37,31 @@ def payroll_people(records: DataFrame) -> DataFrame:
     )
 
 
+def payroll_money(records: DataFrame) -> DataFrame:
+    """Amounts of blocks and items that the decimal columns cannot hold; they are NULL in the facts."""
+    key = F.concat_ws("#", "file", F.col("pos").cast("string"))
+    amounts = records.select(key.alias("chave"), F.explode("perdas").alias("p")).select(
+        F.lit("folha").alias("etapa"), F.concat("p.campo", F.lit(" fora da faixa")).alias("regra"), "chave", "p.valor"
+    )
+    items = records.select(key.alias("_block"), F.posexplode("itens").alias("item", "i")).where(
+        to_decimal_safe(F.col("i.valor")).isNull()
+    )
+    item_key = F.concat_ws("#", "_block", F.col("item").cast("string"))
+    return amounts.unionByName(_rows(items, "folha", "valor_rubrica fora da faixa", item_key, F.col("i.valor")))
+
+
+def benefit_money(benefits: DataFrame) -> DataFrame:
+    """Amounts of benefits that the decimal columns cannot hold; they are NULL in the fact."""
+    key = F.concat_ws("#", F.col("colaborador_id_solides").cast("string"), F.col("ordem").cast("string"))
+    return reduce(
+        DataFrame.unionByName,
+        (
+            _rows(benefits.where(decimal_or_reject(F.col(c), 12, 2)["lost"].isNotNull()), "api", f"{c} fora da faixa", key, F.col(c))
+            for c in ("valor_beneficio", "valor_desconto")
+        ),
+    )
+
+
 def api_people(staged: DataFrame) -> DataFrame:
     """Employees that the API stage cannot load: no id, no usable cpf, or no name."""
     has_cpf = F.coalesce(valid_key(F.col("cpf"), "nan"), F.lit(False))
@@ -55,7 +80,7 @@ def money(staged: DataFrame) -> DataFrame:
     """Amounts that the decimal columns cannot hold; they are NULL in the dimension."""
     lost = [
         _rows(
-            staged.where(F.col(c).isNotNull() & to_decimal_safe(F.col(c), 12, 2).isNull()),
+            staged.where(decimal_or_reject(F.col(c), 12, 2)["lost"].isNotNull()),
             "api", f"{c} fora da faixa", F.col("colaborador_id_solides"), F.col(c),
         )
         for c in S.API_MONEY

@@ -1,6 +1,7 @@
 """Typed records + current tables -> new dimension and fact rows.
 
-Pure functions: no table is read or written here.
+No table of the warehouse is read or written here; a merged dimension is stored once in the
+work folder before its new rows are numbered.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from payloom.functions.numbers import to_decimal_safe
 from payloom.operators import checks
 from payloom.operators.conform import add_columns, conform
 from payloom.operators.dedup import first_per_key
-from payloom.operators.keys import assign_keys, lookup_surrogate_key, with_unknown_member
-from payloom.operators.merge import new_keys, update_flagged, update_matched
+from payloom.operators.keys import assign_keys, lookup_surrogate_key, number_rows, with_unknown_member
+from payloom.operators.merge import update_flagged, upsert
+from payloom.session import settle
 
 # Column names of the star, and the status words of people who left.
 BASE_COLUMNS = {
@@ -66,9 +68,12 @@ def base_batch_from_api(staged: DataFrame) -> DataFrame:
 
 
 def _upsert_base(current: DataFrame, batch: DataFrame, policy: dict[str, str]) -> DataFrame:
-    updated = update_matched(current, batch, "cpf", policy)
-    fresh = assign_keys(new_keys(current, batch, "cpf"), current, "cpf", "colaborador_sk")
-    return updated.unionByName(conform(fresh, S.DIM_BASE))
+    """One join of dimension and batch; the rows that come out of it without a key are the new ones."""
+    merged = settle(upsert(current, batch, "cpf", policy), "merged")
+    known = merged.where(F.col("colaborador_sk").isNotNull())
+    fresh = merged.where(F.col("colaborador_sk").isNull()).drop("colaborador_sk")
+    numbered = assign_keys(fresh, known, "cpf", "colaborador_sk")
+    return conform(known.unionByName(numbered), S.DIM_BASE)
 
 
 def upsert_base(current: DataFrame, batch: DataFrame) -> DataFrame:
@@ -126,26 +131,37 @@ def rich_conflicts(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 def upsert_rich(current: DataFrame, batch: DataFrame) -> DataFrame:
     """Insert every column; on a known id refresh only the overwrite list."""
-    policy = dict.fromkeys(S.RICH_OVERWRITE, "overwrite")
-    updated = update_matched(current, batch, "colaborador_id_solides", policy)
-    fresh = new_keys(current, batch, "colaborador_id_solides")
-    return updated.unionByName(fresh.select(*updated.columns))
+    return upsert(current, batch, "colaborador_id_solides", dict.fromkeys(S.RICH_OVERWRITE, "overwrite"))
 
 
 # -- facts ---------------------------------------------------------------------------
 
 
 def _fact(records: DataFrame, base: DataFrame, schema: dict[str, str]) -> DataFrame:
+    """The columns of ``schema`` with the person key, after a row number if the records have one."""
+    ids = [c for c in S.FACT_IDS if c in records.columns]
     kept = [
         F.col(c).alias(FACT_COLUMNS.get(c, c))
         for c in records.columns
-        if FACT_COLUMNS.get(c, c) in schema
+        if FACT_COLUMNS.get(c, c) in schema or c in ids
     ]
     rows = records.select(*kept)
     keyed = lookup_surrogate_key(rows, base, "cpf_csv", "cpf", "colaborador_sk", S.UNKNOWN_SK)
+    for c in ids:
+        schema = S.with_id(c, schema)
     return conform(keyed, schema)
 
 
+def number_consolidated(records: DataFrame) -> DataFrame:
+    """Blocks with their row number: one per file and block."""
+    return number_rows(records, "fato_folha_id", ["file", "pos"], "competencia")
+
+
+def number_detail(rows: DataFrame) -> DataFrame:
+    """Items with their row number: one per file, block and item."""
+    return number_rows(rows, "fato_rubrica_id", ["file", "pos", "item"], "competencia")
+
+
 def consolidated_fact(records: DataFrame, base: DataFrame) -> DataFrame:
     return _fact(records, base, S.FATO_CONSOLIDADA)
 
@@ -154,6 +170,11 @@ def detail_fact(rows: DataFrame, base: DataFrame) -> DataFrame:
     return _fact(rows, base, S.FATO_DETALHADA)
 
 
+def number_benefits(benefits: DataFrame) -> DataFrame:
+    """Benefits with their row number: one per employee and place in the list."""
+    return number_rows(benefits, "beneficio_id", ["colaborador_id_solides", "ordem"])
+
+
 def benefits_fact(benefits: DataFrame, staged: DataFrame, base: DataFrame, run_ts: Column) -> DataFrame:
     """Benefits -> employee id -> cpf -> person key; rows that miss either step are left out."""
     ids = staged.select("colaborador_id_solides", "cpf")
@@ -161,7 +182,8 @@ def benefits_fact(benefits: DataFrame, staged: DataFrame, base: DataFrame, run_t
         base.select("cpf", "colaborador_sk"), "cpf"
     )
     money = {c: to_decimal_safe(F.col(c), 12, 2) for c in ("valor_beneficio", "valor_desconto")}
-    return conform(keyed.withColumns({**money, "data_atualizacao": run_ts}), S.FATO_BENEFICIOS)
+    schema = S.with_id("beneficio_id", S.FATO_BENEFICIOS) if "beneficio_id" in benefits.columns else S.FATO_BENEFICIOS
+    return conform(keyed.withColumns({**money, "data_atualizacao": run_ts}), schema)
 
 
 # -- people who left the sources -----------------------------------------------------
@@ -207,24 +229,35 @@ def deactivate_transferred(rich: DataFrame, base: DataFrame, run_ts: Column) ->
 
 
 def integrity(base: DataFrame, rich: DataFrame | None, facts: dict[str, DataFrame]) -> DataFrame:
-    """Foreign keys, uniqueness, NOT NULL and cpf length over the whole star."""
+    """Foreign keys, uniqueness, NOT NULL and longest texts of the given tables.
+
+    One scan per table checks all rules on single rows.
+    """
+
+    def texts(df: DataFrame, table: str, short: str) -> dict[str, tuple[int, str]]:
+        found = S.TEXT_LIMITS.get(table, {"cpf_csv": 11})
+        return {c: (n, f"{short}.{c} ate {n}") for c, n in found.items() if c in df.columns}
+
     parts = [
         checks.duplicates(base, "colaborador_sk", "base.colaborador_sk unico"),
         checks.duplicates(base, "cpf", "base.cpf unico"),
-        checks.nulls(base, "cpf", "base.cpf nao nulo"),
-        checks.nulls(base, "nome_colaborador", "base.nome nao nulo"),
+        checks.row_rules(
+            base, {"cpf": "base.cpf nao nulo", "nome_colaborador": "base.nome nao nulo"},
+            texts(base, "dim_colaboradores_base", "base"),
+        ),
     ]
     if rich is not None:
         parts += [
             checks.duplicates(rich, "colaborador_sk", "rica.colaborador_sk unico"),
             checks.duplicates(rich, "colaborador_id_solides", "rica.id unico"),
-            checks.nulls(rich, "colaborador_id_solides", "rica.id nao nulo"),
+            checks.row_rules(rich, {"colaborador_id_solides": "rica.id nao nulo"}, texts(rich, "dim_colaboradores", "rica")),
             checks.orphans(rich, "colaborador_sk", base, "colaborador_sk", "rica.colaborador_sk existe"),
         ]
     for name, fact in facts.items():
         parts.append(
             checks.orphans(fact, "colaborador_sk", base, "colaborador_sk", f"{name}.colaborador_sk existe")
         )
-        if "cpf_csv" in fact.columns:
-            parts.append(checks.too_long(fact, "cpf_csv", 11, f"{name}.cpf_csv ate 11"))
+        ids = [c for c in S.FACT_IDS if c in fact.columns]
+        parts += [checks.duplicates(fact, c, f"{name}.{c} unico") for c in ids]
+        parts.append(checks.row_rules(fact, {c: f"{name}.{c} nao nulo" for c in ids}, texts(fact, name, name)))
     return checks.integrity_report(*parts)

@@ -42,12 +42,12 @@ BASE_ATTRIBUTES = (
     "data_admissao_csv", "data_demissao_csv", "situacao_csv", "departamento_csv", "cargo_csv",
 )
 DIM_BASE = ddl(
-    "colaborador_sk int, nome_colaborador string, cpf string, data_admissao_csv date, "
+    "colaborador_sk bigint, nome_colaborador string, cpf string, data_admissao_csv date, "
     "data_demissao_csv date, situacao_csv string, departamento_csv string, cargo_csv string"
 )
 
 FATO_CONSOLIDADA = ddl(
-    "colaborador_sk int, nome_funcionario_csv string, centro_de_custo string, "
+    "colaborador_sk bigint, nome_funcionario_csv string, centro_de_custo string, "
     "cargo_nome_csv string, cpf_csv string, situacao_csv string, tipo_calculo_csv string, "
     "salario_contratual decimal(12,2), total_proventos decimal(12,2), "
     "total_descontos decimal(12,2), valor_liquido decimal(12,2), base_inss decimal(12,2), "
@@ -55,16 +55,24 @@ FATO_CONSOLIDADA = ddl(
     "arquivo_origem string, competencia date"
 )
 FATO_DETALHADA = ddl(
-    "colaborador_sk int, nome_funcionario_csv string, centro_de_custo string, cpf_csv string, "
+    "colaborador_sk bigint, nome_funcionario_csv string, centro_de_custo string, cpf_csv string, "
     "situacao_csv string, tipo_calculo_csv string, codigo_rubrica string, nome_rubrica string, "
     "tipo_rubrica string, valor_rubrica decimal(12,2), arquivo_origem string, competencia date"
 )
 FATO_BENEFICIOS = ddl(
-    "colaborador_sk int, tipo_beneficio string, nome_beneficio string, "
+    "colaborador_sk bigint, tipo_beneficio string, nome_beneficio string, "
     "valor_beneficio decimal(12,2), valor_desconto decimal(12,2), periodicidade string, "
     "opcao_desconto string, aplicado_como string, data_atualizacao timestamp"
 )
 
+# Stored facts begin with a row number of their own.
+FACT_IDS = ("fato_folha_id", "fato_rubrica_id", "beneficio_id")
+
+
+def with_id(name: str, schema: dict[str, str]) -> dict[str, str]:
+    return {name: "bigint", **schema}
+
+
 # Money fields are VARIANT: a JSON number and a JSON string follow different rules.
 EMPLOYEE = (
     "id bigint, name string, email string, registration string, birthDate string, "
@@ -192,7 +200,7 @@ BENEFIT_RENAME = {
     "benefitAppliedAs": "aplicado_como",
 }
 STG_BENEFICIOS = ddl(
-    "colaborador_id_solides bigint, nome_beneficio string, tipo_beneficio string, "
+    "colaborador_id_solides bigint, ordem int, nome_beneficio string, tipo_beneficio string, "
     "valor_beneficio double, valor_desconto double, periodicidade string, "
     "opcao_desconto string, aplicado_como string"
 )
@@ -229,9 +237,44 @@ def _rich_type(column: str) -> str:
 
 # API ids keep 64 bits here, so none is lost on the way in; ``email`` exists but no load fills it.
 DIM_RICH = ddl(
-    "colaborador_sk int, colaborador_id_solides bigint, "
+    "colaborador_sk bigint, colaborador_id_solides bigint, "
     + ", ".join(f"{c} {_rich_type(c)}" for c in (*RICH_OVERWRITE, *RICH_INSERT_ONLY))
     + ", email string"
 )
 
 CALENDAR_START, CALENDAR_END = "2023-01-01", "2030-12-31"
+
+# The longest text that a column of a table takes.
+_BASE_TEXT = dict(
+    nome_colaborador=255, cpf=20, situacao_csv=100, departamento_csv=255, cargo_csv=255,
+)
+_CONSOL_TEXT = dict(
+    nome_funcionario_csv=255, centro_de_custo=255, cargo_nome_csv=255, cpf_csv=11, situacao_csv=100,
+    tipo_calculo_csv=100,
+)
+_DETAIL_TEXT = dict(
+    nome_funcionario_csv=255, centro_de_custo=255, cpf_csv=11, situacao_csv=100, tipo_calculo_csv=100,
+    codigo_rubrica=100, nome_rubrica=255, tipo_rubrica=100,
+)
+_BENEFIT_TEXT = dict(
+    tipo_beneficio=100, nome_beneficio=255, periodicidade=50, opcao_desconto=50, aplicado_como=50,
+)
+_RICH_TEXT = dict(
+    cpf=11, nome_completo=255, genero=50, departamento_nome_api=255, cargo_nome_api=255, email=255,
+    matricula=50, email_corporativo=255, estado_civil=50, saudacao=50, nacionalidade=100,
+    tipo_necessidade_especial=100, naturalidade=100, nome_pai=255, nome_mae=255, turno_trabalho=100,
+    tipo_contrato=100, escolaridade=100, curso_formacao=255, nivel_hierarquico=100,
+    duracao_contrato=100, forma_demissao=100, decisao_demissao=100, etnia=50,
+    nome_lider_imediato=255, unidade_nome=255, cep=20, logradouro=255, numero_endereco=50,
+    complemento_endereco=100, bairro=100, cidade=100, estado=50, celular=50, email_pessoal=255,
+    telefone_emergencia=50, rg=50, orgao_emissor_rg=50, titulo_eleitor=50, zona_eleitoral=50,
+    secao_eleitoral=50, ctps_numero=50, ctps_serie=50, pis=50, banco_nome=100, banco_agencia=50,
+    banco_conta=50,
+)
+TEXT_LIMITS = {
+    "dim_colaboradores_base": _BASE_TEXT,
+    "dim_colaboradores": _RICH_TEXT,
+    "fato_folha_consolidada": _CONSOL_TEXT,
+    "fato_folha_detalhada": _DETAIL_TEXT,
+    "fato_beneficios_api": _BENEFIT_TEXT,
+}

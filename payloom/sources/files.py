@@ -16,17 +16,29 @@ _MISSING = "PATH_NOT_FOUND"
 def scan_payslip_text(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
     """``(file, text)``: one row per document of a folder, not recursive.
 
-    The suffix is matched in any letter case.  A missing folder, or one without a
-    match, gives an empty frame of the same schema; a file of zero bytes gives no row.
+    The suffix is matched in any letter case.  A file of zero bytes is a document with an
+    empty text.  A missing folder, or one without a match, gives an empty frame of the same
+    schema.
     """
     glob = "*" + "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in suffix)
+    name = F.col("_metadata.file_name").alias("file")
     try:
-        raw = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=False)
+        texts = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=False)
     except AnalysisException as error:
         if error.getCondition() != _MISSING:
             raise
         return empty(spark, DOCUMENTS)
-    return raw.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    found = texts.select(name, F.col("value").alias("text"))
+    hollow = empty_files(spark, folder, glob)
+    return found.unionByName(spark.createDataFrame([(f, "") for f in hollow], S.to_ddl(DOCUMENTS))) if hollow else found
+
+
+def empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Names of the files of zero bytes, which Spark's readers leave out of their listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, glob)) or []
+    return [s.getPath().getName() for s in listed if s.getLen() == 0 and s.isFile()]
 
 
 def scan_payslip_table(spark: SparkSession, path: str) -> DataFrame:
@@ -35,11 +47,18 @@ def scan_payslip_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_employee_json(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    """Landed API pages, each a JSON array of employees, with a fixed schema.
+    """Landed API pages with a fixed schema, one row per employee.
 
-    ``multi_line=False`` reads one page or one employee per line; such files can be split.
+    A page is a JSON array of employees, and a detail file one object, over any number of
+    lines.  ``multi_line=False`` reads one page or one employee per line; such files can be
+    split.  A missing folder gives an empty frame.
     """
-    return spark.read.schema(S.EMPLOYEE).option("multiLine", multi_line).json(folder)
+    try:
+        return spark.read.schema(S.EMPLOYEE).option("multiLine", multi_line).json(folder)
+    except AnalysisException as error:
+        if error.getCondition() != _MISSING:
+            raise
+        return spark.createDataFrame([], S.EMPLOYEE)
 
 
 def locale_columns(df: DataFrame) -> DataFrame:

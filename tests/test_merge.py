@@ -102,6 +102,7 @@ def test_replace_by_period(spark, tmp_path):
     for batch in (old, new, new):
         wh.replace_periods("f", batch)
     assert rows(wh.read_periods("f", S.ddl(FACT))) == WANT
+    assert wh.stage_periods("f", new.limit(0))[1].isEmpty()
     assert merge.has_period(new) and not merge.has_period(new.where("competencia is null"))
 
 
@@ -109,23 +110,83 @@ def test_insert_ignore_and_policies(spark):
     cur = spark.createDataFrame([(1, "a", "x")], "k int, a string, b string")
     new = spark.createDataFrame([(1, None, None), (2, "c", "z")], "k int, a string, b string")
     assert rows(merge.insert_ignore(cur, new, "k")) == [(1, "a", "x"), (2, "c", "z")]
-    updated = merge.update_matched(cur, new, "k", {"a": "overwrite", "b": "coalesce"})
-    assert rows(updated) == [(1, None, "x")]
+    merged = merge.upsert(cur, new, "k", {"a": "overwrite", "b": "coalesce"})
+    assert rows(merged) == [(1, None, "x"), (2, "c", "z")]
+    kept = merge.upsert(cur, new.select("k", "b"), "k", {})
+    assert rows(kept) == [(1, "a", "x"), (2, None, "z")]
+    assert merge.upsert(cur, new, "k", {})._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
 
 
 def test_versions(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
     one, two = spark.range(1), spark.range(2)
-    assert not wh.exists("t")
+    assert not wh.exists("t") and wh.read("t", {"id": "bigint"}).isEmpty()
     wh.replace("t", one)
-    folder, _ = wh.stage("t", two)
+    staged, _ = wh.stage("t", two)
     assert wh.read("t", {}).count() == 1
-    wh.publish(folder)
+    wh.publish(staged)
     assert wh.read("t", {}).count() == 2
     wh.replace("t", wh.read("t", {}).unionByName(one))  # reads the old version while writing
     assert wh.read("t", {}).count() == 3
 
 
+def test_a_stop_before_the_switch_changes_nothing(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    old, new = spark.createDataFrame(OLD, FACT), spark.createDataFrame(NEW, FACT)
+    wh.publish(wh.stage("dim", spark.range(1))[0], wh.stage_periods("f", old)[0])
+    before = wh.state()
+    dim, fact = wh.stage("dim", spark.range(2))[0], wh.stage_periods("f", new)[0]
+    # the record itself is written, but the driver dies before it gets its name
+    hidden = tmp_path / "_commits" / ".half"
+    hidden.write_text('{"dim": {"ver')
+    again = Warehouse(spark, str(tmp_path))
+    assert again.state() == before and again.read("dim", {}).count() == 1
+    assert rows(again.read_periods("f", S.ddl(FACT))) == sorted(OLD, key=repr)
+    again.publish(dim, fact)
+    assert again.read("dim", {}).count() == 2 and rows(again.read_periods("f", S.ddl(FACT))) == WANT
+    untouched = again.state()["f"]["periods"]["competencia=2023-01-01"]
+    assert untouched == before["f"]["periods"]["competencia=2023-01-01"]
+    (tmp_path / "_commits" / f"{len(again.commits()) + 1:08d}.json").mkdir()  # another writer was first
+    with pytest.raises(Exception):
+        again.publish(dim)
+
+
+def test_superseded_folders_go(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    jan, both = spark.createDataFrame(OLD[:1], FACT), spark.createDataFrame(OLD, FACT)
+    wh.replace_periods("f", both)
+    for n in range(1, 5):
+        wh.replace("t", spark.range(n))
+        wh.replace_periods("f", jan)
+    running, _ = wh.stage("t", spark.range(9))
+    assert wh.drop_superseded(keep=10) == []
+    dropped = wh.drop_superseded(keep=1)
+    assert sorted(dropped) == [f"f/load={n:08d}" for n in (2, 3, 4)] + [f"t/version={n:08d}" for n in (1, 2, 3)]
+    assert len(wh.commits()) == 1 and wh.read("t", {}).count() == 4
+    assert rows(wh.read_periods("f", S.ddl(FACT))) == sorted(OLD, key=repr)
+    wh.publish(running)
+    assert wh.read("t", {}).count() == 9
+
+
+def test_row_numbers_stay(spark):
+    def load(name, n):
+        return spark.range(n).select(
+            F.lit(name).alias("file"), (F.col("id") % 50).cast("int").alias("pos"), (F.col("id") / 50).cast("int").alias("item"),
+            F.when(F.col("id") % 3 > 0, F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 3).cast("int"))).alias("competencia"),
+        )
+
+    first = keys.number_rows(load("a", 6000), "n", ["file", "pos", "item"], "competencia")
+    again = keys.number_rows(load("a", 6000).repartition(7), "n", ["file", "pos", "item"], "competencia")
+    assert rows(first) == rows(again) and first.select("n").distinct().count() == 6000
+    per = first.groupBy("competencia").agg(F.min("n").alias("a"), F.max("n").alias("b")).collect()
+    assert all(r.b - r.a == 1999 for r in per) and min(r.a for r in per) == 1
+    # a larger batch of another day leaves the numbers of this day alone
+    day = "competencia = '2023-01-02'"
+    more = load("a", 6000).where(day).unionByName(load("b", 9000).where(f"NOT {day} OR competencia IS NULL"))
+    numbered = keys.number_rows(more, "n", ["file", "pos", "item"], "competencia").where(day)
+    assert rows(numbered) == rows(first.where(day))
+
+
 def test_status_pass(spark):
     people = [
         (1, "A", "1", None, None, None, None, None), (2, "B", "2", None, None, "Desligado", None, None),
@@ -146,6 +207,11 @@ def test_checks(spark, base):
     facts = spark.createDataFrame([(1, "1" * 12), (9, "2"), (9, "2"), (None, "3")], "colaborador_sk int, cpf_csv string")
     report = star.integrity(base, None, {"fato": facts})
     assert rows(report) == [("fato.colaborador_sk existe", "9", 2), ("fato.cpf_csv ate 11", "1" * 12, 1)]
+    nameless = base.withColumns({"nome_colaborador": F.lit(None).cast("string"), "cargo_csv": F.repeat(F.lit("x"), 256)})
+    found = {(r.regra, r.n) for r in star.integrity(nameless, None, {}).collect()}
+    assert found == {("base.nome nao nulo", 3), ("base.cargo_csv ate 255", 3)}
+    again = facts.withColumn("beneficio_id", F.lit(1))
+    assert ("fato.beneficio_id unico", "1", 4) in rows(star.integrity(base, None, {"fato": again}))
     twice = base.unionByName(base)
     with pytest.raises(checks.BatchConflict, match="base.cpf unico: 3; all keys are in report"):
         checks.require_clean(checks.duplicates(twice, "cpf", "base.cpf unico"), "report")

@@ -40,6 +40,7 @@ def inputs(tmp_path):
     (docs / "a.txt").write_text(SAMPLE + CONTRACTOR, encoding="utf-8")
     (docs / "b.TXT").write_text(VACATION, encoding="utf-8")
     (docs / "c.txt").write_text("\n", encoding="utf-8")
+    (docs / "z.txt").write_text("", encoding="utf-8")
     (docs / "d.pdf").write_text(SAMPLE, encoding="utf-8")
     (docs / "inner").mkdir()
     (docs / "inner" / "e.txt").write_text(SAMPLE, encoding="utf-8")
@@ -57,7 +58,7 @@ def snapshot(wh):
 
 def test_scan(spark, inputs, tmp_path):
     docs = scan_payslip_text(spark, inputs[0])
-    assert sorted(r.file for r in docs.collect()) == ["a.txt", "b.TXT", "c.txt"]
+    assert sorted(r.file for r in docs.collect()) == ["a.txt", "b.TXT", "c.txt", "z.txt"]
     assert scan_payslip_text(spark, str(tmp_path / "missing")).isEmpty()
     assert scan_payslip_text(spark, inputs[0], ".none").isEmpty()
 
@@ -98,10 +99,81 @@ def test_stages_and_rerun(spark, inputs, tmp_path):
         ("ANA EXEMPLO", "11122233344", "5010,00"), ("BIA EXEMPLO", "22233344455", "1000,00"), ("CAIO EXEMPLO", "33344455566", "2000,00"),
     ]
     rejects = {(r.regra, r.chave) for t in (run.REJECTS_PAYROLL, run.REJECTS_API) for r in wh.read(t, {}).collect()}
-    assert {("documento sem bloco", "c.txt"), ("pessoa sem cpf", "3"), ("pessoa sem id", "888")} <= rejects
+    assert {("documento sem bloco", "c.txt"), ("documento sem bloco", "z.txt"), ("pessoa sem cpf", "3"), ("pessoa sem id", "888")} <= rejects
+    facts = {run.CONSOL: run.STORED_CONSOL, run.DETAIL: run.STORED_DETAIL}
+    ids = {t: [r[0] for r in wh.read_periods(t, schema).orderBy(*list(schema)[1:]).collect()] for t, schema in facts.items()}
+    assert all(len(set(x)) == len(x) for x in ids.values())
 
     run.run_all(wh, docs, people, ts())
     assert snapshot(wh) == first
+    assert ids == {t: [r[0] for r in wh.read_periods(t, schema).orderBy(*list(schema)[1:]).collect()] for t, schema in facts.items()}
+
+
+def test_details_take_the_place_of_list_records(spark, inputs, tmp_path):
+    details = tmp_path / "details"
+    details.mkdir()
+    whole = {**PEOPLE[0], "name": "ANA INTEIRA", "benefits": [{"benefitName": "VR", "value": "R$ 5,00"}]}
+    (details / "1.json").write_text(json.dumps(whole, indent=2), encoding="utf-8")
+    (details / "9.json").write_text(json.dumps({"id": 9, "name": "NINGUEM"}), encoding="utf-8")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    docs, people = scan_payslip_text(spark, inputs[0]), scan_employee_json(spark, inputs[1])
+    run.run_all(wh, docs, people, ts(), details=scan_employee_json(spark, str(details)))
+    rich = {r.colaborador_id_solides: r.nome_completo for r in wh.read(run.RICH, {}).collect()}
+    assert rich == {-1: None, 1: "ANA INTEIRA", 2: "DORA"}
+    assert [r.nome_beneficio for r in wh.read(run.BENEFITS, {}).collect()] == ["VR"]
+    run.load_employees(wh, people, ts(), scan_employee_json(spark, str(tmp_path / "none")))
+    assert wh.read(run.RICH, {}).where("colaborador_id_solides = 1").first().nome_completo == "ANA API"
+
+
+def test_lost_amounts_are_recorded(spark, tmp_path):
+    text = SAMPLE.replace("Salário: 5.000,00", "Salário: 100.000.000,00").replace("11,00 550,00 D", "11,00 300.000.000,00 D")
+    docs = spark.createDataFrame([("x.txt", text)], "file string, text string")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run.load_payroll(wh, docs)
+    fact = wh.read_periods(run.CONSOL, run.STORED_CONSOL).first()
+    assert fact.salario_contratual is None and fact.total_proventos == Decimal("5010.00")
+    lost = sorted((r.regra, r.chave, float(r.valor)) for r in wh.read(run.REJECTS_PAYROLL, {}).collect())
+    assert lost == [("salario_contratual fora da faixa", "x.txt#1", 1e8), ("valor_rubrica fora da faixa", "x.txt#1#1", 3e8)]
+    person = {**PEOPLE[0], "benefits": [{"benefitName": "VA", "value": 1e11}, {"benefitName": "VB", "value": 1, "valueDiscount": 2e10}]}
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "p.json").write_text(json.dumps([person]), encoding="utf-8")
+    run.load_employees(wh, scan_employee_json(spark, str(pages)), ts())
+    lost = {(r.regra, r.chave) for r in wh.read(run.REJECTS_API, {}).collect()}
+    assert lost == {("valor_beneficio fora da faixa", "1#0"), ("valor_desconto fora da faixa", "1#1")}
+
+
+def test_a_broken_rule_publishes_nothing(spark, inputs, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    docs, people = scan_payslip_text(spark, inputs[0]), scan_employee_json(spark, inputs[1])
+    run.run_all(wh, docs, people, ts())
+    before = wh.state()
+    long_text = docs.where("file = 'a.txt'").withColumn("text", F.replace("text", F.lit("FINANCEIRO"), F.repeat(F.lit("F"), 256)))
+    with pytest.raises(BatchConflict, match="fato_folha_consolidada.centro_de_custo ate 255: 1.*conflitos_folha"):
+        run.load_payroll(wh, long_text)
+    assert wh.state() == before
+    with pytest.raises(BatchConflict, match="rica.cidade ate 100: 1.*conflitos_api"):
+        run.load_employees(wh, people.withColumn("address", F.col("address").withField("city.name", F.repeat(F.lit("C"), 101))).where("id = 1"), ts())
+    assert wh.state() == before
+
+
+def test_a_stop_between_writes_and_switch_keeps_all_tables(spark, inputs, tmp_path, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    docs, people = scan_payslip_text(spark, inputs[0]), scan_employee_json(spark, inputs[1])
+    run.run_all(wh, docs, people, ts())
+    before = snapshot(wh)
+
+    def dies(*staged):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(wh, "publish", dies)
+    for stage in (
+        lambda: run.load_employees(wh, people.withColumn("name", F.lit("OUTRO")), ts()),
+        lambda: run.load_payroll(wh, docs.withColumn("text", F.replace("text", F.lit("EXEMPLO"), F.lit("OUTRO")))),
+    ):
+        with pytest.raises(KeyboardInterrupt):
+            stage()
+        assert snapshot(Warehouse(spark, wh.root)) == before
 
 
 def test_partial_upsert_and_transfer(spark, inputs, tmp_path):

@@ -13,7 +13,7 @@ from payloom.session import work_folder
 from payloom.sources.files import read_csv_locale, scan_payslip_table, scan_payslip_text, write_csv_locale
 from payloom.sources.rubrics import RUBRICA_LABELS, scan_rubric_map
 from workloads.registry import query, table
-from workloads.render import BLOCKS_SQL, ITEMS_SQL, brl, cents, payslip_docs, text_of
+from workloads.render import BLOCKS_SQL, ITEMS_SQL, brl, cents, payslip_docs, stored, text_of
 
 RUBRIC_SQL = "rub(codigo, tipo, nome) AS (VALUES " + ", ".join(
     "('{}', '{}', '{}')".format(
@@ -148,6 +148,10 @@ def x_item_keys(spark, sf):
 
 
 def item_line_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(stored(spark, sf, "item-lines", render_item_lines, "l_orderkey"))
+
+
+def render_item_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One item line with two items per lineitem; every seventh line has no item."""
     rows = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
@@ -217,8 +221,7 @@ def count_matches(spark, sf):
 )
 def filter_lines_with_digit(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(P.ANY_DIGIT))
-    return docs.select("doc_id", F.size(lines).alias("n_linhas"))
+    return docs.select("doc_id", F.size(payslips.lines_with_digit(F.col("text"))).alias("n_linhas"))
 
 
 @query(
@@ -363,7 +366,7 @@ DETAIL_SQL = f"""{ITEMS_SQL}, {RUBRIC_SQL}, det AS (
 
 @query("explode_outer_default", f"{DETAIL_SQL} SELECT file, pos, {typed_text(S.DETAIL)} FROM det")
 def explode_outer_default(spark, sf):
-    return payslips.detail(typed_records(spark, sf), scan_rubric_map(spark))
+    return payslips.detail(typed_records(spark, sf), scan_rubric_map(spark)).drop("item")
 
 
 @query(
@@ -373,7 +376,7 @@ def explode_outer_default(spark, sf):
 def sink_csv_locale(spark, sf):
     folder = work_folder(spark, "csv")
     rows = payslips.detail(typed_records(spark, sf), scan_rubric_map(spark))
-    write_csv_locale(rows.drop("file", "pos"), folder)
+    write_csv_locale(rows.drop("file", "pos", "item"), folder)
     return read_csv_locale(spark, folder, S.DETAIL)
 
 

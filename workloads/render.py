@@ -170,18 +170,27 @@ def render_payslips(spark: SparkSession, sf: str) -> DataFrame:
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf: str, name: str, render) -> str:
-    """Folder of a rendered input, written once per session below the shared work folder."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _STORED:
+#: Files of a rendered input, whatever its size: the given tables have one row group each,
+#: and what is rendered from them should be an input of many files, as a real archive is.
+FILES = 64
+
+
+def stored(spark: SparkSession, sf: str, name: str, render, key: str | None = None) -> str:
+    """Folder of an input, written once per session below the shared work folder.
+
+    A rendered input is dealt by its ``key`` to a fixed number of files.
+    """
+    known = (spark.sparkContext.applicationId, sf, name)
+    if known not in _STORED:
         folder = work_folder(spark, name)
-        render(spark, sf).write.parquet(folder)
-        _STORED[key] = folder
-    return _STORED[key]
+        rows = render(spark, sf)
+        (rows.repartition(FILES, key) if key else rows).write.parquet(folder)
+        _STORED[known] = folder
+    return _STORED[known]
 
 
 def payslip_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return scan_payslip_table(spark, stored(spark, sf, "payslips", render_payslips))
+    return scan_payslip_table(spark, stored(spark, sf, "payslips", render_payslips, "file"))
 
 
 # What the extraction must give, straight from the source columns.

@@ -355,12 +355,3 @@ def date_names(spark, sf):
 )
 def dim_calendar_build(spark, sf):
     return with_order_count(calendar.calendar_of(order_days(spark, sf)), spark, sf)
-
-
-@query(
-    "current_ts",
-    "SELECT o_orderstatus, count(*) AS n, '2024-01-31 12:00:00' AS carregado_em FROM orders GROUP BY 1",
-)
-def current_ts(spark, sf):
-    stamped = table(spark, sf, "orders").withColumn("carregado_em", F.lit("2024-01-31 12:00:00").cast("timestamp"))
-    return stamped.groupBy("o_orderstatus", "carregado_em").agg(F.count(F.lit(1)).alias("n"))

@@ -6,6 +6,8 @@ batches come from orders and employee batches from all customers.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,9 +183,53 @@ def distinct_on_id_desc(spark, sf):
 def surrogate_key_assign(spark, sf):
     current = person_rows(spark, sf)
     batch = settle(star.base_batch(payroll_rows(spark, sf)), "batch")
-    fresh = merge.new_keys(current, batch, "cpf")
-    return keys.assign_keys(fresh, current, "cpf", "colaborador_sk").select(
-        "colaborador_sk", "cpf", "nome_colaborador"
+    highest = current.select(F.max("colaborador_sk")).scalar()
+    merged = star.upsert_base(current, batch).where(F.col("colaborador_sk") > highest)
+    return merged.select("colaborador_sk", "cpf", "nome_colaborador")
+
+
+def row_number_sql(period: str, keys: str, order: str) -> str:
+    return (
+        f"(CASE WHEN {period} IS NULL THEN 0 ELSE date_diff('day', DATE '0001-01-01', {period}) + 1 END) * 1099511627776 "
+        f"+ row_number() OVER (PARTITION BY {period} ORDER BY substr(md5({keys}), 1, 3), {order})"
+    )
+
+
+@query(
+    "surrogate_key_facts",
+    f"""WITH {REC}, it AS (SELECT CAST(l_orderkey AS VARCHAR) AS file, l_linenumber AS pos, l_linenumber % 3 AS item,
+    CASE WHEN l_partkey % 9 <> 0 THEN CAST(date_trunc('month', l_shipdate) AS DATE) END AS competencia FROM lineitem),
+  ben AS (SELECT c_custkey AS k, b FROM customer, (VALUES (0), (1), (2)) v(b)
+    WHERE c_custkey % 23 <> 0 AND c_custkey % 8 <> 0 AND b < c_custkey % 4)
+  SELECT 'folha' AS tabela, file || '#0' AS chave, {row_number_sql("competencia", "file || '#0'", "file")} AS id FROM rec
+  UNION ALL SELECT 'rubrica', file || '#' || pos || '#' || item,
+    {row_number_sql("competencia", "file || '#' || pos || '#' || item", "file, pos, item")} FROM it
+  UNION ALL SELECT 'beneficio', k || '#' || b,
+    row_number() OVER (ORDER BY substr(md5(k || '#' || b), 1, 3), k, b) FROM ben""",
+)
+def surrogate_key_facts(spark, sf):
+    """Row numbers of the three facts: equal for equal rows, whatever order they come in."""
+    folha = settle(payroll_rows(spark, sf).withColumn("pos", F.lit(0)), "folha")
+    month = F.when(F.col("l_partkey") % 9 != 0, F.trunc("l_shipdate", "MM"))
+    line = F.col("l_linenumber")
+    rubrica = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("file"), line.alias("pos"), (line % 3).alias("item"), month.alias("competencia")
+    )
+    beneficio = settle(employees.explode_benefits(parsed(spark, sf)).where("colaborador_id_solides is not null"), "beneficios")
+
+    def shown(name, df, id_column, *parts):
+        return df.select(
+            F.lit(name).alias("tabela"), F.concat_ws("#", *(F.col(c).cast("string") for c in parts)).alias("chave"),
+            F.col(id_column).alias("id"),
+        )
+
+    return reduce(
+        DataFrame.unionByName,
+        (
+            shown("folha", star.number_consolidated(folha), "fato_folha_id", "file", "pos"),
+            shown("rubrica", star.number_detail(settle(rubrica, "rubricas")), "fato_rubrica_id", "file", "pos", "item"),
+            shown("beneficio", star.number_benefits(beneficio), "beneficio_id", "colaborador_id_solides", "ordem"),
+        ),
     )
 
 
@@ -363,26 +409,24 @@ SELECT {FACT_OUT} FROM novo"""
 
 
 def old_and_batch(spark, sf):
-    facts = star.consolidated_fact(
-        payroll_rows(spark, sf).withColumn("_d", F.col("data_admissao")), person_rows(spark, sf)
-    )
-    dates = table(spark, sf, "orders").select(
-        F.col("o_orderkey").cast("string").alias("arquivo_origem"), F.col("o_orderdate").cast("date").alias("_d")
-    )
-    dated = facts.join(dates, "arquivo_origem")
-    old = dated.where("_d < date'1999-01-01'").withColumn("cargo_nome_csv", F.lit("ANTIGO"))
-    batch = dated.where("_d >= date'1998-01-01'")
-    return conform(old, S.FATO_CONSOLIDADA), conform(batch, S.FATO_CONSOLIDADA)
+    records, base = payroll_rows(spark, sf), person_rows(spark, sf)
+    old = records.where("data_admissao < date'1999-01-01'").withColumn("cargo", F.lit("ANTIGO"))
+    batch = records.where("data_admissao >= date'1998-01-01'")
+    return star.consolidated_fact(old, base), star.consolidated_fact(batch, base)
 
 
 @query("replace_by_period", REPLACED)
 def replace_by_period(spark, sf):
-    """Stored facts: dynamic overwrite of the batch periods, run twice with one outcome."""
+    """Stored facts: a load replaces the batch periods, run twice with one outcome.
+
+    A load that is written but never published, as of a driver that died, changes nothing.
+    """
     old, batch = old_and_batch(spark, sf)
     wh = Warehouse(spark, work_folder(spark, "periods"))
     wh.replace_periods(run.CONSOL, old)
     wh.replace_periods(run.CONSOL, batch)
     wh.replace_periods(run.CONSOL, batch)
+    wh.stage_periods(run.CONSOL, old)
     return wh.read_periods(run.CONSOL, S.FATO_CONSOLIDADA)
 
 
@@ -399,33 +443,49 @@ def sink_staging_replace(spark, sf):
     return wh.replace(run.STG_PAYROLL, rows)
 
 
-@query(
-    "atomic_batch",
-    f"WITH {CUR} SELECT 'antes' AS momento, cpf, nome_colaborador FROM cur UNION ALL "
-    "SELECT 'depois', cpf, 'NOVO ' || nome_colaborador FROM cur",
-)
+ATOMIC = f"""{EMPLOYEE_SQL}, {EVERYONE}, rows AS (
+  SELECT 'base' AS tabela, cpf AS chave, nome_colaborador AS nome FROM cur
+  UNION ALL SELECT 'rica', CAST(c_custkey AS VARCHAR), 'ANTIGO ' || c_custkey FROM customer
+    WHERE {KNOWN} AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 0
+  UNION ALL SELECT 'beneficios', CAST(ben.k + 1 AS VARCHAR), 'BENEFICIO ' || b
+    FROM ben JOIN emp ON emp.colaborador_id_solides = ben.k JOIN cur USING (cpf))
+SELECT 'antes' AS momento, * FROM rows UNION ALL SELECT 'depois', tabela, chave, 'NOVO ' || nome FROM rows"""
+
+
+@query("atomic_batch", ATOMIC)
 def atomic_batch(spark, sf):
-    """A staged version stays invisible until its stage publishes it."""
+    """The tables of a stage stay as they were until one record makes all new versions current."""
     wh = Warehouse(spark, work_folder(spark, "atomic"))
-    rows = person_rows(spark, sf).select("cpf", "nome_colaborador")
-    wh.replace(run.BASE, rows)
-    folder, _ = wh.stage(run.BASE, rows.withColumn("nome_colaborador", F.concat(F.lit("NOVO "), "nome_colaborador")))
-    before = wh.read(run.BASE, {})
-    wh.publish(folder)
-    after = wh.read(run.BASE, {})
-    moment = "momento"
-    return before.select(F.lit("antes").alias(moment), "*").unionByName(
-        after.select(F.lit("depois").alias(moment), "*")
-    )
+    base = person_rows(spark, sf, known_only=False)
+    benefits = star.benefits_fact(employees.explode_benefits(parsed(spark, sf)), staged_employees(spark, sf), base, run_ts())
+    named = {
+        run.BASE: ("base", "cpf", "nome_colaborador", base),
+        run.RICH: ("rica", "colaborador_id_solides", "nome_completo", rich_rows(spark, sf)),
+        run.BENEFITS: ("beneficios", "colaborador_sk", "nome_beneficio", benefits),
+    }
+    wh.publish(*(wh.stage(t, rows)[0] for t, (_, _, _, rows) in named.items()))
+    renamed = {
+        t: wh.read(t, {}).withColumn(name, F.concat(F.lit("NOVO "), name)) for t, (_, _, name, _) in named.items()
+    }
+    staged = [wh.stage(t, rows)[0] for t, rows in renamed.items()]
+
+    def shown(moment: str) -> DataFrame:
+        tables = (
+            wh.read(t, {}).select(
+                F.lit(moment).alias("momento"), F.lit(short).alias("tabela"), F.col(key).cast("string").alias("chave"),
+                F.col(name).alias("nome"),
+            )
+            for t, (short, key, name, _) in named.items()
+        )
+        return reduce(DataFrame.unionByName, tables)
+
+    before = shown("antes")
+    wh.publish(*staged)
+    return before.unionByName(shown("depois"))
 
 
 # -- rich dimension ------------------------------------------------------------------
 
-RICH_SHOWN = (
-    "colaborador_sk", "colaborador_id_solides", "nome_completo", "matricula", "salario_api", "data_admissao",
-    "ativo", "banco_conta", "data_ultima_atualizacao", "escolaridade", "turno_trabalho", "valor_rescisao",
-    "data_demissao", "lider_id_solides",
-)
 OLD_TS = "2020-01-01 00:00:00"
 
 
@@ -451,28 +511,56 @@ RICH_CUR = f"""rica AS (SELECT c_custkey + 1 AS colaborador_sk, c_custkey AS id,
   FROM customer WHERE {KNOWN} AND c_custkey % 23 <> 0 AND c_custkey % 31 <> 0)"""
 
 
+# What stays of a stored row: the insert-only columns that `rich_rows` fills.
+RICH_KEPT = {"escolaridade": "'ANTIGA'", "valor_rescisao": "1.0"}
+
+
+def _rich_column(c: str) -> str:
+    if c == "data_ultima_atualizacao":
+        new = f"'{RUN_TS}'"
+    elif c in S.API_MONEY:
+        new = f"CAST(round(l.{c} * 100) AS BIGINT) / 100"
+    elif c == "email":
+        new = "CAST(NULL AS VARCHAR)"
+    else:
+        new = f"CAST(l.{c} AS VARCHAR)"
+    if c in S.RICH_INSERT_ONLY:
+        new = f"CASE WHEN r.id IS NULL THEN {new} ELSE {RICH_KEPT.get(c, 'NULL')} END"
+    return f"{new} AS {c}"
+
+
+RICH_OTHERS = [c for c in S.DIM_RICH if c not in ("colaborador_sk", "colaborador_id_solides")]
+
+
 @query(
     "upsert_partial_columns",
     f"""{EMPLOYEE_SQL}, {RICH_CUR}, lote AS (SELECT k + 1 AS sk, emp.* FROM emp
   WHERE colaborador_id_solides IS NOT NULL AND cpf IS NOT NULL)
-  SELECT CAST(l.sk AS VARCHAR) AS colaborador_sk, CAST(l.k AS VARCHAR) AS colaborador_id_solides, l.nome_completo,
-    l.matricula, CAST(round(l.salario_api * 100) AS BIGINT) / 100 AS salario_api,
-    CAST(l.data_admissao AS VARCHAR) AS data_admissao, CAST(l.ativo AS VARCHAR) AS ativo, l.banco_conta,
-    '{RUN_TS}' AS data_ultima_atualizacao,
-    CASE WHEN r.id IS NULL THEN l.escolaridade ELSE 'ANTIGA' END AS escolaridade,
-    CASE WHEN r.id IS NULL THEN l.turno_trabalho END AS turno_trabalho,
-    CASE WHEN r.id IS NULL THEN l.valor_rescisao ELSE 1.0 END AS valor_rescisao,
-    CASE WHEN r.id IS NULL THEN CAST(l.data_demissao AS VARCHAR) END AS data_demissao,
-    CASE WHEN r.id IS NULL THEN CAST(l.lider_id_solides AS VARCHAR) END AS lider_id_solides
+  SELECT CAST(l.sk AS VARCHAR) AS colaborador_sk, CAST(l.k AS VARCHAR) AS colaborador_id_solides,
+    {", ".join(map(_rich_column, RICH_OTHERS))}
   FROM lote l LEFT JOIN rica r ON r.id = l.k
-  UNION ALL SELECT '0', '-1', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
+  UNION ALL SELECT '0', '-1', {", ".join("NULL" for _ in RICH_OTHERS)}""",
 )
 def upsert_partial_columns(spark, sf):
     everyone = person_rows(spark, sf, known_only=False)
     current = star.rich_with_unknown(rich_rows(spark, sf))
     batch = settle(star.rich_batch(staged_employees(spark, sf), everyone, run_ts()), "rich-batch")
-    merged = star.upsert_rich(current, batch).select(*RICH_SHOWN)
-    return as_text(merged, "salario_api", "valor_rescisao")
+    merged = star.upsert_rich(current, batch)
+    stamp = F.date_format("data_ultima_atualizacao", "yyyy-MM-dd HH:mm:ss")
+    shown = merged.withColumns({"data_ultima_atualizacao": stamp, **{c: F.col(c).cast("double") for c in S.API_MONEY}})
+    return as_text(shown, *S.API_MONEY)
+
+
+@query(
+    "current_ts",
+    f"{EMPLOYEE_SQL} SELECT CAST(ativo AS VARCHAR) AS ativo, '{RUN_TS}' AS data_ultima_atualizacao, count(*) AS n "
+    "FROM emp WHERE colaborador_id_solides IS NOT NULL AND cpf IS NOT NULL GROUP BY ALL",
+)
+def current_ts(spark, sf):
+    """Every row of a batch carries the one time of its run."""
+    everyone = person_rows(spark, sf, known_only=False)
+    batch = star.rich_batch(staged_employees(spark, sf), everyone, run_ts())
+    return batch.groupBy("ativo", "data_ultima_atualizacao").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- people who left -----------------------------------------------------------------
@@ -578,6 +666,7 @@ def cascade_update_guarded(spark, sf):
   UNION ALL SELECT 'fato.cpf_csv ate 11', cpf, count(*) FROM f WHERE length(cpf) > 11 GROUP BY cpf
   UNION ALL SELECT 'folha.cpf unico', cpf, count(*) FROM rec WHERE cpf IS NOT NULL GROUP BY cpf HAVING count(*) > 1
   UNION ALL SELECT 'folha.nome nao nulo', NULL, count(*) FROM rec WHERE nome IS NULL HAVING count(*) > 0
+  UNION ALL SELECT 'folha.cargo ate 6', cargo, count(*) FROM rec WHERE length(cargo) > 6 GROUP BY cargo
   UNION ALL SELECT 'base.cpf unico', cpf, count(*) FROM cur GROUP BY cpf HAVING count(*) > 1""",
 )
 def ref_integrity_check(spark, sf):
@@ -591,7 +680,7 @@ def ref_integrity_check(spark, sf):
         checks.orphans(fact, "colaborador_sk", base, "colaborador_sk", "fato.colaborador_sk existe"),
         checks.too_long(fact, "cpf_csv", 11, "fato.cpf_csv ate 11"),
         checks.duplicates(payroll, "cpf", "folha.cpf unico"),
-        checks.nulls(payroll, "nome_funcionario", "folha.nome nao nulo"),
+        checks.row_rules(payroll, {"nome_funcionario": "folha.nome nao nulo"}, {"cargo": (6, "folha.cargo ate 6")}),
         checks.duplicates(base, "cpf", "base.cpf unico"),
     )
 
