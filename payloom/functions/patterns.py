@@ -113,6 +113,24 @@ TOTALS = {
         "base_irrf": (r"Base IRRF:\s*([\d\.,]+)", r"Base IRRF F[ée]rias\s+([\d\.,]+)"),
     }.items()
 }
+# All footer labels of `TOTALS` at once: a label, and the amount after it.  No amount holds a
+# letter, so no match reaches into the next label and one scan finds what each pattern finds.
+AMOUNTS = java(
+    r"(Proventos:|Descontos:|L[íi]quido:|Total de (?:Proventos|Descontos)(?=\s)|L[íi]quido de F[ée]rias(?=\s)"
+    r"|(?:Base (?:INSS|FGTS|IRRF)|Valor FGTS)(?::| F[ée]rias(?=\s)))\s*([\d\.,]+)",
+    "i",
+    "PDLTBV",
+)
+# How the labels of a field read in lower case without accents, in order of preference.
+AMOUNT_LABELS = {
+    "total_proventos": ("proventos:", "total de proventos"),
+    "total_descontos": ("descontos:", "total de descontos"),
+    "valor_liquido": ("liquido:", "liquido de ferias"),
+    "base_inss": ("base inss:", "base inss ferias"),
+    "base_fgts": ("base fgts:", "base fgts ferias"),
+    "valor_fgts": ("valor fgts:", "valor fgts ferias"),
+    "base_irrf": ("base irrf:", "base irrf ferias"),
+}
 ITEM_HOLERITE = java(r"(\d+)\s+(.*?)\s+([\d\.,]+)\s+([PD])(?=\s+\d{2,}|$)")
 ITEM_FERIAS = java(r"(\d+)\s+(.*?)\s+[\d\.,/%]+\s+([\d\.,]+)\s+([PD])(?=\s+\d{2,}|$)")
 # The item pattern on a whole table: blanks and ``$`` stay inside a line.

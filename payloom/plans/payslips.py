@@ -128,15 +128,25 @@ def cargo(block: Column) -> Column:
     return one_line(P.first_of(block, P.CARGO, P.CARGO_FERIAS))
 
 
-def total(block: Column, name: str) -> Column:
-    return brl_number(F.coalesce(*(P.first_filled(block, p) for p in P.TOTALS[name])))
+def amount_labels(block: Column) -> Column:
+    """Labels of a block's footer amounts in order, in lower case and without accents."""
+    found = F.array_join(P.all_matches(block, P.AMOUNTS, 1), "|")
+    return F.split(F.translate(F.lower(found), "íé", "ie"), "\\|")
+
+
+def total(labels: Column, amounts: Column, name: str) -> Column:
+    """The amount after the first label of a field; the second label counts if the first is absent."""
+    places = (F.array_position(labels, label) - 1 for label in P.AMOUNT_LABELS[name])
+    return brl_number(F.coalesce(*(F.get(amounts, place.cast("int")) for place in places)))
 
 
 def extract_fields(blocks: DataFrame) -> DataFrame:
     """All block fields as read, plus the block itself; unused ones are pruned away."""
     block = F.col("block")
-    found = blocks.select(
-        "*",
+    labels, amounts = F.col("_labels"), F.col("_amounts")
+    cut = blocks.select("*", amount_labels(block).alias("_labels"), P.all_matches(block, P.AMOUNTS, 2).alias("_amounts"))
+    found = cut.select(
+        *blocks.columns,
         vinculo(block).alias("vinculo"),
         situacao(block).alias("situacao"),
         data_demissao(block).alias("data_demissao"),
@@ -146,7 +156,7 @@ def extract_fields(blocks: DataFrame) -> DataFrame:
         P.first_filled(block, P.ADMISSAO).alias("data_admissao"),
         cargo(block).alias("cargo"),
         brl_number(P.first_filled(block, P.SALARIO)).alias("salario_contratual"),
-        *(total(block, name).alias(name) for name in P.TOTALS),
+        *(total(labels, amounts, name).alias(name) for name in P.TOTALS),
     )
     name = name_suffix_strip(F.col("_nome"), F.col("situacao"))
     return found.withColumn("nome_funcionario", name).drop("_nome")

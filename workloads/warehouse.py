@@ -417,16 +417,12 @@ def old_and_batch(spark, sf):
 
 @query("replace_by_period", REPLACED)
 def replace_by_period(spark, sf):
-    """Stored facts: a load replaces the batch periods, run twice with one outcome.
-
-    A load that is written but never published, as of a driver that died, changes nothing.
-    """
+    """Stored facts: a load dies before its record is written, and is repeated."""
     old, batch = old_and_batch(spark, sf)
     wh = Warehouse(spark, work_folder(spark, "periods"))
     wh.replace_periods(run.CONSOL, old)
+    wh.stage_periods(run.CONSOL, batch)
     wh.replace_periods(run.CONSOL, batch)
-    wh.replace_periods(run.CONSOL, batch)
-    wh.stage_periods(run.CONSOL, old)
     return wh.read_periods(run.CONSOL, S.FATO_CONSOLIDADA)
 
 
