@@ -42,24 +42,21 @@ def is_employee_block(block: Column) -> Column:
 
 
 def departments(text: Column, n_blocks: Column) -> Column:
-    """For each block the last department header that starts before it, in one scan of the text.
+    """For each block the last department header that starts before it.
 
     The scan gives department and employee headers in order.  A department line may hold
     employee headers of its own, which then come after it.  Written as letters, ``D`` for a
     department and ``E`` for a block, the order falls into runs of one ``D`` and the blocks
     up to the next, so each name is repeated for its run: no step looks back.
     """
-    found = P.all_matches(text, P.HEADERS)
-
-    def is_name(m: Column) -> Column:
-        return m.startswith("Departamento:")
-
     letters = F.transform(
-        found,
-        lambda m: F.when(is_name(m), F.concat(F.lit("D"), F.repeat(F.lit("E"), F.regexp_count(m, F.lit(P.SPLIT))))).otherwise("E"),
+        P.all_matches(text, P.HEADERS),
+        lambda m: F.when(
+            m.startswith("Departamento:"), F.concat(F.lit("D"), F.repeat(F.lit("E"), F.regexp_count(m, F.lit(P.SPLIT))))
+        ).otherwise("E"),
     )
     runs = P.all_matches(F.array_join(letters, ""), "DE*")
-    names = F.transform(F.filter(found, is_name), lambda m: strip(F.regexp_extract(m, P.DEPARTAMENTO, 1)))
+    names = F.transform(P.all_matches(text, P.DEPARTAMENTO, 1), strip)
     known = F.flatten(F.zip_with(names, runs, lambda name, run: F.array_repeat(name, F.length(run) - 1)))
     # blocks before the first department: employees without one, and a part that no header starts
     bare = F.array_repeat(F.lit(None).cast("string"), n_blocks - F.size(known))
