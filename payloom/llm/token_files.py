@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -40,19 +40,17 @@ BATCH = 64
 END_ID = 0
 
 
-#: Fixed value: the pattern that cuts texts of byte-level vocabularies into pre-tokens.
-PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose ids a task remembers (twice, the newer and the older), and the longest of them.
-REMEMBERED, SHORT = 350_000, 64
+#: Words met in one batch, and in several, whose ids a task remembers, and the longest of them.
+RECENT, KEPT, SHORT = 250_000, 600_000, 64
 
 
 class Encoder:
-    """The library's ids of whole texts; pre-tokens that repeat are asked for once.
+    """The library's ids of whole texts; words that repeat are asked for once.
 
     A byte-level vocabulary starts a new pre-token at a space before a visible character,
-    so a text may be cut there into words, which are remembered; the pre-tokens of a new
-    word go to the library, which encodes each of them alone in any text.  Texts that hold an added
-    token's string go to the library whole.
+    so a text may be cut there into words.  The words of a batch are numbered by Arrow, the
+    library encodes each new one with its space, and the ids of all words are gathered by
+    number.  Texts that hold an added token's string go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -65,56 +63,94 @@ class Encoder:
         self.kind = pa.uint16() if size <= 1 << 16 else pa.uint32()
         self.type = self.kind.to_pandas_dtype()
         self.letter = "H" if self.kind == pa.uint16() else "I"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.pretokens = regex.compile(PRETOKEN).findall
+        self.recent: dict[str, bytes] = {}
+        self.kept: dict[str, bytes] = {}
+        space = self.model.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        self.begins = np.array([(self.model.id_to_token(i) or "").startswith(space) for i in range(size)])
         self.uneven, self.cut = re.compile(r" \s").search, re.compile(r" (?=\S)").split
 
     def ask(self, texts: list[str]) -> list[bytes]:
         """The library's ids as bytes."""
         found = []
-        for i in range(0, len(texts), 1024):
-            part = self.model.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False)
+        for i in range(0, len(texts), 256):
+            part = self.model.encode_batch_fast(texts[i : i + 256], add_special_tokens=False)
             found += [array(self.letter, e.ids).tobytes() for e in part]
         return found
 
-    def words(self, text: str) -> list[str]:
-        """Parts that can be encoded apart: the first, then the others without their space."""
-        return self.cut(text) if self.uneven(text) else text.split(" ")
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text and the end id."""
-        whole = {i: x for i, x in enumerate(texts) if any(a in x for a in self.added)}
-        split = [[""] if i in whole else self.words(x) for i, x in enumerate(texts)]
-        firsts = self.ask([whole.get(i, words[0]) for i, words in enumerate(split)])
-        for words in split:
-            del words[0]
-        known, older = self.known, self.older
-        new = set().union(*split).difference(known)
-        fresh = {w: older[w] for w in new if w in older}
-        asked = {w: self.pretokens(" " + w) for w in new if w not in fresh}
-        ids = self.pieces
-        if len(ids) > REMEMBERED:
-            ids.clear()
-        pieces = list({p for row in asked.values() for p in row if p not in ids})
-        ids.update(zip(pieces, self.ask(pieces)))
-        fresh.update((w, b"".join([ids[p] for p in row])) for w, row in asked.items())
-        known.update(fresh)
-        of = known.__getitem__
-        out = [
-            np.frombuffer(first + b"".join(map(of, words)) + self.end, self.type) for first, words in zip(firsts, split)
-        ]
-        for w in fresh:
-            if len(w) > SHORT:
-                del known[w]
-        if len(known) > REMEMBERED:
-            self.older, self.known = known, {}
+    def ask_words(self, words: list[str]) -> list[bytes]:
+        """The library's ids of words with a space before them.
+
+        Words without white space are joined to long texts, in which each space begins a
+        word, and a token that begins with a space the ids of one.
+        """
+        out: list[bytes] = [b""] * len(words)
+        plain = [i for i, w in enumerate(words) if len(w.split()) == 1 and w == w.strip()]
+        odd = sorted(set(range(len(words))).difference(plain))
+        parts = [plain[i : i + 4096] for i in range(0, len(plain), 4096)]
+        for at, ids in zip(parts, self.ask([" " + " ".join([words[i] for i in part]) for part in parts])):
+            row = np.frombuffer(ids, self.type)
+            starts = np.flatnonzero(self.begins[row])
+            if len(starts) != len(at):
+                odd += at
+                continue
+            ends = np.append(starts[1:], len(row)) * row.itemsize
+            for i, a, b in zip(at, (starts * row.itemsize).tolist(), ends.tolist()):
+                out[i] = ids[a:b]
+        for i, ids in zip(odd, self.ask([" " + words[i] for i in odd])):
+            out[i] = ids
         return out
 
-    @property
-    def end(self) -> bytes:
-        return np.array([END_ID], self.type).tobytes()
+    def ids_of(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of distinct words.  A word that is met in a second batch is kept longer."""
+        recent, kept = self.recent, self.kept
+        found = {w: kept[w] for w in words if w in kept}
+        again = {w: recent.pop(w) for w in words if w in recent}
+        new = [w for w in words if w not in found and w not in again]
+        asked = dict(zip(new, self.ask_words(new)))
+        if len(kept) > KEPT:
+            self.kept = kept = dict(found)
+        kept.update(again)
+        if len(recent) > RECENT:
+            recent.clear()
+        recent.update((w, ids) for w, ids in asked.items() if len(w) <= SHORT)
+        return {**found, **again, **asked}
+
+    def words(self, texts: list[str]) -> pa.LargeListArray:
+        """Parts of each text that can be encoded apart: the first, then the others without their space."""
+        odd = [i for i, x in enumerate(texts) if self.uneven(x) or any(a in x for a in self.added)]
+        row, kind = pa.array(texts, pa.large_string()), pa.large_list(pa.large_string())
+        if not odd:
+            return pc.split_pattern(row, " ").cast(kind)
+        parts = [[texts[i]] if any(a in texts[i] for a in self.added) else self.cut(texts[i]) for i in odd]
+        even = np.ones(len(texts), bool)
+        even[odd] = False
+        split = pa.concat_arrays(
+            [pc.split_pattern(row.filter(pa.array(even)), " ").cast(kind), pa.array(parts, kind)]
+        )
+        order = np.empty(len(texts), np.int64)
+        order[np.append(np.flatnonzero(even), odd).astype(np.int64)] = np.arange(len(texts))
+        return split.take(pa.array(order))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by the end id, and the number of ids of each."""
+        if not texts:
+            return np.zeros(0, self.type), np.zeros(0, np.int64)
+        split = self.words(texts)
+        values, offsets = split.flatten(), split.offsets.to_numpy()
+        starts = (offsets - offsets[0])[:-1]
+        firsts = self.ask(values.take(pa.array(starts)).to_pylist())
+        numbered = values.dictionary_encode()
+        words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
+        # the first part of a text has no space before it, so it gets a number of its own
+        codes[starts] = len(words) + np.arange(len(texts))
+        found = self.ids_of(words)
+        table = [*map(found.__getitem__, words), *firsts]
+        lengths = np.fromiter(map(len, table), np.int64, len(table)) // np.dtype(self.type).itemsize
+        ends = np.append(0, np.cumsum(lengths))
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(table), self.type)))
+        ids = lists.take(pa.array(codes)).flatten().to_numpy()
+        counts = np.add.reduceat(lengths[codes], starts)
+        return np.insert(ids, np.cumsum(counts), END_ID), counts + 1
 
 
 @lru_cache(maxsize=2)
@@ -179,10 +215,8 @@ def write(docs: DataFrame, vocab_path: str, sequence: int = SEQUENCE) -> DataFra
             file = SequenceFile(sink, model.kind, sequence)
             for batch in batches:
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                lengths = []
-                for ids in model.encode(texts):
-                    lengths.append(len(ids))
-                    file.add(ids)
+                ids, lengths = model.encode(texts)
+                file.add(ids)
                 ends = n_tokens + np.cumsum(lengths)
                 part = pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(ends - lengths, pa.int64()), pa.array(lengths, pa.int64())],
@@ -190,7 +224,7 @@ def write(docs: DataFrame, vocab_path: str, sequence: int = SEQUENCE) -> DataFra
                 )
                 index = index or pa.ipc.new_file(docs_sink, part.schema)
                 index.write_batch(part)
-                n_docs, n_tokens = n_docs + len(texts), int(ends[-1]) if lengths else n_tokens
+                n_docs, n_tokens = n_docs + len(texts), int(ends[-1]) if texts else n_tokens
             file.close()
             if index:
                 index.close()
