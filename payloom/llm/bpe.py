@@ -3,8 +3,10 @@
 ``Bpe`` reads a word-end vocabulary file (NFC, lower case, white space dropped).  A
 pre-token is a row of symbols; leaf ``i`` of a segment tree holds the rank of the pair that
 starts at symbol ``i``, joined with ``i``.  The root is the leftmost lowest rank; a merge
-changes at most three leaves, each in logarithmic time, until the root is empty.  Merges of
-a pre-token are remembered in a bounded table, as words repeat.
+changes at most three leaves, each in logarithmic time, until the root is empty.  The new
+pre-tokens of some texts are merged side by side: the trees of one size are the rows of an
+array, and each step takes every row's root.  Merges of a pre-token are remembered in a
+bounded table, as words repeat.
 
 Null texts encode like empty ones: no ids and an empty decoded text.  Strings of the added
 special tokens inside a text become those tokens.  A text of any length is encoded whole;
@@ -32,7 +34,10 @@ from payloom.llm.common import map_batches
 
 #: Fixed values of the vocabulary's pre-tokenizer.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-REMEMBERED = 250_000
+#: Words whose merges a task remembers: those met again (a newer and an older half), and those met once.
+REMEMBERED, RECENT = 280_000, 100_000
+#: Characters of texts whose new pre-tokens are merged together.
+SLICE = 4_000_000
 _NONE = 1 << 62
 
 
@@ -54,13 +59,21 @@ class Bpe:
         letters = byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + suffix] for c in letters]
+        self.inner_row, self.last_row = np.array(self.inner), np.array(self.last)
         self.merges = {
             (vocab[a] << 32) | vocab[b]: (rank, vocab[a + b])
             for rank, (a, b) in enumerate(spec["model"]["merges"])
         }
+        # the merges as sorted pair keys, for many lookups at once
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        order = np.argsort(keys)
+        found = np.array(list(self.merges.values()), np.int64)[order]
+        self.pair_keys, self.pair_ranks, self.pair_into = keys[order], found[:, 0], found[:, 1]
         self.pretokens = regex.compile(PRETOKEN).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.known: dict[str, tuple[bytes, str, int]] = {}
+        self.older: dict[str, tuple[bytes, str, int]] = {}
+        self.recent: dict[str, tuple[bytes, str, int]] = {}
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge the leftmost lowest-ranked pair until no pair of the row can merge."""
@@ -113,41 +126,137 @@ class Bpe:
                 put(h, (found[0] << 32) | h if found else _NONE)
         return [x for x in ids if x >= 0]
 
-    def word(self, pretoken: str) -> tuple[bytes, str, int]:
-        """Ids as bytes, the decoded tokens, and their number."""
-        row = pretoken.encode()
-        ids = [self.inner[b] for b in row]
-        ids[-1] = self.last[row[-1]]
-        ids = self.merge(ids)
-        out = (array("I", ids).tobytes(), self.decode(ids), len(ids))
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(pretoken) <= 64:
-            self.known[pretoken] = out
+    def merge_rows(self, words: list[bytes]) -> list[list[int]]:
+        """`merge` of many words whose trees have one size, a step of all of them at a time."""
+        n = np.array([len(w) for w in words])
+        most, rows = int(n.max()), np.arange(len(words))
+        size = 1
+        while size < most - 1:
+            size *= 2
+        ids = np.full((len(words), most + 1), -1, np.int64)
+        filled = np.arange(most + 1)[None, :] < n[:, None]
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        ids[filled] = self.inner_row[flat]
+        ids[rows, n - 1] = self.last_row[np.frombuffer(bytes(w[-1] for w in words), np.uint8)]
+        after = np.minimum(np.arange(1, most + 2)[None, :], n[:, None])
+        before = np.broadcast_to(np.arange(-1, most), ids.shape).copy()
+        tree = np.full((len(words), 2 * size), _NONE, np.int64)
+        into = np.zeros((len(words), size), np.int64)
+        for i in range(most - 1):
+            tree[:, size + i], into[:, i] = self.leaves(ids[:, i], ids[:, i + 1], np.full(len(words), i))
+        for node in range(size - 1, 0, -1):
+            tree[:, node] = np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1])
+
+        def put(w: np.ndarray, leaf: np.ndarray, key) -> None:
+            node = size + leaf
+            tree[w, node] = key
+            node >>= 1
+            while len(node) and node[0]:  # all leaves are equally deep
+                tree[w, node] = np.minimum(tree[w, 2 * node], tree[w, 2 * node + 1])
+                node >>= 1
+
+        while True:
+            rows = rows[tree[rows, 1] != _NONE]
+            if not len(rows):
+                break
+            i = tree[rows, 1] & 0xFFFFFFFF
+            j = after[rows, i]
+            k = after[rows, j]
+            ids[rows, i] = into[rows, i]
+            ids[rows, j] = -1
+            after[rows, i] = k
+            inner = j < n[rows] - 1
+            put(rows[inner], j[inner], _NONE)
+            before[rows, k] = i
+            key, to = self.leaves(ids[rows, i], np.where(k < n[rows], ids[rows, k], -1), i)
+            into[rows, i] = to
+            put(rows, i, key)
+            h = before[rows, i]
+            left = h >= 0
+            w, h, i = rows[left], h[left], i[left]
+            key, to = self.leaves(ids[w, h], ids[w, i], h)
+            into[w, h] = to
+            put(w, h, key)
+        kept = ids >= 0
+        ends = np.cumsum(kept.sum(axis=1)).tolist()
+        flat = ids[kept].tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaf keys of the pairs that start at ``at``, and the symbols they merge into."""
+        pair = (left << 32) | right
+        place = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
+        hit = (left >= 0) & (right >= 0) & (self.pair_keys[place] == pair)
+        return np.where(hit, (self.pair_ranks[place] << 32) | at, _NONE), self.pair_into[place]
+
+    def remembered(self, pretoken: str) -> tuple[bytes, str, int] | None:
+        out = self.known.get(pretoken)
+        if out is None:
+            out = self.older.pop(pretoken, None) or self.recent.pop(pretoken, None)
+            if out:
+                if len(self.known) >= REMEMBERED // 2:
+                    self.older, self.known = self.known, {}
+                self.known[pretoken] = out
         return out
 
+    def learn(self, pretokens: set[str]) -> dict[str, tuple[bytes, str, int]]:
+        """Ids as bytes, the decoded tokens, and their number, of distinct pre-tokens."""
+        found = {p: out for p in pretokens if (out := self.remembered(p))}
+        sizes: dict[int, list[str]] = {}
+        for p in pretokens:
+            if p not in found:
+                sizes.setdefault((len(p.encode()) - 2).bit_length() if len(p) > 1 else 0, []).append(p)
+        if len(self.recent) >= RECENT:
+            self.recent.clear()
+        for size, some in sizes.items():
+            rows = [p.encode() for p in some]
+            if len(some) > 32 and size <= 6:
+                merged = self.merge_rows(rows)
+            else:
+                merged = [self.merge([*(self.inner[b] for b in row[:-1]), self.last[row[-1]]]) for row in rows]
+            for p, ids in zip(some, merged):
+                out = (array("I", ids).tobytes(), self.decode(ids), len(ids))
+                found[p] = out
+                if len(p) <= 64:
+                    self.recent[p] = out
+        return found
+
     def decode(self, ids: list[int]) -> str:
         """Token strings joined by a space, as a vocabulary file without decoder asks for."""
         tokens = self.tokens
         return " ".join([tokens[i] for i in ids])
 
-    def parts(self, text: str) -> Iterator[tuple[bytes, str, int]]:
+    def split(self, text: str) -> list[str | int]:
+        """Pre-tokens of a text, and the ids of added special tokens between them."""
+        out: list[str | int] = []
         for piece in self.specials.split(text) if "<|" in text else (text,):
             if piece in self.special:
-                i = self.special[piece]
-                yield array("I", [i]).tobytes(), self.tokens[i], 1
+                out.append(self.special[piece])
                 continue
             if not piece.isascii():
                 # lower case letter by letter: sigma has one form here
                 piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-            known, word = self.known, self.word
-            for w in self.pretokens(piece.lower()):
-                yield known.get(w) or word(w)
+            out += self.pretokens(piece.lower())
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[tuple[bytes, str, int]]:
+        """All ids as little-endian unsigned 32-bit bytes, the decoded text, their number, text by text."""
+        start = size = 0
+        for i, text in enumerate(texts):
+            size += len(text or "")
+            if size < SLICE and i < len(texts) - 1:
+                continue
+            rows = [self.split(t or "") for t in texts[start : i + 1]]
+            found = self.learn({p for row in rows for p in row if type(p) is str})
+            for special in self.special.values():
+                found[special] = (array("I", [special]).tobytes(), self.tokens[special], 1)
+            for row in rows:
+                parts = [found[p] for p in row]
+                yield b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), sum([p[2] for p in parts])
+            start, size = i + 1, 0
 
     def encode(self, text: str | None) -> tuple[bytes, str, int]:
-        """All ids as little-endian unsigned 32-bit bytes, the decoded text, their number."""
-        parts = list(self.parts(text or ""))
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), sum([p[2] for p in parts])
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=2)
@@ -162,7 +271,7 @@ def encode_texts(docs: DataFrame, vocab_path: str, id_column: str = "doc_id", te
     def work(batches):
         bpe = vocabulary(vocab_path)
         for batch in batches:
-            found = [bpe.encode(t) for t in batch.column(1).to_pylist()]
+            found = list(bpe.encode_all(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -206,8 +315,7 @@ def digests(docs: DataFrame, vocab_path: str, with_ids: bool = False) -> DataFra
         bpe = vocabulary(vocab_path)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
-                ids, decoded, n = bpe.encode(text)
+            for ids, decoded, n in bpe.encode_all(batch.column(1).to_pylist()):
                 hashes = hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
                 rows.append((n, *hashes, np.frombuffer(ids, np.int32) if with_ids else None))
             n, ids, decoded, rows = zip(*rows) if rows else ((), (), (), ())

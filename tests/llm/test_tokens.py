@@ -1,6 +1,7 @@
 """BPE, token counts and token files against the public libraries."""
 
 import hashlib
+import random
 import zlib
 from array import array
 
@@ -71,6 +72,12 @@ def test_segment_tree_merges_like_a_plain_search():
         ids = [model.inner[b] for b in word.encode()]
         assert model.merge(list(ids)) == plain(ids)
 
+    rng = random.Random(3)
+    for most in (1, 2, 3, 5, 9, 17, 64):
+        words = ["".join(rng.choices("theinagrsé", k=rng.randint(1, most))).encode() for _ in range(60)]
+        want = [plain([*(model.inner[b] for b in w[:-1]), model.last[w[-1]]]) for w in words]
+        assert model.merge_rows(words) == want
+
 
 def test_counts_equal_the_library(messy, none):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
