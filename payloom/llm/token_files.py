@@ -86,7 +86,7 @@ class Encoder:
         out: list[bytes] = [b""] * len(words)
         plain = [i for i, w in enumerate(words) if len(w.split()) == 1 and w == w.strip()]
         odd = sorted(set(range(len(words))).difference(plain))
-        parts = [plain[i : i + 4096] for i in range(0, len(plain), 4096)]
+        parts = [plain[i : i + 256] for i in range(0, len(plain), 256)]
         for at, ids in zip(parts, self.ask([" " + " ".join([words[i] for i in part]) for part in parts])):
             row = np.frombuffer(ids, self.type)
             starts = np.flatnonzero(self.begins[row])
