@@ -1,11 +1,14 @@
 """Embedding near-duplicates by a random-projection tree forest with spill.
 
 Vectors are compared only inside a label (and a length).  Every tree starts from the labels
-as cells and splits each cell of more than ``leaf`` rows along a random direction at the
-median; rows within a margin of it go to both sides.  The margin follows from the angle of
-the threshold, so a pair at the threshold is cut apart by one split in about a hundred, and
-it must be cut in all ``trees`` to be missed (below 1e-4 at 15 levels).  A cell that a
-split does not shrink is a dense cluster: it stays whole and is compared in parts.
+as cells.  A cell of more than ``leaf`` rows is split along random directions, one for each
+level, at the median; rows within a margin of a cut go to both sides.  All levels of a cell
+are cut in one pass: their medians come from a bounded sample of its rows (``FIT``), and
+every row, whole or not in the sample, is placed by them.  Cells that are still too large are
+split again; one that its levels do not shrink is a dense cluster, stays whole and is
+compared in parts.  The margin is small and the number of trees follows from it, the levels
+and the angle of the threshold: a pair at the threshold is cut apart in all trees with a
+chance of about ``miss``, and closer pairs far more seldom.
 
 All rows of a leaf are compared by cosine in double precision.  A pair may share several
 leaves; it counts only in the smallest leaf that both belong to, so link counts need no
@@ -19,116 +22,184 @@ that has several vectors is one node.  Only ``vec_id``, ``embedding`` and ``labe
 
 from __future__ import annotations
 
+from math import erfc
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payloom.llm.common import components, in_pairs_of_parts, map_batches, whole_groups
 from payloom.llm.vectors import direction, matrix, valid_rows
 from payloom.session import settle
 
-LEAF, TREES = 1024, 6
+LEAF, MISS = 1024, 1e-4
+#: Rows of a cell that its cuts are fitted on, levels that are cut in one pass, and the margin
+#: on each side of a cut in standard deviations of a projection.
+FIT, LEVELS, MARGIN = 4096, 8, 0.06
+_NONE = np.iinfo(np.int64).max
+
+
+def levels_of(n: int, leaf: int) -> int:
+    """Halvings that bring ``n`` rows to ``leaf``, as many as one pass cuts."""
+    return min(LEVELS, max(0, int(np.ceil(np.log2(max(n, 1) / leaf)))))
 
 
-def projected(large: DataFrame, rows: DataFrame) -> DataFrame:
-    """``(cell, rid, d, n, p)``: the place of each row along its cell's direction.
+def trees_of(n: Column, leaf: int, cosine: float, miss: float) -> Column:
+    """Trees that leave a pair at the threshold unmet with a chance of about ``miss``.
 
-    Members travel without their vectors, which meet them here only.
+    Two levels more than halvings are reckoned with, as cells are not quite even.
     """
+    # along a direction both points are about normal and differ by a normal draw of this size
+    apart = np.sqrt(2 - 2 * cosine)
+    x = 2 * MARGIN / apart
+    beyond = apart * (np.exp(-x * x / 2) / np.sqrt(2 * np.pi) - x * erfc(x / np.sqrt(2)) / 2)
+    cut = float(2 / np.sqrt(2 * np.pi) * beyond)
+    kept = F.pow(F.lit(1 - cut), F.ceil(F.log2(n / leaf)) + 2)
+    return F.when(n <= leaf, 1).otherwise(F.ceil(F.lit(float(np.log(miss))) / F.log(1 - kept))).cast("int")
+
+
+def directions(cell: int, levels: int, d: int) -> np.ndarray:
+    return np.stack([direction(cell * 31 + k, d) for k in range(levels)])
+
+
+def unit(vectors: pa.Array) -> np.ndarray:
+    v = matrix(vectors)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def cuts_of(members: DataFrame, leaf: int) -> DataFrame:
+    """``(cell, cuts)``: the median of each level's projections, from at most some `FIT` rows of a cell."""
+    share = F.least(F.lit(1.0), F.lit(FIT) / F.col("n"))
+    sample = members.where(F.pmod(F.xxhash64("rid", F.lit(3)), F.lit(1 << 20)) <= share * (1 << 20))
 
     def work(batches):
         for batch in batches:
-            cells, vectors = batch.column(0).to_numpy(), batch.column(4)
-            p = np.zeros(len(cells))
+            cells, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for cell in np.unique(cells):
                 at = np.flatnonzero(cells == cell)
-                v = matrix(vectors.take(pa.array(at)))
-                p[at] = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ direction(int(cell), v.shape[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(p)], names=["cell", "rid", "d", "n", "p"])
+                v = unit(batch.column(2).take(pa.array(at)))
+                p = v @ directions(int(cell), levels_of(n[at[0]], leaf), v.shape[1]).T
+                level = np.tile(np.arange(p.shape[1]), len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(p.size, cell)), pa.array(level.astype(np.int32)), pa.array(p.ravel())],
+                    names=["cell", "level", "p"],
+                )
 
-    met = large.join(rows.select("rid", "v"), "rid").select("cell", "rid", "d", "n", "v")
-    return map_batches(met, work, "cell long, rid long, d int, n long, p double")
+    projected = map_batches(sample.select("cell", "n", "v"), work, "cell long, level int, p double")
+    medians = projected.groupBy("cell", "level").agg(F.percentile_approx("p", 0.5, 1000).alias("cut"))
+    listed = medians.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("level", "cut"))).alias("cuts"))
+    return listed.select("cell", F.transform("cuts", lambda c: c["cut"]).alias("cuts"))
 
 
-def forest(rows: DataFrame, cosine: float, leaf: int, trees: int) -> DataFrame:
+def placed(members: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``(parent, cell, rid)``: the cells that each row falls into, more than one where it is near a cut."""
+
+    def work(batches):
+        for batch in batches:
+            cells = batch.column(0).to_numpy()
+            out = []
+            for cell in np.unique(cells):
+                at = np.flatnonzero(cells == cell)
+                cut = np.array(batch.column(3)[int(at[0])].as_py())
+                v = unit(batch.column(2).take(pa.array(at)))
+                p = v @ directions(int(cell), len(cut), v.shape[1]).T - cut
+                margin = MARGIN / np.sqrt(v.shape[1])
+                code, row = np.zeros(len(at), np.int64), np.arange(len(at))
+                for k in range(len(cut)):
+                    side = (p[row, k] > 0).astype(np.int64)
+                    near = np.abs(p[row, k]) <= margin
+                    code, row = np.append(2 * code + side, 2 * code[near] + 1 - side[near]), np.append(row, row[near])
+                out.append((np.full(len(row), cell), code, batch.column(1).to_numpy()[at][row]))
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays(columns, names=["parent", "code", "rid"])
+
+    joined = members.join(cuts, "cell").select("cell", "rid", "v", "cuts")
+    found = map_batches(joined, work, "parent long, code long, rid long")
+    return found.select("parent", F.xxhash64("parent", "code").alias("cell"), "rid")
+
+
+def forest(rows: DataFrame, cosine: float, leaf: int, miss: float) -> DataFrame:
     """``(cell, rid, n)``: the leaves of every row, with their sizes."""
-    start = rows.select(
-        F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree"), "rid", "label", F.size("v").alias("d")
-    )
-    members = start.select(F.xxhash64("tree", "label", "d").alias("cell"), "rid", "d")
-    done = None
-    while True:
-        sizes = members.groupBy("cell").agg(F.count("*").alias("n"))
-        sized = settle(members.join(sizes, "cell"), "cells")
-        final = sized.where(F.col("n") <= leaf).select("cell", "rid", "n")
-        large = sized.where(F.col("n") > leaf)
-        done = final if done is None else done.union(final)
-        if large.isEmpty():
-            return done
-        placed = settle(projected(large, rows), "projections")
-        # two points at the threshold differ by this much along a random direction, times a normal draw
-        margin = 0.65 * F.sqrt(F.lit(2 - 2 * cosine) / F.col("d"))
-        cuts = placed.groupBy("cell").agg(F.percentile_approx("p", 0.5, 1000).alias("cut"))
-        left, right = F.col("p") <= F.col("cut") + margin, F.col("p") > F.col("cut") - margin
-        sides = placed.join(cuts, "cell").select("*", left.alias("left"), right.alias("right"))
-        counts = sides.groupBy("cell").agg(
-            F.sum(F.col("left").cast("long")).alias("nl"), F.sum(F.col("right").cast("long")).alias("nr")
+    kinds = rows.withColumn("d", F.size("v"))
+    sizes = kinds.groupBy("label", "d").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("trees", trees_of(F.col("n"), leaf, cosine, miss))
+    start = kinds.join(sizes, ["label", "d"]).withColumn("tree", F.explode(F.sequence(F.lit(1), "trees")))
+    members = start.select(F.xxhash64("tree", "label", "d").alias("cell"), "rid", "n", "v")
+    done = members.where(F.col("n") <= leaf).select("cell", "rid", "n")
+    members = members.where(F.col("n") > leaf)
+    while not members.isEmpty():
+        counts = members.groupBy("cell").agg(F.max("n").alias("parent_n"))
+        found = settle(placed(members, cuts_of(members, leaf)), "placed")
+        sizes = found.groupBy("parent", "cell").agg(F.count("*").alias("n")).join(
+            counts.withColumnRenamed("cell", "parent"), "parent"
         )
-        sides = sides.join(counts, "cell")
-        stuck = F.greatest("nl", "nr") > 0.9 * F.col("n")
-        done = done.union(sides.where(stuck).select("cell", "rid", "n"))
-        both = F.filter(F.array(F.when(F.col("left"), 1), F.when(F.col("right"), 2)), lambda x: x.isNotNull())
-        split = sides.where(~stuck).select("rid", "d", "cell", F.explode(both).alias("side"))
-        members = settle(split.select(F.xxhash64("cell", "side").alias("cell"), "rid", "d"), "members")
-
-
-def owned(linked: np.ndarray, leaf: int, leaves: list[list[int]]) -> np.ndarray:
-    """The links whose smallest common leaf is this one; ``leaves`` are all leaves of each row."""
-    rows = np.repeat(np.arange(len(leaves)), [len(x) for x in leaves])
-    values = np.concatenate([np.asarray(x, np.int64) for x in leaves])
-    rows, values = rows[values < leaf], values[values < leaf]
-    names, column, times = np.unique(values, return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    rows, column = rows[shared], column[shared]
-    if not len(rows):
-        return linked
-    _, column = np.unique(column, return_inverse=True)
-    earlier = np.zeros(linked.shape, np.float32)
-    for start in range(0, column.max() + 1, 2048):
-        at = (column >= start) & (column < start + 2048)
-        held = np.zeros((len(leaves), 2048), np.float32)
-        held[rows[at], column[at] - start] = 1
-        earlier += held @ held.T
-    return linked & (earlier == 0)
-
-
-def leaf_links(ids: np.ndarray, v: np.ndarray, part: np.ndarray, across: bool, leaf: int, leaves: list, cosine: float):
+        sized = settle(found.join(sizes.select("cell", "n", "parent_n"), "cell"), "cells")
+        # a child that holds most of its cell is a dense cluster: no direction tells its rows apart
+        final = (F.col("n") <= leaf) | (F.col("n") > 0.7 * F.col("parent_n"))
+        done = done.union(sized.where(final).select("cell", "rid", "n"))
+        left = sized.where(~final).select("cell", "rid", "n")
+        members = left.join(rows.select("rid", "v"), "rid").select("cell", "rid", "n", "v")
+    return done
+
+
+def padded(lists: pa.ChunkedArray) -> np.ndarray:
+    """Lists as rows of one array, filled up with a value that no leaf has."""
+    lists = lists.combine_chunks()
+    lengths = lists.value_lengths().to_numpy()
+    out = np.full((len(lists), int(lengths.max(initial=1))), _NONE, np.int64)
+    out[np.arange(out.shape[1])[None, :] < lengths[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
+def owned(i: np.ndarray, j: np.ndarray, leaf: int, leaves: np.ndarray) -> np.ndarray:
+    """Which pairs of rows have this leaf as their smallest common one; ``leaves`` are those of each row."""
+    own = np.ones(len(i), bool)
+    smaller = np.where(leaves < leaf, leaves, _NONE)
+    for start in range(0, len(i), 1 << 16):
+        at = slice(start, start + (1 << 16))
+        a, b = smaller[i[at]], smaller[j[at]]
+        for k in range(leaves.shape[1]):
+            here = a[:, k : k + 1]
+            own[at] &= ~((b == here) & (here != _NONE)).any(axis=1)
+    return own
+
+
+def leaf_links(ids: np.ndarray, v: np.ndarray, part: np.ndarray, across: bool, leaf: int, leaves: np.ndarray, cosine: float):
     """Linked rows of one leaf: id, number of owned links, id of the first row of its component."""
-    length = np.sqrt((v * v).sum(axis=1))
-    linked = (v @ v.T) / (length[:, None] * length[None, :]) >= cosine
-    linked &= ids[:, None] != ids[None, :]
+    u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    single = u.astype(np.float32)
+    # single precision finds the candidates, double precision decides
+    i, j = np.nonzero(np.triu(single @ single.T >= cosine - 1e-4, 1))
+    keep = ids[i] != ids[j]
     if across:
-        linked &= part[:, None] != part[None, :]
-    some = np.flatnonzero(linked.any(axis=1))
-    linked, ids = linked[np.ix_(some, some)], ids[some]
-    if not len(some):
-        return ids, ids, ids
-    counts = owned(linked, leaf, [leaves[i] for i in some]).sum(axis=1)
-    low = np.arange(len(some))
-    while True:
-        near = np.minimum(low, np.where(linked, low[None, :], len(some)).min(axis=1))
-        near = near[near]
-        if np.array_equal(near, low):
-            return ids, counts, ids[low]
-        low = near
-
-
-def deduplicate(vectors: DataFrame, cosine: float = 0.93, leaf: int = LEAF, trees: int = TREES) -> DataFrame:
+        keep &= part[i] != part[j]
+    i, j = i[keep], j[keep]
+    length = np.sqrt((v * v).sum(axis=1))
+    linked = np.empty(len(i), bool)
+    for start in range(0, len(i), 1 << 16):
+        at = slice(start, start + (1 << 16))
+        linked[at] = np.einsum("ij,ij->i", v[i[at]], v[j[at]]) / (length[i[at]] * length[j[at]]) >= cosine
+    i, j = i[linked], j[linked]
+    own = owned(i, j, leaf, leaves)
+    counts = np.bincount(i[own], minlength=len(ids)) + np.bincount(j[own], minlength=len(ids))
+    some = np.unique(np.append(i, j))
+    low = np.arange(len(ids))
+    while len(i):
+        before = low.copy()
+        np.minimum.at(low, i, low[j])
+        np.minimum.at(low, j, low[i])
+        low = low[low]
+        if np.array_equal(low, before):
+            break
+    return ids[some], counts[some], ids[low[some]]
+
+
+def deduplicate(vectors: DataFrame, cosine: float = 0.93, leaf: int = LEAF, miss: float = MISS) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``vectors``."""
     rows = valid_rows(vectors, "vec_id", "embedding", "label").where("label IS NOT NULL").distinct()
     rows = settle(rows.withColumn("rid", F.xxhash64("id", "v", "label")), "vectors")
-    leaves = settle(forest(rows, cosine, leaf, trees), "leaves")
+    leaves = settle(forest(rows, cosine, leaf, miss), "leaves")
     mine = leaves.groupBy("rid").agg(F.collect_set("cell").alias("cells"))  # a few for each tree
     full = leaves.join(rows.join(mine, "rid"), "rid")
     dealt = in_pairs_of_parts(full.select("cell", "n", "rid", "id", "v", "cells"), F.col("n"), leaf, F.col("rid"))
@@ -145,8 +216,7 @@ def deduplicate(vectors: DataFrame, cosine: float = 0.93, leaf: int = LEAF, tree
             found = []
             for a, b in zip(starts, np.append(starts[1:], len(tasks))):
                 v = matrix(table.column(5).slice(a, b - a))
-                leaves_of = table.column(6).slice(a, b - a).to_pylist()
-                found.append(leaf_links(ids[a:b], v, part[a:b], bool(across[a]), int(cell[a]), leaves_of, cosine))
+                found.append(leaf_links(ids[a:b], v, part[a:b], bool(across[a]), int(cell[a]), padded(table.column(6).slice(a, b - a)), cosine))
             columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n_links", "low"])
 
