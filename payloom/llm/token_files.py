@@ -41,7 +41,7 @@ END_ID = 0
 
 
 #: Words met in one batch, and in several, whose ids a task remembers, and the longest of them.
-RECENT, KEPT, SHORT = 250_000, 600_000, 64
+RECENT, KEPT, SHORT = 600_000, 600_000, 64
 
 
 class Encoder:
@@ -80,40 +80,49 @@ class Encoder:
     def ask_words(self, words: list[str]) -> list[bytes]:
         """The library's ids of words with a space before them.
 
-        Words without white space are joined to long texts, in which each space begins a
+        Words without white space are joined to texts, in which each space begins a
         word, and a token that begins with a space the ids of one.
         """
         out: list[bytes] = [b""] * len(words)
-        plain = [i for i, w in enumerate(words) if len(w.split()) == 1 and w == w.strip()]
-        odd = sorted(set(range(len(words))).difference(plain))
-        parts = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for at, ids in zip(parts, self.ask([" " + " ".join([words[i] for i in part]) for part in parts])):
+        parts = [words[i : i + 256] for i in range(0, len(words), 256)]
+        texts = [" ".join(part) for part in parts]
+        odd = []
+        for n, (part, ids) in enumerate(zip(parts, self.ask([" " + t if t.split() == part else "" for t, part in zip(texts, parts)]))):
             row = np.frombuffer(ids, self.type)
             starts = np.flatnonzero(self.begins[row])
-            if len(starts) != len(at):
-                odd += at
+            if len(starts) != len(part):
+                odd += range(n * 256, n * 256 + len(part))
                 continue
-            ends = np.append(starts[1:], len(row)) * row.itemsize
-            for i, a, b in zip(at, (starts * row.itemsize).tolist(), ends.tolist()):
-                out[i] = ids[a:b]
+            starts = (starts * row.itemsize).tolist()
+            out[n * 256 : n * 256 + len(part)] = [ids[a:b] for a, b in zip(starts, [*starts[1:], len(ids)])]
         for i, ids in zip(odd, self.ask([" " + words[i] for i in odd])):
             out[i] = ids
         return out
 
-    def ids_of(self, words: list[str]) -> dict[str, bytes]:
+    def ids_of(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words.  A word that is met in a second batch is kept longer."""
-        recent, kept = self.recent, self.kept
-        found = {w: kept[w] for w in words if w in kept}
-        again = {w: recent.pop(w) for w in words if w in recent}
-        new = [w for w in words if w not in found and w not in again]
-        asked = dict(zip(new, self.ask_words(new)))
-        if len(kept) > KEPT:
-            self.kept = kept = dict(found)
-        kept.update(again)
+        table = list(map(self.kept.get, words))
+        if len(self.kept) > KEPT:
+            self.kept = {w: ids for w, ids in zip(words, table) if ids is not None}
+        kept, recent = self.kept, self.recent
+        missing = [i for i, ids in enumerate(table) if ids is None]
+        new = []
+        for i in missing:
+            ids = recent.pop(words[i], None)
+            if ids is None:
+                new.append(i)
+            else:
+                table[i] = kept[words[i]] = ids
+        asked = [words[i] for i in new]
+        found = self.ask_words(asked)
+        for i, ids in zip(new, found):
+            table[i] = ids
         if len(recent) > RECENT:
             recent.clear()
-        recent.update((w, ids) for w, ids in asked.items() if len(w) <= SHORT)
-        return {**found, **again, **asked}
+        recent.update(zip(asked, found))
+        for w in [w for w in asked if len(w) > SHORT]:
+            del recent[w]
+        return table
 
     def words(self, texts: list[str]) -> pa.LargeListArray:
         """Parts of each text that can be encoded apart: the first, then the others without their space."""
@@ -143,8 +152,7 @@ class Encoder:
         words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
         # the first part of a text has no space before it, so it gets a number of its own
         codes[starts] = len(words) + np.arange(len(texts))
-        found = self.ids_of(words)
-        table = [*map(found.__getitem__, words), *firsts]
+        table = [*self.ids_of(words), *firsts]
         lengths = np.fromiter(map(len, table), np.int64, len(table)) // np.dtype(self.type).itemsize
         ends = np.append(0, np.cumsum(lengths))
         lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(table), self.type)))
