@@ -29,24 +29,35 @@ placed AS (
          ('0x' || substr(m.h, 1, 8))::BIGINT
            % greatest(1, ceil((SELECT sum(size) FROM measured) / 1000000.0)::BIGINT) AS shard
   FROM measured m JOIN goal g ON m.source IS NOT DISTINCT FROM g.source),
-streams AS (
-  SELECT shard, source_no, sum(size)::BIGINT AS words,
-         CASE WHEN source_size > 0 THEN target * sum(size)::DOUBLE / source_size ELSE 0 END / 64 AS q
-  FROM placed GROUP BY shard, source_no, source_size, target),
+asking AS (
+  SELECT source_no, source_size,
+         CASE WHEN source_size > 0 THEN target * source_size::DOUBLE / source_size ELSE 0 END / 64 AS q
+  FROM goal),
 claims AS (
-  SELECT shard, source_no, row_number() OVER (PARTITION BY shard ORDER BY q / (2 * k - 1) DESC, source_no, k) AS place
-  FROM (SELECT *, unnest(range(1, greatest(2, floor(2 * words / 64.0)::BIGINT + 1))) AS k FROM streams) x
-  WHERE k <= floor(2 * words / 64.0)),
-seats AS (SELECT shard, round(sum(least(q, floor(2 * words / 64.0)))) AS seats FROM streams GROUP BY shard),
+  SELECT source_no, row_number() OVER (ORDER BY q / (2 * k - 1) DESC, source_no, k) AS place
+  FROM (SELECT *, unnest(range(1, greatest(2, floor(2 * source_size / 64.0)::BIGINT + 1))) AS k FROM asking) x
+  WHERE k <= floor(2 * source_size / 64.0)),
 given AS (
-  SELECT c.shard, c.source_no, count(*) AS blocks
-  FROM claims c JOIN seats s USING (shard) WHERE c.place <= s.seats GROUP BY ALL),
-ordered AS (
+  SELECT source_no, count(*) AS blocks FROM claims
+  WHERE place <= (SELECT round(sum(least(q, floor(2 * source_size / 64.0)))) FROM asking) GROUP BY source_no),
+running AS (
+  SELECT shard, source_no, source_size, sum(size)::BIGINT AS words,
+         (sum(sum(size)) OVER (PARTITION BY source_no ORDER BY shard ROWS UNBOUNDED PRECEDING))::BIGINT AS upto
+  FROM placed GROUP BY shard, source_no, source_size),
+reached AS (
+  SELECT r.shard, r.source_no, r.words,
+         2 * upto + least(0, min(64 * floor(coalesce(blocks, 0) * (upto::DOUBLE / source_size) + 0.5)::BIGINT - 2 * upto)
+                               OVER (PARTITION BY r.source_no ORDER BY shard ROWS UNBOUNDED PRECEDING)) AS reached
+  FROM running r LEFT JOIN given g ON r.source_no = g.source_no WHERE source_size > 0),
+handed AS (
+  SELECT shard, source_no, words,
+         (reached - lag(reached, 1, 0) OVER (PARTITION BY source_no ORDER BY shard))::BIGINT AS taking
+  FROM reached),
+passes AS (
   SELECT p.*, (sum(size) OVER (PARTITION BY p.shard, p.source_no ORDER BY h, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start,
-         (sum(size) OVER (PARTITION BY p.shard, p.source_no))::BIGINT AS words,
-         (coalesce(g.blocks, 0) * 64)::BIGINT AS taking
-  FROM placed p LEFT JOIN given g ON p.shard = g.shard AND p.source_no = g.source_no),
-passes AS (SELECT *, CASE WHEN words > 0 THEN taking // words ELSE 0 END AS passes FROM ordered)
+         coalesce(h2.words, 0) AS words, coalesce(h2.taking, 0) AS taking,
+         CASE WHEN h2.words > 0 THEN h2.taking // h2.words ELSE 0 END AS passes
+  FROM placed p LEFT JOIN handed h2 ON p.shard = h2.shard AND p.source_no = h2.source_no)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        (passes * size + greatest(0, least(start + size, taking - passes * words) - start))::BIGINT AS taken
 FROM passes

@@ -6,11 +6,14 @@
 2. Documents fall into shards by a seeded hash, about ``shard_words`` words each.  Inside a
    shard every source holds a stream of documents in seeded order, cut into blocks of
    ``block_words`` words.
-3. The blocks a shard has to give go to the sources with the highest quotients
-   ``ideal / (2k - 1)``: whole-number quotas.  All quotients that are certain to win are
-   counted by rounding; only the contested few per source are ranked.
-4. The quota takes the first blocks of the seeded stream and wraps around for repeats, so a
-   document is taken at most ``repeat`` times its size.
+3. The corpus gives whole blocks to the sources with the highest quotients
+   ``ideal / (2k - 1)``.  All quotients that are certain to win are counted by rounding; only
+   the contested few per source are ranked.
+4. Shards get whole-number quotas: each the difference of the source's running, rounded share
+   of its blocks, so a source of a few words in each shard loses nothing to rounding, however
+   many shards there are.  What a shard cannot give (``repeat`` times its words) is carried on.
+5. The quota takes the first blocks of the shard's seeded stream and wraps around for repeats,
+   so a document is taken at most ``repeat`` times its size.
 
 Null texts count no words, a null source is a source of its own, rows that repeat an id are
 each rows of their own, an empty table gives no row.  Only ``doc_id``, ``source`` and
@@ -147,8 +150,8 @@ def allocated(
 ) -> DataFrame:
     """As ``mix``, with the hash ``h`` of every row.
 
-    ``whole`` asks the quotas once for all shards, whose streams follow one another; its
-    windows over the shards of a source see one row per shard.
+    With ``whole`` the streams of a source's shards follow one another and its blocks are the
+    first of them all.  Windows over the shards of a source see one row per shard.
     """
     sizes = settle(measured(docs, seed), "mix-sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
@@ -160,32 +163,33 @@ def allocated(
     )
     part = F.sum("size").alias("words")
     streams = placed.groupBy("shard", "source_no", "source_size", "target").agg(part)
-    asking = streams
-    if whole:
-        asking = goal.select(F.lit(0).alias("shard"), "source_no", "source_size", "target", F.col("source_size").alias("words"))
+    asking = goal.select(F.lit(0).alias("shard"), "source_no", "source_size", "target", F.col("source_size").alias("words"))
     ideal = F.when(F.col("source_size") > 0, F.col("target") * F.col("words") / F.col("source_size")).otherwise(0.0)
-    given = quotas(asking.select("shard", "source_no", "words", ideal.alias("ideal")), block_words, repeat)
+    given = quotas(asking.select("shard", "source_no", "words", ideal.alias("ideal")), block_words, repeat).drop("shard")
     stream = Window.partitionBy("shard", "source_no")
     before = F.sum("size").over(stream.orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     ordered = placed.select("*", before.alias("start"))
+    shard_turn = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.sum("words").over(shard_turn)
     if whole:
-        given = given.drop("shard")
-        shard_turn = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-        earlier = (F.sum("words").over(shard_turn) - F.col("words")).alias("earlier")
-        ordered = ordered.join(streams.select("shard", "source_no", earlier), ["shard", "source_no"])
+        ordered = ordered.join(
+            streams.select("shard", "source_no", (upto - F.col("words")).alias("earlier")), ["shard", "source_no"]
+        )
+        ordered = ordered.join(given.withColumn("taking", F.col("blocks") * block_words), "source_no", "left")
         ordered = ordered.withColumn("start", F.col("start") + F.col("earlier")).withColumn("words", F.col("source_size"))
     else:
-        ordered = ordered.withColumn("words", F.sum("size").over(stream))
-    taking = F.coalesce("blocks", F.lit(0)) * block_words
+        share = streams.select("shard", "source_no", "words", "source_size", upto.alias("upto")).join(given, "source_no")
+        asked = block_words * F.floor(F.col("blocks") * (F.col("upto") / F.col("source_size")) + 0.5)
+        # up to each shard no more than all its words so far can be repeated
+        short = F.least(F.lit(0), F.min(asked - repeat * F.col("upto")).over(shard_turn))
+        share = share.where("source_size > 0").withColumn("reached", repeat * F.col("upto") + short)
+        before_it = F.lag("reached", 1, 0).over(Window.partitionBy("source_no").orderBy("shard"))
+        handed = share.select("shard", "source_no", "words", (F.col("reached") - before_it).alias("taking"))
+        ordered = ordered.join(handed, ["shard", "source_no"], "left")
     passes = F.when(F.col("words") > 0, F.floor(F.col("taking") / F.col("words"))).otherwise(0)
-    rest = F.col("taking") - F.col("passes") * F.col("words")
+    rest = F.coalesce(F.col("taking") - F.col("passes") * F.col("words"), F.lit(0))
     piece = F.greatest(F.lit(0), F.least(F.col("start") + F.col("size"), rest) - F.col("start"))
-    return (
-        ordered.join(given, ["source_no"] if whole else ["shard", "source_no"], "left")
-        .withColumn("taking", taking)
-        .withColumn("passes", passes)
-        .select(
-            "doc_id", "h", "size", "source_size", "target",
-            (F.col("passes") * F.col("size") + piece).cast("long").alias("taken"),
-        )
+    return ordered.withColumn("passes", F.coalesce(passes, F.lit(0))).select(
+        "doc_id", "h", "size", "source_size", "target",
+        (F.col("passes") * F.col("size") + piece).cast("long").alias("taken"),
     )
