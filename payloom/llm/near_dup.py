@@ -314,9 +314,19 @@ def deduplicate(
 
 
 def distinct_documents(docs: DataFrame, percent: int = 80, **options) -> DataFrame:
-    """One document of each group, with all its columns; rows without an id all stay."""
-    kept = deduplicate(docs, percent=percent, **options).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("h"))
-    one = rows.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("nth", nth).where("nth = 1")
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    A row is known by its id and text together (as a 64-bit hash), so an id that has several
+    texts is several documents, which only their texts can join.  Equal rows are one
+    document; rows without an id all stay.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    key = F.xxhash64("doc_id", "text")
+    found = deduplicate(named.select(key.alias("doc_id"), "text"), percent=percent, **options)
+    found = found.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    ids = named.select(key.alias("key"), "doc_id").distinct()
+    firsts = ids.join(found, "key").groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    rows = named.select(key.alias("key"), F.struct("*").alias("row"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    one = rows.join(firsts.select("first.key"), "key", "left_semi").withColumn("nth", nth).where("nth = 1")
     return one.select("row.*").union(docs.where("doc_id IS NULL"))

@@ -30,6 +30,15 @@ def test_near_copies_of_four_fifths_go(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == want
 
 
+def test_an_id_with_unlike_texts_is_several_documents(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "y"), (1, a, "x"), (2, a + " tail", "z"), (3, b + " tail", "z"), (4, c, None), (0, c + " tail", "q"), (5, None, "n"), (5, "", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sorted(map(tuple, near_dup.distinct_documents(docs).collect()), key=repr)
+    assert got == sorted([rows[0], rows[1], rows[6], rows[7], rows[8]], key=repr)
+
+
 def test_bands_suit_the_threshold():
     for percent in (80, 85, 90):
         bands, rows = near_dup.banding(percent)
