@@ -19,12 +19,15 @@ precision and hands on their best ``k``, so rows grow with the queries, not with
 last step drops repeats from different trees and keeps the best ``k``; ties go to the
 smaller id.
 
-``visit`` trades work for recall.  The default suits directions without any structure, the
-hardest case, where neighbours are hardly nearer than others (recall about 0.95, measured in
-the tests); clustered data need far less.  A hot leaf is split over several bundles.
-
-Invalid vectors take no part: they are neither queries nor candidates.  Rows of another
-length than the most frequent one take no part either.  Equal rows count once.  With no valid
+``visit`` trades work for recall.  It is learnt: a few sample rows ask for their exact
+neighbours in the sample, and ``visit`` is the least share that finds ``recall`` of them, at
+most ``most_visit``.  Directions without any structure, the hardest case, need leaves of
+about 1.3 times all rows over eight trees; clustered data need a small part of them.  A hot
+leaf is split over several bundles, and queries are dealt to blocks of ``block`` rows, so a
+task holds a bounded part of both.
+
+Invalid vectors take no part: they are neither queries nor candidates.  Every length of
+vectors is searched by itself.  Equal rows count once.  With no valid
 vectors the result is empty; with fewer than ``k`` others a query gets all it finds.  Only
 ``vec_id`` and ``embedding`` are read.
 """
@@ -33,7 +36,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -89,22 +93,21 @@ class Forest:
             out[:, t] = (t << self.depth) + node - ((1 << self.depth) - 1)
         return out
 
-    def near(self, query: np.ndarray, visit: float) -> list[int]:
-        """Leaves for a query, in the order of the shared queue, until they hold ``visit`` of the rows."""
+    def walk(self, query: np.ndarray, most: float) -> Iterator[tuple[int, float]]:
+        """Leaves for a query in the order of the shared queue, each with the share of the rows taken before."""
         inner = (1 << self.depth) - 1
         sides = np.append(query, 0.0) @ self.normals.reshape(self.trees * inner, -1).T if inner else np.zeros(0)
         sides = sides.reshape(self.trees, inner) - self.cuts
-        queue, found, held = [(-math.inf, t, 0) for t in range(self.trees)], [], 0.0
-        while queue and held < visit:
+        queue, held = [(-math.inf, t, 0) for t in range(self.trees)], 0.0
+        while queue and held < most:
             margin, t, node = heapq.heappop(queue)
             if node >= inner:
-                found.append((t << self.depth) + node - inner)
+                yield (t << self.depth) + node - inner, held
                 held += max(self.share[t, node - inner], 1e-9)
                 continue
             side = sides[t, node]
             heapq.heappush(queue, (max(margin, -side), t, 2 * node + 2))
             heapq.heappush(queue, (max(margin, side), t, 2 * node + 1))
-        return found
 
 
 class Bands:
@@ -125,13 +128,29 @@ class Bands:
                 out[i] = found
         return out
 
-    def near(self, query: np.ndarray, visit: float) -> list[int]:
-        """Leaves for a query in all bands."""
+    def walk(self, query: np.ndarray, most: float) -> Iterator[tuple[int, float]]:
+        """Leaves for a query in all bands, each with the share of its band taken before."""
         norm = math.sqrt((query * query).sum()) or 1.0
-        found = []
         for band, forest in self.forests.items():
-            found += [self.first[band] + leaf for leaf in forest.near(query * (forest.longest / norm), visit)]
-        return found
+            for leaf, held in forest.walk(query * (forest.longest / norm), most):
+                yield self.first[band] + leaf, held
+
+    def near(self, query: np.ndarray, visit: float) -> list[int]:
+        return [leaf for leaf, _ in self.walk(query, visit)]
+
+    def learn_visit(self, sample: np.ndarray, band: np.ndarray, k: int, recall: float, most: float, queries: int = 64) -> float:
+        """The least share that finds ``recall`` of the exact neighbours of some sample rows."""
+        if len(sample) < 2:
+            return most
+        leaves, needed = self.leaves(sample, band), []
+        for i in range(min(queries, len(sample))):
+            score = sample @ sample[i]
+            score[i] = -np.inf
+            nearest = np.argsort(-score, kind="stable")[: min(k, len(sample) - 1)]
+            before = dict(self.walk(sample[i], most))
+            needed += [min((before.get(leaf, math.inf) for leaf in leaves[j].tolist()), default=math.inf) for j in nearest.tolist()]
+        enough = sorted(needed)[math.ceil(recall * len(needed)) - 1]
+        return min(most, enough + 1e-6)
 
 
 def top(ids: np.ndarray, v: np.ndarray, query_id: int, query: np.ndarray, rough: np.ndarray, k: int):
@@ -156,20 +175,34 @@ def search(
     trees: int = 8,
     leaf_rows: int = 4096,
     least_depth: int = 5,
-    visit: float = 1.3,
+    recall: float = 0.965,
+    most_visit: float = 1.5,
     bundle_rows: int = 100_000,
+    block: int = 4096,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for every valid row whose id ``is_query`` selects."""
     spark = vectors.sparkSession
     ship(spark)
     rows = valid_rows(vectors, "vec_id", "embedding").distinct()
     rows = settle(rows.withColumn("d", F.size("v")), "search-vectors")
-    schema = "query_id long, rank int, vec_id long, score double"
-    common = rows.groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if common is None:
-        return spark.createDataFrame([], schema)
+    # one row for each length of vectors, of which a table has few
+    lengths = rows.groupBy("d").agg(F.count("*").alias("n"), F.count_if(is_query(F.col("id"))).alias("asking")).orderBy("d").collect()
+    found = [
+        _search_length(rows, is_query, x.d, x.n, x.asking, k, sample, trees, leaf_rows, least_depth, recall, most_visit, bundle_rows, block)
+        for x in lengths if x.asking
+    ]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.union, found)
+
+
+def _search_length(
+    rows: DataFrame, is_query, d: int, n: int, asking: int, k: int, sample: int, trees: int, leaf_rows: int,
+    least_depth: int, recall: float, most_visit: float, bundle_rows: int, block: int,
+) -> DataFrame:
+    spark = rows.sparkSession
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    rows, n = rows.where(F.col("d") == common.d).select("id", "v", length.alias("length")), common.n
+    rows = rows.where(F.col("d") == d).select("id", "v", length.alias("length"))
     longest = rows.agg(F.max("length")).first()[0]
     below = F.when(F.col("length") > 0, 2 * F.log2(F.lit(longest) / F.col("length"))).otherwise(float(BANDS))
     rows = rows.select("id", "v", "length", F.floor(F.least(below, F.lit(BANDS - 1.0))).cast("int").alias("band"))
@@ -185,11 +218,14 @@ def search(
     forests = {}
     for b in bands:
         own = fitted[of == b.band] if len(of) else fitted
-        own = own if own.size else np.zeros((1, common.d))
+        own = own if own.size else np.zeros((1, d))
         depth = max(least_depth, math.ceil(math.log2(max(1.0, b.n / leaf_rows))))
         depth = min(depth, int(math.log2(max(1.0, b.n / (2 * k)))))  # few rows: leaves of some k rows at least
         forests[b.band] = Forest(own, b.longest, depth, trees if depth else 1)
-    forest = spark.sparkContext.broadcast(Bands(forests))
+    fitted_bands = Bands(forests)
+    visit = fitted_bands.learn_visit(fitted, of, k, recall, most_visit)
+    forest = spark.sparkContext.broadcast(fitted_bands)
+    blocks = math.ceil(asking / block)
     bundles = max(16, math.ceil(n * trees / bundle_rows))
 
     def index(batches):
@@ -217,14 +253,18 @@ def search(
         return F.pmod(F.xxhash64(leaf, piece), F.lit(bundles))
 
     dealt = indexed.join(pieces, "leaf").withColumn("piece", F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"))
-    dealt = dealt.select(bundle(F.col("leaf"), F.col("piece")).alias("bundle"), "leaf", "id", "v")
-    asking = map_batches(
+    dealt = dealt.select(
+        bundle(F.col("leaf"), F.col("piece")).alias("bundle"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        "leaf", "id", "v",
+    )
+    walked = map_batches(
         rows.where(is_query(F.col("id"))).repartition(spark.sparkContext.defaultParallelism, "id"),
         walk, "id long, v array<double>, leaves array<long>",
     )
-    asking = asking.select("id", "v", F.explode("leaves").alias("leaf")).join(pieces, "leaf")
-    asking = asking.select("id", "v", "leaf", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-    asking = asking.select(bundle(F.col("leaf"), F.col("piece")).alias("bundle"), "leaf", "id", "v").distinct()
+    walked = walked.select("id", "v", F.explode("leaves").alias("leaf")).join(pieces, "leaf")
+    walked = walked.select("id", "v", "leaf", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    own_block = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(blocks)).cast("int").alias("block")
+    walked = walked.select(bundle(F.col("leaf"), F.col("piece")).alias("bundle"), own_block, "leaf", "id", "v").distinct()
 
     def rerank(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -235,9 +275,10 @@ def search(
             ids, v = group["id"].to_numpy(), np.stack(group["v"].to_numpy())
             own = asked[leaf]
             q = np.stack(own["v"].to_numpy())
-            rough = q @ v.T
             for i, query_id in enumerate(own["id"].to_numpy()):
-                found, score = top(ids, v, query_id, q[i], rough[i], k)
+                if i % 256 == 0:
+                    rough = q[i : i + 256] @ v.T
+                found, score = top(ids, v, query_id, q[i], rough[i % 256], k)
                 if query_id in best:
                     found, at = np.unique(np.concatenate([best[query_id][0], found]), return_index=True)
                     score = np.concatenate([best[query_id][1], score])[at]
@@ -254,7 +295,7 @@ def search(
             }
         )
 
-    found = dealt.groupBy("bundle").cogroup(asking.groupBy("bundle")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    found = dealt.groupBy("bundle", "block").cogroup(walked.groupBy("bundle", "block")).applyInPandas(rerank, "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
