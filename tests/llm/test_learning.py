@@ -7,6 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
+import xxhash
+from pyspark.sql import functions as F
 from samples import prose
 
 from payloom.llm import lm_scoring, quality
@@ -54,6 +57,65 @@ def test_classifier_on_odd_inputs(labelled, messy, none):
     assert {r.score for r in unlabelled} == {0.5}
 
 
+def brute_features(text, bits):
+    """Damped, scaled counts of hashed words and pairs of neighbours, written out plainly."""
+    mix, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    h = [xxhash.xxh3_64_intdigest(t) for t in regex.findall(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+", text or "")]
+    found = Counter((x * mix & mask) >> (64 - bits) for x in h)
+    for a, b in zip(h, h[1:]):
+        found[(mix if a == b else ((a * mix + b) * mix) & mask) >> (64 - bits)] += 1
+    norm = math.sqrt(sum(found.values()))
+    return {c: math.sqrt(n) / norm for c, n in found.items()}
+
+
+def brute_ftrl(rows, bits, alpha, l1, l2, parts, rounds):
+    """Weights after `rounds` averaged passes over the parts, from ``(part, h, text, label)``."""
+    z, n = Counter(), Counter()
+
+    def weight(z, n, c):
+        return 0.0 if abs(z[c]) <= l1 else (math.copysign(l1, z[c]) - z[c]) / ((1 + math.sqrt(n[c])) / alpha + l2)
+
+    for _ in range(rounds):
+        states = []
+        for part in range(parts):
+            own = sorted((r[1:] for r in rows if r[0] == part))
+            zs, ns = Counter(z), Counter(n)
+            for _, text, label in own:
+                x = {**{c: float(np.float32(v)) for c, v in brute_features(text, bits).items()}, "bias": 1.0}
+                w = {c: weight(zs, ns, c) for c in x}
+                p = 1 / (1 + math.exp(-sum(w[c] * x[c] for c in x)))
+                for c in x:
+                    g = (p - label) * x[c]
+                    zs[c] += g - (math.sqrt(ns[c] + g * g) - math.sqrt(ns[c])) / alpha * w[c]
+                    ns[c] += g * g
+            states.append((len(own), zs, ns))
+        total = sum(s[0] for s in states)
+        z = Counter({c: sum(k / total * s[c] for k, s, _ in states) for c in set().union(*(s for _, s, _ in states))})
+        n = Counter({c: sum(k / total * s[c] for k, _, s in states) for c in set().union(*(s for _, _, s in states))})
+    return {c: weight(z, n, c) for c in z}
+
+
+def test_weights_and_scores_equal_plain_updates(spark, labelled):
+    docs, labels = labelled
+    truth = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    h = F.xxhash64("doc_id", F.lit(11))
+    part = F.pmod(F.hash(F.pmod(h, F.lit(3))), F.lit(3))  # where a repartition by that value puts a row
+    hashes = {r.doc_id: (r.part, r.h) for r in docs.select("doc_id", h.alias("h"), part.alias("part")).collect()}
+    rows = [
+        (*hashes[i], t, truth[i]) for i, t in texts.items() if i in truth and zlib.crc32(str(i).encode()) % 5 != 0
+    ]
+    options = {"bits": 9, "alpha": 1.5, "l1": 0.02, "l2": 0.1, "parts": 3, "rounds": 2}
+    want = brute_ftrl(rows, **options)
+    got = quality.train(docs, labels, **options)
+    assert got[-1] == pytest.approx(want["bias"], abs=1e-9) and np.count_nonzero(got) > 100
+    assert all(got[c] == pytest.approx(want.get(c, 0.0), abs=1e-9) for c in range(512))
+    scored = {r.doc_id: r.score for r in quality.score(docs, got, bits=9).collect()}
+    for i, t in texts.items():
+        margin = sum(want.get(c, 0.0) * v for c, v in brute_features(t, 9).items()) + want["bias"]
+        assert scored[i] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-9)
+
+
 def brute_ctw(texts, depth):
     """Code lengths straight from the definition, with one dictionary for each tree node."""
     counts, children = {}, {}
