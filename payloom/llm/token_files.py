@@ -41,7 +41,7 @@ END_ID = 0
 
 
 #: Words met in one batch, and in several, whose ids a task remembers, and the longest of them.
-RECENT, KEPT, SHORT = 600_000, 600_000, 64
+RECENT, KEPT, SHORT = 360_000, 450_000, 64
 
 
 class Encoder:
