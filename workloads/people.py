@@ -17,7 +17,7 @@ from workloads.render import (
 
 
 def json_rows(spark, sf):
-    return spark.read.parquet(stored(spark, sf, "employees", employee_json, "c_custkey"))
+    return spark.read.parquet(stored(spark, sf, "employees", employee_json))
 
 
 def parsed(spark, sf):
@@ -44,7 +44,7 @@ def write_pages(rows, purpose: str) -> str:
 @query("scan_employee_json", f"{EMPLOYEE_SQL} SELECT {expected_as_text(ALL_COLUMNS)} FROM emp")
 def scan_employee_json_query(spark, sf):
     """Pages of the employee list as they land, read with the fixed schema."""
-    records = scan_employee_json(spark, write_pages(json_rows(spark, sf), "pages"))
+    records = scan_employee_json(spark, write_pages(employee_json(spark, sf), "pages"))
     return as_text(employees.flatten_employees(records), *EMPLOYEE_DOUBLES)
 
 
@@ -115,7 +115,7 @@ def merge_detail_over_list(spark, sf):
 
     Both are read from landed pages; details arrive twice.
     """
-    rows = json_rows(spark, sf)
+    rows = employee_json(spark, sf)
     short = F.to_json(F.struct(F.get_json_object("json", "$.id").cast("bigint").alias("id"), F.concat(F.lit("LISTA "), F.col("c_custkey")).alias("name")))
     listed = scan_employee_json(spark, write_pages(rows.select("c_custkey", short.alias("json")), "list-pages"))
     details = scan_employee_json(spark, write_pages(rows.where("c_custkey % 3 = 0"), "detail-pages"))
