@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from payloom.plans import payslips
+from payloom.plans import payslips, rejected
 from workloads import render
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
@@ -29,3 +29,15 @@ def test_repeated_orders_keep_their_blocks(spark, tmp_path):
     sf = orders(spark, tmp_path, [1, 2, 2, 5, 8])
     blocks = payslips.employee_blocks(render.payslip_docs(spark, sf))
     assert {r.file: r["count"] for r in blocks.groupBy("file").count().collect()} == {"1": 3, "2": 4, "5": 3, "8": 3}
+
+
+def test_rejected_people_are_read_once(spark):
+    records = spark.createDataFrame(
+        [("a", 1, None, "ANA"), ("b", 1, "1", None), ("c", 1, "2", "BIA"), ("d", 1, "N/A", None)],
+        "file string, pos int, cpf string, nome_funcionario string",
+    )
+    out = rejected.payroll_people(records)
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.regra, r.chave, r.valor) for r in out.collect()} == {
+        ("pessoa sem cpf", "a#1", "ANA"), ("pessoa sem nome", "b#1", "1"), ("pessoa sem cpf", "d#1", None),
+    }
