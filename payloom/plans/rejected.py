@@ -30,11 +30,17 @@ def documents(docs: DataFrame) -> DataFrame:
 def payroll_people(records: DataFrame) -> DataFrame:
     """Blocks whose person cannot enter the dimension: no name, or no usable cpf."""
     key = F.concat_ws("#", "file", F.col("pos").cast("string"))
-    nameless = records.where(valid_key(F.col("cpf")) & F.col("nome_funcionario").isNull())
-    unknown = records.where(~F.coalesce(valid_key(F.col("cpf")), F.lit(False)))
-    return _rows(nameless, "folha", "pessoa sem nome", key, F.col("cpf")).unionByName(
-        _rows(unknown, "folha", "pessoa sem cpf", key, F.col("nome_funcionario"))
+    known = F.coalesce(valid_key(F.col("cpf")), F.lit(False))
+    name = F.col("nome_funcionario")
+    # One pass for both rules.  The outer form keeps Catalyst from turning the condition into a
+    # filter below the extraction, where each use of a column would repeat its searches.
+    row = F.struct(
+        F.when(known, "pessoa sem nome").otherwise("pessoa sem cpf").alias("regra"),
+        key.alias("chave"),
+        F.when(known, F.col("cpf")).otherwise(name).alias("valor"),
     )
+    out = records.select(F.explode_outer(F.when(~known | name.isNull(), F.array(row))).alias("o")).where("o is not null")
+    return out.select(F.lit("folha").alias("etapa"), "o.regra", "o.chave", "o.valor")
 
 
 def payroll_money(records: DataFrame) -> DataFrame:

@@ -41,3 +41,12 @@ def test_rejected_people_are_read_once(spark):
     assert {(r.regra, r.chave, r.valor) for r in out.collect()} == {
         ("pessoa sem cpf", "a#1", "ANA"), ("pessoa sem nome", "b#1", "1"), ("pessoa sem cpf", "d#1", None),
     }
+
+
+def test_a_filter_on_texts_does_not_repeat_the_rendering(spark, tmp_path):
+    docs = render.payslip_docs(spark, orders(spark, tmp_path, [1, 3, 4, 5]))
+    out = payslips.rejected_documents(docs)
+    # the month, which many parts of a text hold, is formatted in one place of the plan
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MM/yyyy") == docs._jdf.queryExecution().optimizedPlan().toString().count("MM/yyyy")
+    assert sorted(r.file for r in out.collect()) == ["3", "4"]
