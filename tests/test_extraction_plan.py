@@ -1,12 +1,14 @@
 """What extraction costs for each row: searches that are not repeated, interpreted or run in vain."""
 
-from datetime import date
+from datetime import date, datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
 from payloom.functions import dates, text
 from payloom.plans import payslips
 from test_payslips import SAMPLE
+from workloads import QUERIES_AND_ORACLES
 
 
 def test_item_table_is_cut_outside_the_lambdas(spark):
@@ -55,3 +57,24 @@ def test_names_and_states_come_from_the_header_of_their_block(spark):
     assert [(r.nome_funcionario, r.situacao, r.cpf) for r in rows.collect()] == [
         ("BIA", None, "1"), ("ANA Afastado", None, "2"), ("CAIO", "Férias", "3"),
     ]
+
+
+def test_typed_columns_hold_items_and_lost_amounts(spark, tmp_path):
+    rows = [(9, 7, "F", 1234.5, datetime(1996, 1, 2), "5-LOW"), (10, 7, "O", 2e9, datetime(1996, 1, 2), "1-URGENT")]
+    orders = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(rows, orders).write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES_AND_ORACLES()[0]["typed_cast_columns"](spark, str(tmp_path))
+    found = {(r.file, r.pos): (r.itens, r.perdas, r.total_proventos) for r in got.collect()}
+    assert found["9", 1][:2] == (
+        "73;DESC UM 220,00;Provento;1234.50|8009;DESC DOIS 11,00;Desconto;123.45|777777;ITEM NOVO 1,00;Provento;10.00", "",
+    )
+    # an item and its block lose an amount that the decimal cannot hold, and the block says which
+    assert found["10", 2] == (
+        "9380;PRO LABORE DIAS 30,00;Provento;", "total_proventos;2000000000.00|valor_liquido;2000000000.00", None,
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    want = con.execute(QUERIES_AND_ORACLES()[1]["typed_cast_columns"])
+    at = [d[0] for d in want.description]
+    want = {(r[at.index("file")], r[at.index("pos")]): (r[at.index("itens")], r[at.index("perdas")]) for r in want.fetchall()}
+    assert want == {k: v[:2] for k, v in found.items()}
