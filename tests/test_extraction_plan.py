@@ -6,6 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from payloom.functions import dates, text
+from payloom.functions import patterns as P
 from payloom.plans import payslips
 from test_payslips import SAMPLE
 from workloads import QUERIES_AND_ORACLES
@@ -78,3 +79,47 @@ def test_typed_columns_hold_items_and_lost_amounts(spark, tmp_path):
     at = [d[0] for d in want.description]
     want = {(r[at.index("file")], r[at.index("pos")]): (r[at.index("itens")], r[at.index("perdas")]) for r in want.fetchall()}
     assert want == {k: v[:2] for k, v in found.items()}
+
+
+def test_footer_amounts_in_any_order_and_number(spark):
+    footers = {
+        "Proventos: 1,00 Descontos: 2,00 Líquido: 3,00 Base INSS: 4,00 Base FGTS: 5,00 Valor FGTS: 6,00 Base IRRF: 7,00":
+            ["1,00", "2,00", "3,00", "4,00", "5,00", "6,00", "7,00"],
+        "TOTAL DE PROVENTOS 1,00\nLÍQUIDO DE FÉRIAS 3,00 base irrf ferias 7,00": ["1,00", "", "3,00", "", "", "", "7,00"],
+        # the first label counts wherever it is, and of its amounts the first
+        "Total de Proventos 9,00 Descontos: 2,00 Proventos: 1,00 Proventos: 8,00": ["1,00", "2,00", "", "", "", "", ""],
+        "Base IRRF: 7,00 Líquido de Férias 3,00 Base INSS: 4,00 Descontos: ..": ["", "..", "3,00", "4,00", "", "", "7,00"],
+        "Líquido: 1,00 Líquido: 2,00": ["", "", "1,00", "", "", "", ""],
+        "sem valores": [""] * 7,
+        "": [""] * 7,
+    }
+    df = spark.createDataFrame([(f,) for f in footers], "block string")
+    found = payslips.footer_amounts(F.col("block")).alias("a")
+    assert {r.block: r.a for r in df.select("block", found).collect()} == footers
+    # one search of the amounts for all fields, instead of one or two searches for each
+    each = df.select(found.alias("a")).select(*(payslips.total(F.col("a"), n) for n in P.TOTALS))
+    assert "instr" not in each._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_departments_are_counted_in_the_parts(spark):
+    texts = {
+        "Departamento: A\nEmpr: 1 X\nDepartamento: B\nEmpr: 2 Y\nEmpr: 3 Z\n": [None, "A", "B", "B"],
+        "Empr: 1 X\nDepartamento: B \nDepartamento: C\nEmpr: 2 Y": [None, "C"],
+        # a line that holds the next header, one that runs into it, and one that ends the text
+        "Departamento: RH Empr: 1 X\nEmpr: 2 Y": [None, "RH Empr: 1 X", "RH Empr: 1 X"],
+        "Departamento:\n Empr: 1 X\nEmpr: 2 Y": [None, "Empr: 1 X", "Empr: 1 X"],
+        "Empr: 1 X\nDepartamento: B": [None],
+        "Empr: 1 X\nDepartamento: Matrícula:\n7 Y\nEmpr: 2 Z": [None, "Matrícula:", "Matrícula:"],
+        "sem nada": [None],
+        "": [None],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    cut = df.select("text", payslips.split_blocks(F.col("text")).alias("p"))
+    found = cut.select("text", payslips.departments(F.col("text"), F.col("p")).alias("d"))
+    assert {r.text: r.d for r in found.collect()} == texts
+
+
+def test_extraction_runs_in_methods_that_the_jvm_compiles(spark):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    payslips.all_blocks(spark.createDataFrame([("a", SAMPLE)], "file string, text string"))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
