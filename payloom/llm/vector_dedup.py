@@ -37,6 +37,8 @@ LEAF, MISS = 1024, 1e-4
 #: Rows of a cell that its cuts are fitted on, levels that are cut in one pass, and the margin
 #: on each side of a cut in standard deviations of a projection.
 FIT, LEVELS, MARGIN = 4096, 8, 0.06
+#: So many groups at most are sent to every task, rather than their rows to them.
+FEW_CELLS = 4096
 _NONE = np.iinfo(np.int64).max
 
 
@@ -63,8 +65,13 @@ def directions(cell: int, levels: int, d: int) -> np.ndarray:
     return np.stack([direction(cell * 31 + k, d) for k in range(levels)])
 
 
+def doubles(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows of doubles, in whatever precision they travel."""
+    return matrix(vectors).astype(np.float64, copy=False)
+
+
 def unit(vectors: pa.Array) -> np.ndarray:
-    v = matrix(vectors)
+    v = doubles(vectors)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -92,6 +99,12 @@ def cuts_of(members: DataFrame, leaf: int) -> DataFrame:
     return listed.select("cell", F.transform("cuts", lambda c: c["cut"]).alias("cuts"))
 
 
+def sent_if_few(groups: DataFrame, purpose: str) -> DataFrame:
+    """One row for each group, for a join with its vectors: few and large groups move no vector, and are no hot keys."""
+    groups = settle(groups, purpose)
+    return F.broadcast(groups) if len(groups.take(FEW_CELLS + 1)) <= FEW_CELLS else groups
+
+
 def placed(members: DataFrame, cuts: DataFrame) -> DataFrame:
     """``(parent, cell, rid)``: the cells that each row falls into, more than one where it is near a cut."""
 
@@ -114,7 +127,8 @@ def placed(members: DataFrame, cuts: DataFrame) -> DataFrame:
             columns = [pa.array(np.concatenate(c)) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 3
             yield pa.RecordBatch.from_arrays(columns, names=["parent", "code", "rid"])
 
-    joined = members.join(cuts, "cell").select("cell", "rid", "v", "cuts")
+    # Many small cells come sorted from the join, so that a batch holds few of them.
+    joined = members.join(sent_if_few(cuts, "cuts"), "cell").select("cell", "rid", "v", "cuts")
     found = map_batches(joined, work, "parent long, code long, rid long")
     return found.select("parent", F.xxhash64("parent", "code").alias("cell"), "rid")
 
@@ -124,7 +138,7 @@ def forest(rows: DataFrame, cosine: float, leaf: int, miss: float) -> DataFrame:
     kinds = rows.withColumn("d", F.size("v"))
     sizes = kinds.groupBy("label", "d").agg(F.count("*").alias("n"))
     sizes = sizes.withColumn("trees", trees_of(F.col("n"), leaf, cosine, miss))
-    start = kinds.join(sizes, ["label", "d"]).withColumn("tree", F.explode(F.sequence(F.lit(1), "trees")))
+    start = kinds.join(sent_if_few(sizes, "sizes"), ["label", "d"]).withColumn("tree", F.explode(F.sequence(F.lit(1), "trees")))
     members = start.select(F.xxhash64("tree", "label", "d").alias("cell"), "rid", "n", "v")
     done = members.where(F.col("n") <= leaf).select("cell", "rid", "n")
     members = members.where(F.col("n") > leaf)
@@ -170,7 +184,8 @@ def leaf_links(ids: np.ndarray, v: np.ndarray, part: np.ndarray, across: bool, l
     u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
     single = u.astype(np.float32)
     # single precision finds the candidates, double precision decides
-    i, j = np.nonzero(np.triu(single @ single.T >= cosine - 1e-4, 1))
+    i, j = np.nonzero(single @ single.T >= cosine - 1e-4)
+    i, j = i[i < j], j[i < j]
     keep = ids[i] != ids[j]
     if across:
         keep &= part[i] != part[j]
@@ -198,10 +213,16 @@ def leaf_links(ids: np.ndarray, v: np.ndarray, part: np.ndarray, across: bool, l
 def deduplicate(vectors: DataFrame, cosine: float = 0.93, leaf: int = LEAF, miss: float = MISS) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``vectors``."""
     rows = valid_rows(vectors, "vec_id", "embedding", "label").where("label IS NOT NULL").distinct()
-    rows = settle(rows.withColumn("rid", F.xxhash64("id", "v", "label")), "vectors")
+    rows = rows.withColumn("rid", F.xxhash64("id", "v", "label"))
+    if dict(vectors.dtypes)["embedding"] == "array<float>":
+        # as exact as the doubles they were read as, in half the bytes of every copy
+        rows = rows.withColumn("v", F.col("v").cast("array<float>"))
+    rows = settle(rows, "vectors")
     leaves = settle(forest(rows, cosine, leaf, miss), "leaves")
-    mine = leaves.groupBy("rid").agg(F.collect_set("cell").alias("cells"))  # a few for each tree
-    full = leaves.join(rows.join(mine, "rid"), "rid")
+    mine = leaves.groupBy("rid").agg(F.sort_array(F.collect_set("cell")).alias("cells"))  # a few for each tree
+    # a leaf needs those before it only
+    before = F.slice("cells", F.lit(1), (F.array_position("cells", F.col("cell")) - 1).cast("int")).alias("cells")
+    full = leaves.join(rows.join(mine, "rid"), "rid").select("cell", "n", "rid", "id", "v", before)
     dealt = in_pairs_of_parts(full.select("cell", "n", "rid", "id", "v", "cells"), F.col("n"), leaf, F.col("rid"))
     task = F.xxhash64("cell", "lo", "hi").alias("task")
     dealt = dealt.select(task, "part", (F.col("lo") < F.col("hi")).alias("across"), "cell", "id", "v", "cells")
@@ -215,7 +236,7 @@ def deduplicate(vectors: DataFrame, cosine: float = 0.93, leaf: int = LEAF, miss
             starts = np.flatnonzero(np.append(True, tasks[1:] != tasks[:-1]))
             found = []
             for a, b in zip(starts, np.append(starts[1:], len(tasks))):
-                v = matrix(table.column(5).slice(a, b - a))
+                v = doubles(table.column(5).slice(a, b - a))
                 found.append(leaf_links(ids[a:b], v, part[a:b], bool(across[a]), int(cell[a]), padded(table.column(6).slice(a, b - a)), cosine))
             columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "n_links", "low"])

@@ -171,3 +171,33 @@ def test_recall_on_directions_without_structure(spark):
         score[q] = -np.inf
         hits += len(got & set(np.argsort(-score)[:20].tolist()))
     assert hits / (20 * len(found)) >= 0.93
+
+
+def test_copies_of_vectors_are_narrow_and_go_to_no_hot_cell(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(300, 8)).astype(np.float32)
+    v[150:] = v[:150] + 0.05 * rng.normal(size=(150, 8)).astype(np.float32)
+    rows = [(i, [float(x) for x in r], i % 2) for i, r in enumerate(v)]
+    floats = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    kept, plans, settle, place = {}, [], vector_dedup.settle, vector_dedup.placed
+
+    def settled(df, purpose):
+        kept[purpose] = dict(df.dtypes).get("v")
+        return settle(df, purpose)
+
+    def placing(members, cuts):
+        out = place(members, cuts)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(vector_dedup, "settle", settled)
+    monkeypatch.setattr(vector_dedup, "placed", placing)
+    got = sorted_rows(vector_dedup.deduplicate(floats, leaf=32))
+    assert kept["vectors"] == "array<float>"
+    assert plans and all("strategy=broadcast" in p for p in plans)
+    # doubles stay doubles, and give the same rows; so do rows that are dealt to their cells
+    monkeypatch.setattr(vector_dedup, "FEW_CELLS", 0)
+    wide = floats.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert sorted_rows(vector_dedup.deduplicate(wide, leaf=32)) == got
+    assert kept["vectors"] == "array<double>" and "strategy=broadcast" not in plans[-1]
+    assert sum(r[1] for r in got) > 0
