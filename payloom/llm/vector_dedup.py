@@ -22,6 +22,7 @@ that has several vectors is one node.  Only ``vec_id``, ``embedding`` and ``labe
 
 from __future__ import annotations
 
+from functools import lru_cache
 from math import erfc
 
 import numpy as np
@@ -61,6 +62,7 @@ def trees_of(n: Column, leaf: int, cosine: float, miss: float) -> Column:
     return F.when(n <= leaf, 1).otherwise(F.ceil(F.lit(float(np.log(miss))) / F.log(1 - kept))).cast("int")
 
 
+@lru_cache(maxsize=1024)
 def directions(cell: int, levels: int, d: int) -> np.ndarray:
     return np.stack([direction(cell * 31 + k, d) for k in range(levels)])
 

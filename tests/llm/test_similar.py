@@ -201,3 +201,9 @@ def test_copies_of_vectors_are_narrow_and_go_to_no_hot_cell(spark, monkeypatch):
     assert sorted_rows(vector_dedup.deduplicate(wide, leaf=32)) == got
     assert kept["vectors"] == "array<double>" and "strategy=broadcast" not in plans[-1]
     assert sum(r[1] for r in got) > 0
+
+
+def test_directions_of_a_cell_are_drawn_once():
+    drawn = vector_dedup.directions(7, 2, 8)
+    assert vector_dedup.directions(7, 2, 8) is drawn
+    assert drawn.shape == (2, 8) and np.allclose((drawn * drawn).sum(axis=1), 1)
